@@ -11,8 +11,12 @@ from regionlake.sources.files import _hadoop_path
 
 def write_yearly(df: DataFrame, path: str, year: str = C.YEAR) -> None:
     """Overwrite only the years present in ``df``; one partitioned table serves both
-    single-year and all-year readers."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+    single-year and all-year readers.
+
+    The rebalance hint lets adaptive execution cut a large year into several files of
+    even size and put a small year into one.
+    """
+    df.hint("rebalance", year).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
 
 
 def write_batch(df: DataFrame, path: str, batch: str = "batch_id") -> None:
