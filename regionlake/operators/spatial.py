@@ -79,7 +79,7 @@ def cell_index(polygons: DataFrame, key: str = C.REGION, cell: float = CELL_DEGR
 
 def with_region(
     points: DataFrame, polygons: DataFrame, lat: str = "lat", lon: str = "lon", out: str = C.REGION,
-    key: str = C.REGION, cell: float = CELL_DEGREES, salts: int = 32,
+    key: str = C.REGION, cell: float = CELL_DEGREES, salts: int = 32, broadcast_rows: int = C.BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join of points to the region they lie strictly inside.
 
@@ -88,7 +88,7 @@ def with_region(
     point in several regions gets the smallest code. The index is broadcast if its row
     count allows; otherwise the points are salted, so a crowded cell spreads over tasks.
     """
-    index = sized(cell_index(polygons, key, cell))
+    index = sized(cell_index(polygons, key, cell), broadcast_rows)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     placed = points.withColumn("_cx", F.floor(x / F.lit(cell))).withColumn("_cy", F.floor(y / F.lit(cell)))
     if index.small:

@@ -50,7 +50,7 @@ def inventory(spark: SparkSession, root: str, as_of=None) -> DataFrame:
 
 def described(files: DataFrame, payload_limit: int = 256_000, sample_rows: int = 500) -> DataFrame:
     """Checksum, kind, columns and sample of files given as (path, format, size_bytes, content, ingested_at)."""
-    text = F.decode("content", F.lit("utf-8"))
+    text = F.make_valid_utf8(F.col("content").cast("string"))
     is_json = F.col("format").isin("json", "geojson")
     features = F.from_json("_text", "struct<features: array<string>>")["features"]
     elements = F.from_json("_text", "array<string>")

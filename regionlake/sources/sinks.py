@@ -19,9 +19,10 @@ def write_yearly(df: DataFrame, path: str, year: str = C.YEAR) -> None:
     df.hint("rebalance", year).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch: str = "batch_id") -> None:
-    """Write one micro-batch as its own partition; a repeated batch replaces itself."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch).parquet(path)
+def write_batch(df: DataFrame, path: str, *partitions: str) -> None:
+    """Write one micro-batch as its own partitions; a repeated batch replaces itself."""
+    by = partitions or ("batch_id",)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def snapshots(spark: SparkSession, path: str) -> list[str]:

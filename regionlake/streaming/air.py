@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from regionlake import config as C
@@ -112,38 +114,44 @@ def sliding_means(stream: DataFrame, ts: str = "ingested_at", width: str = "24 h
     )
 
 
-def deduplicated(stream: DataFrame, event_id: str = "event_id", ts: str = "ingested_at", delay: str = "1 hour") -> DataFrame:
-    """Drop repeated deliveries of an event within the watermark."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([event_id])
-
-
 def event_writer(table: str, alerts: str | None = None, hours: int = 24, key: str = C.REGION,
                  ts: str = "ingested_at", digits: int | None = 1):
     """Handler that stores a batch's events with their exact rolling mean, and its alerts.
 
-    The mean needs the last ``hours`` of stored events of earlier batches; they are read
-    by range from the event table. Nothing is held in memory between batches, so a
-    restart loses nothing, and a repeated batch replaces its own partition.
+    The mean needs the last ``hours`` of stored events of earlier batches. The table is
+    partitioned by day and batch, so that range is a partition filter. Nothing is held in
+    memory between batches: a restart loses nothing, and a repeated batch replaces its
+    own partitions.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = optional_parquet(spark, table)
-        rows = batch.withColumn("_new", F.lit(True))
-        if stored is not None:
-            oldest = batch.agg((F.min(ts) - F.expr(f"INTERVAL {int(hours)} HOURS")).alias("t")).scalar()
-            past = stored.where((F.col("batch_id") < batch_id) & (F.col(ts) >= oldest))
-            rows = rows.unionByName(past.select(*batch.columns).withColumn("_new", F.lit(False)))
-        means = rolling_mean(rows, key, ts, "iqa", "iqa_24h_mean", hours)
-        fresh = means.where("_new").drop("_new")
-        if digits is not None:
-            fresh = fresh.withColumn("iqa_24h_mean", round_half_even("iqa_24h_mean", digits))
-        write_batch(fresh.withColumn("batch_id", F.lit(batch_id)), table)
-        if alerts:
-            write_batch(alerts_of(batch, key).withColumn("batch_id", F.lit(batch_id)), alerts)
+        batch.persist()
+        try:
+            oldest = batch.agg(F.min(ts).alias("t")).first()["t"]
+            stored = optional_parquet(spark, table)
+            rows = batch.withColumn("_new", F.lit(True))
+            if stored is not None and oldest is not None:
+                since = F.lit(oldest - timedelta(hours=hours))
+                past = stored.where(
+                    (F.col("jour") >= since.cast("date")) & (F.col("batch_id") < batch_id) & (F.col(ts) >= since)
+                )
+                rows = rows.unionByName(past.select(*batch.columns).withColumn("_new", F.lit(False)))
+            fresh = rolling_mean(rows, key, ts, "iqa", "iqa_24h_mean", hours).where("_new").drop("_new")
+            if digits is not None:
+                fresh = fresh.withColumn("iqa_24h_mean", round_half_even("iqa_24h_mean", digits))
+            write_batch(_dated(fresh, ts, batch_id), table, "jour", "batch_id")
+            if alerts:
+                write_batch(_dated(alerts_of(batch, key), ts, batch_id), alerts, "jour", "batch_id")
+        finally:
+            batch.unpersist()
 
     return handle
 
 
+def _dated(df: DataFrame, ts: str, batch_id: int) -> DataFrame:
+    return df.withColumn("jour", F.col(ts).cast("date")).withColumn("batch_id", F.lit(batch_id))
+
+
 def run_air_stream(events: DataFrame, table: str, checkpoint: str, alerts: str | None = None,
                    interval: str | None = None, hours: int = 24, key: str = C.REGION, digits: int | None = 1):
     return start(events, event_writer(table, alerts, hours, key, digits=digits), checkpoint, interval)

@@ -40,13 +40,17 @@ def batch_writer(out: str, log: str, key: str = C.REGION, ts: str = "timestamp")
     replaces its own output.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stamp = batch.agg(F.min(ts).alias("t")).scalar()
-        stats = batch_stats(batch, key)
-        write_batch(stats.withColumn("timestamp", stamp).withColumn("batch_id", F.lit(batch_id)), out)
-        entry = batch.agg(F.count(F.lit(1)).alias("n_records")).select(
-            F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("ts"), "n_records"
-        )
-        write_batch(entry, log)
+        batch.persist()
+        try:
+            stamp = batch.agg(F.min(ts).alias("t")).scalar()
+            stats = batch_stats(batch, key)
+            write_batch(stats.withColumn("timestamp", stamp).withColumn("batch_id", F.lit(batch_id)), out)
+            entry = batch.agg(F.count(F.lit(1)).alias("n_records")).select(
+                F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("ts"), "n_records"
+            )
+            write_batch(entry, log)
+        finally:
+            batch.unpersist()
 
     return handle
 
