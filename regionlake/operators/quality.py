@@ -11,6 +11,7 @@ from regionlake import config as C
 from regionlake.operators.joins import missing_members
 from regionlake.operators.sizing import Spine, sized
 from regionlake.operators.windows import outliers
+from regionlake.session import durable
 
 
 def anomalies(
@@ -19,6 +20,8 @@ def anomalies(
 ) -> DataFrame:
     """Anomalies of the yearly table as (type, severity, detail) rows."""
     key = spine.key
+    # Stored once: four checks read the same small yearly table.
+    gold = durable(gold.select(key, year, *[c for c in critical if c in gold.columns]))
     parts = []
     gaps = missing_members(gold, spine, year).groupBy(year).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda v: v.cast("string")), ", ").alias("m")

@@ -35,10 +35,11 @@ def sized(df: DataFrame, max_rows: int = C.BROADCAST_ROWS) -> Sized:
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], salts: int, how: str = "inner") -> DataFrame:
     """Equi join that spreads every key of ``left`` over ``salts`` tasks.
 
-    The salt is a hash of the whole left row, so a retried task salts the same way.
-    Each right row is repeated once per salt.
+    The salt hashes the whole left row and its partition number: a retried task salts
+    the same way, and identical rows of different partitions still part. Each right row
+    is repeated once per salt.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts))
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns]), F.lit(salts))
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
     joined = left.withColumn("_salt", salt).join(
         right.withColumn("_salt", copies), on=[*on, "_salt"], how=how

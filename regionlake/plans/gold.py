@@ -1,4 +1,8 @@
-"""Silver -> gold: yearly prices, composite scores, final table."""
+"""Silver -> gold: yearly prices, composite scores, final table.
+
+Each score first reduces its sources to one row per region and stores that table, so
+every source is read once and the scoring itself runs on a few rows.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from regionlake.operators.aggregates import count_by, median_by, price_stats, su
 from regionlake.operators.joins import attach_all, with_region_values
 from regionlake.operators.sizing import Spine
 from regionlake.operators.windows import keep_first, with_variation
+from regionlake.session import durable
 
 WEIGHTS = C.ScoreWeights()
 
@@ -51,10 +56,10 @@ def access_scores(stops: DataFrame | None, schools: DataFrame | None, shops_heal
         sums = [X.row_sum(*cols).alias(out) for cols, out in ((shop, "nb_commerces"), (care, "nb_sante")) if cols]
         base = base.join(shops_health.select(key, *sums), key, "left")
     counts = ["nb_arrets", "nb_ecoles", "nb_commerces", "nb_sante"]
-    base = base.select(key, *[
+    base = durable(base.select(key, *[
         (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in base.columns else F.lit(0.0)).alias(c)
         for c in counts
-    ])
+    ]))
     parts = {"transport": scaled("nb_arrets"), "schools": scaled("nb_ecoles"), "shops": scaled("nb_commerces"),
              "health": scaled("nb_sante"), "centrality": spine.literal(C.by_region(centrality))}
     score = X.round_half_even(X.weighted(weights.access, parts), 2)
@@ -77,17 +82,14 @@ def life_scores(parks: DataFrame | None, air: DataFrame | None, noise: DataFrame
         if t is not None and c in t.columns:
             base = base.join(keep_first(t.select(key, c), [key], [c]), key, "left")
 
-    def part(c: str, value: Column, missing: Column) -> Column:
-        return F.coalesce(value, missing) if c in base.columns else neutral
-
-    base = base.select(
+    have = base.columns
+    base = durable(base.select(
         key,
-        (F.coalesce(F.col("nb_parcs").cast("double"), F.lit(0.0)) if "nb_parcs" in base.columns else F.lit(0.0)).alias("nb_parcs"),
-        part("score_air", X.clip(F.col("score_air") / 10.0, 0, 10) if "score_air" in base.columns else None,
-             F.lit(0.0)).alias("s_air"),
-        part("score_bruit", F.col("score_bruit"), neutral).alias("s_bruit"),
-        part("score_circulation", F.col("score_circulation"), neutral).alias("s_circ"),
-    )
+        (F.coalesce(F.col("nb_parcs").cast("double"), F.lit(0.0)) if "nb_parcs" in have else F.lit(0.0)).alias("nb_parcs"),
+        (F.coalesce(X.clip(F.col("score_air") / 10.0, 0, 10), F.lit(0.0)) if "score_air" in have else neutral).alias("s_air"),
+        (F.coalesce("score_bruit", neutral) if "score_bruit" in have else neutral).alias("s_bruit"),
+        (F.coalesce("score_circulation", neutral) if "score_circulation" in have else neutral).alias("s_circ"),
+    ))
     parts = {"parks": scaled("nb_parcs"), "air": F.col("s_air"), "noise": F.col("s_bruit"), "traffic": F.col("s_circ")}
     score = X.round_half_even(X.weighted(weights.life, parts), 2)
     return base.withColumn("_b", bounds_of(base, ["nb_parcs"])).select(
@@ -95,12 +97,21 @@ def life_scores(parks: DataFrame | None, air: DataFrame | None, noise: DataFrame
     )
 
 
-def filled(base: DataFrame, column: str, default: Column, fill: Column | str) -> DataFrame:
-    """Default table when the whole column is missing; otherwise ``fill`` (or the median) per gap."""
-    stats = base.agg(F.struct(F.count(column).alias("n"), F.median(column).alias("med")).alias("f")).scalar()
-    gap = F.col("_f.med") if isinstance(fill, str) and fill == "median" else fill
-    value = F.when(F.col("_f.n") == 0, default).otherwise(F.coalesce(F.col(column).cast("double"), gap))
-    return base.withColumn("_f", stats).withColumn(column, value).drop("_f")
+def filled(base: DataFrame, specs: dict[str, tuple[Column, Column | None]]) -> DataFrame:
+    """Fill gaps of several columns: ``{column: (default, fill)}``.
+
+    A column without any value takes its default table; otherwise each gap takes
+    ``fill``, or the column's median when that is None. One aggregate serves all columns.
+    """
+    stats = base.agg(F.struct(*[
+        F.struct(F.count(c).alias("n"), F.median(c).alias("med")).alias(c) for c in specs
+    ]).alias("f")).scalar()
+    out = base.withColumn("_f", stats)
+    for c, (default, fill) in specs.items():
+        gap = F.col(f"_f.{c}.med") if fill is None else fill
+        known = F.coalesce(F.col(c).cast("double"), gap)
+        out = out.withColumn(c, F.when(F.col(f"_f.{c}.n") == 0, default).otherwise(known))
+    return out.drop("_f")
 
 
 def safety_scores(crime: DataFrame | None, security: DataFrame | None, spine: Spine, weights=WEIGHTS,
@@ -117,9 +128,11 @@ def safety_scores(crime: DataFrame | None, security: DataFrame | None, spine: Sp
     for c in ("nb_faits", "nb_commissariats", "nb_casernes"):
         if c not in base.columns:
             base = base.withColumn(c, F.lit(None).cast("double"))
-    base = filled(base, "nb_faits", spine.literal(C.by_region(offences)), "median")
-    base = filled(base, "nb_commissariats", spine.literal(C.by_region(police)), F.lit(1.0))
-    base = filled(base, "nb_casernes", spine.literal(C.by_region(fire)), F.lit(0.0))
+    base = filled(durable(base), {
+        "nb_faits": (spine.literal(C.by_region(offences)), None),
+        "nb_commissariats": (spine.literal(C.by_region(police)), F.lit(1.0)),
+        "nb_casernes": (spine.literal(C.by_region(fire)), F.lit(0.0)),
+    })
     inputs = ["nb_faits", "nb_commissariats", "nb_casernes"]
     parts = {"crime": scaled("nb_faits", inverse=True), "police": scaled("nb_commissariats"), "fire": scaled("nb_casernes")}
     score = X.round_half_even(X.weighted(weights.safety, parts), 2)
@@ -145,6 +158,7 @@ def housing_scores(prices: DataFrame | None, income: DataFrame | None, rents: Da
     rent = rent_column([c for c in rents.columns if c != key]) if rents is not None and key in rents.columns else None
     if rent:
         base = base.join(median_by(rents, [key], rent, "loyer_ref_m2"), key, "left")
+    base = durable(base)
     stats = base.agg(F.struct(F.median("revenu_median").alias("inc"), F.median("prix_m2_median").alias("price"),
                               F.count("prix_m2_median").alias("n")).alias("f")).scalar()
     required = F.when(F.col("_f.inc").isNull(), F.raise_error(F.lit("no median income for any region")).cast("double"))

@@ -11,6 +11,7 @@ from regionlake.operators.aggregates import class_counts, mean_by
 from regionlake.operators.sizing import Spine
 from regionlake.operators.spatial import with_region
 from regionlake.schemas import SALES
+from regionlake.session import durable
 from regionlake.sources import documents as D
 from regionlake.sources.delimited import renamed, resolve_aliases
 
@@ -208,6 +209,7 @@ def noise(raw: DataFrame, spine: Spine) -> DataFrame:
 
 def noise_scores(means: DataFrame, spine: Spine) -> DataFrame:
     """Score from the level; from the delivered raw score when no level is known at all."""
+    means = durable(means)
     of = means.agg(
         F.struct(F.avg("lden_moyen").alias("avg"), F.min("lden_moyen").alias("lo"),
                  F.max("lden_moyen").alias("hi"), F.count("score_bruit_raw").alias("raw")).alias("s")
@@ -242,7 +244,7 @@ def traffic(raw: DataFrame, spine: Spine) -> DataFrame:
 
 def traffic_scores(rows: DataFrame, spine: Spine, defaults=C.DEFAULT_TRAFFIC_SCORES) -> DataFrame:
     """Delivered score, else from the flow, else the default table; then neutral."""
-    base = spine.attach(rows)
+    base = durable(spine.attach(rows))
     of = base.agg(
         F.struct(F.count("score_circulation").alias("n"), F.median("tmja_moyen").alias("med"),
                  F.min("tmja_moyen").alias("lo"), F.max("tmja_moyen").alias("hi")).alias("s")

@@ -196,9 +196,8 @@ def impute(spark, sf):
     base = sp.attach(count_by(few, [C.REGION], "nb")).withColumn("nb", F.col("nb").cast("double"))
     mean = base.agg(F.avg("nb")).scalar()
     df = base.withColumn("par_constante", F.coalesce("nb", F.lit(5.0))).withColumn("par_mediane", F.col("nb"))
-    df = filled(df, "par_mediane", F.lit(0.0), "median").withColumn("par_moyenne", F.round(F.coalesce(F.col("nb"), mean), 9))
-    df = df.withColumn("vide", F.lit(None).cast("double"))
-    df = filled(df, "vide", sp.literal(C.by_region(C.CENTRALITY)), F.lit(0.0))
+    df = df.withColumn("par_moyenne", F.round(F.coalesce(F.col("nb"), mean), 9)).withColumn("vide", F.lit(None).cast("double"))
+    df = filled(df, {"par_mediane": (F.lit(0.0), None), "vide": (sp.literal(C.by_region(C.CENTRALITY)), F.lit(0.0))})
     return df.select(C.REGION, "par_constante", "par_mediane", "par_moyenne", F.col("vide").alias("par_table"))
 
 

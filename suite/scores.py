@@ -6,6 +6,7 @@ from regionlake import config as C
 from regionlake.functions import cleaning as X
 from regionlake.operators import aggregates as A
 from regionlake.plans import gold, silver
+from regionlake.session import durable
 from regionlake.streaming import air
 from suite import domain as D
 from suite.aggregation import SEGMENTS, yearly
@@ -160,8 +161,8 @@ FRAGMENTS["housing"] = ((_h,), "SELECT arrondissement, " + half_even(
     + " AS score_accessibilite_immo, revenu_median, m2_par_revenu FROM housing_in")
 
 
-def housing(spark, sf):
-    return gold.housing_scores(yearly(spark, sf), income(spark, sf), rents(spark, sf), D.spine(spark))
+def housing(spark, sf, prices=None):
+    return gold.housing_scores(yearly(spark, sf) if prices is None else prices, income(spark, sf), rents(spark, sf), D.spine(spark))
 
 
 FRAGMENTS["indicators"] = (("access", "life", "safety", "housing"), "SELECT *, " + half_even(
@@ -169,8 +170,8 @@ FRAGMENTS["indicators"] = (("access", "life", "safety", "housing"), "SELECT *, "
     FROM access LEFT JOIN life USING (arrondissement) LEFT JOIN safety USING (arrondissement) LEFT JOIN housing USING (arrondissement)""")
 
 
-def indicators(spark, sf):
-    return gold.indicators(access(spark, sf), life(spark, sf), safety(spark, sf), housing(spark, sf))
+def indicators(spark, sf, prices=None):
+    return gold.indicators(access(spark, sf), life(spark, sf), safety(spark, sf), housing(spark, sf, prices))
 
 
 @query("x01_min_max_scores", with_("poi") + f"""
@@ -268,9 +269,10 @@ FRAGMENTS["gold_final"] = (("prices", "income", "social", "sensors", "indicators
 
 
 def final(spark, sf):
+    prices = durable(yearly(spark, sf))
     return gold.final_table(
-        yearly(spark, sf), D.spine(spark), social(spark, sf), income(spark, sf), rents(spark, sf),
-        silver.with_air_score(sensors(spark, sf)), indicators(spark, sf))
+        prices, D.spine(spark), social(spark, sf), income(spark, sf), rents(spark, sf),
+        silver.with_air_score(sensors(spark, sf)), indicators(spark, sf, prices))
 
 
 @query("gold_final", with_("gold_final") + "SELECT * REPLACE (round(loyer_ref_median_m2, 8) AS loyer_ref_median_m2) FROM gold_final")
