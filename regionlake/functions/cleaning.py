@@ -26,13 +26,13 @@ def finite(c) -> Column:
 
 
 def number(c) -> Column:
-    """String to double; a decimal comma is accepted, anything unreadable is null."""
-    return finite(F.regexp_replace(col(c).cast("string"), ",", ".").try_cast("double"))
+    """String to double; a decimal comma is accepted, anything unreadable (or NaN) is null."""
+    return F.nullif(F.translate(col(c).cast("string"), ",", ".").try_cast("double"), F.lit(float("nan")))
 
 
 def first_number(c) -> Column:
     """First run of digits and points of a label such as ``25,3 €/m²``."""
-    text = F.regexp_replace(col(c).cast("string"), ",", ".")
+    text = F.translate(col(c).cast("string"), ",", ".")
     return F.nullif(F.regexp_extract(text, r"([\d.]+)", 1), F.lit("")).try_cast("double")
 
 
@@ -53,8 +53,11 @@ def in_domain(c, n_regions: int = C.N_REGIONS) -> Column:
 
 
 def has_prefix(c, prefix: str = C.POSTAL_PREFIX) -> Column:
-    """Prefix test that is false, not null, on a missing code."""
-    return F.coalesce(col(c).cast("string").startswith(prefix), F.lit(False))
+    """Prefix test as a plain string predicate, which scans can push down.
+
+    A missing code gives null, which a filter drops like false.
+    """
+    return col(c).startswith(prefix)
 
 
 def region_of_code(c, prefix: str | None = None, n_regions: int = C.N_REGIONS) -> Column:
@@ -136,10 +139,10 @@ def address(*parts) -> Column:
 
 
 def parsed_date(c, fmt: str | None = None) -> Column:
-    """Date of a string; unreadable dates are null."""
-    c = col(c)
-    stamp = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return stamp.cast("date")
+    """Date of an ISO string, or of the given format; unreadable dates are null."""
+    if fmt is None:
+        return col(c).try_cast("date")
+    return F.try_to_timestamp(col(c), F.lit(fmt)).cast("date")
 
 
 def row_sum(*cols) -> Column:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from regionlake import config as C
 from regionlake.functions.geo import ellipsoid_distance_m, radius_box, strictly_inside
 from regionlake.functions.cleaning import in_box
 from regionlake.operators.sizing import salted_join, sized
+from regionlake.session import durable
 
-CELL_DEGREES = 0.005
+# Grid of the polygon index: cells across a typical region, and cells overall.
+CELLS_ACROSS = 24
+MAX_CELLS = 100_000
 
 
 def polygon_edges(polygons: DataFrame, key: str = C.REGION) -> DataFrame:
@@ -38,48 +43,71 @@ def polygon_edges(polygons: DataFrame, key: str = C.REGION) -> DataFrame:
     )
 
 
-def cell_index(polygons: DataFrame, key: str = C.REGION, cell: float = CELL_DEGREES) -> DataFrame:
-    """One row per grid cell with the candidate regions and the edges that matter there.
+def suitable_cell(boxed: DataFrame) -> float:
+    """Cell size from the polygons' boxes: a typical region spans ``CELLS_ACROSS`` cells,
+    unless the whole set would then need more than ``MAX_CELLS``."""
+    w, h = F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")
+    r = boxed.agg(F.avg(F.sqrt(w * h)).alias("side"), F.sum(w * h).alias("area"), F.max(F.greatest(w, h)).alias("long")).first()
+    if not r["long"]:
+        return 1.0
+    return max(r["side"] / CELLS_ACROSS, math.sqrt(r["area"] / MAX_CELLS), r["long"] / MAX_CELLS)
+
+
+def cell_index(polygons: DataFrame, key: str = C.REGION, cell: float | None = None) -> tuple[DataFrame, float]:
+    """One row per grid cell with the candidate regions and the edges that matter there,
+    and the cell size.
 
     An edge matters in a cell if it overlaps the cell's latitude range and does not lie
     entirely west of it: only such edges can be crossed by the eastward ray of a point
-    in the cell, or touch the point.
+    in the cell, or touch the point. A cell no edge reaches is wholly inside or outside;
+    its centre decides here, once, and its points need no test. ``_sole`` is the region
+    of a cell whose smallest candidate covers it whole.
     """
     edges = polygon_edges(polygons, key)
     low = lambda n1, n2: F.array_min(F.transform("edges", lambda e: F.least(e[n1], e[n2])))
     high = lambda n1, n2: F.array_max(F.transform("edges", lambda e: F.greatest(e[n1], e[n2])))
-    boxed = edges.where(F.size("edges") > 0).select(
-        key, "edges",
-        F.floor(low("x1", "x2") / F.lit(cell)).alias("_cx0"),
-        F.floor(high("x1", "x2") / F.lit(cell)).alias("_cx1"),
-        F.floor(low("y1", "y2") / F.lit(cell)).alias("_cy0"),
-        F.floor(high("y1", "y2") / F.lit(cell)).alias("_cy1"),
-    )
+    extent = durable(edges.where(F.size("edges") > 0).select(
+        key, "edges", low("x1", "x2").alias("_x0"), high("x1", "x2").alias("_x1"),
+        low("y1", "y2").alias("_y0"), high("y1", "y2").alias("_y1"),
+    ))
+    cell = cell or suitable_cell(extent)
+    boxed = extent.select(key, "edges", *[
+        F.floor(F.col(f"_{a}{i}") / F.lit(cell)).alias(f"_c{a}{i}") for a in "xy" for i in (0, 1)
+    ])
     cells = boxed.select(
         key, "edges", F.explode(F.sequence("_cx0", "_cx1")).alias("_cx"), "_cy0", "_cy1"
     ).select(key, "edges", "_cx", F.explode(F.sequence("_cy0", "_cy1")).alias("_cy"))
     # The cell is widened a little, so a rounded cell number never loses an edge.
     slack = cell * 1e-6
-    west = F.col("_cx") * F.lit(cell) - F.lit(slack)
-    south = F.col("_cy") * F.lit(cell) - F.lit(slack)
-    north = (F.col("_cy") + 1) * F.lit(cell) + F.lit(slack)
-    kept = cells.withColumn("_w", west).withColumn("_s", south).withColumn("_n", north).select(
-        "_cx", "_cy", key,
-        F.filter(
-            "edges",
-            lambda e: (F.greatest(e["x1"], e["x2"]) >= F.col("_w"))
-            & (F.greatest(e["y1"], e["y2"]) >= F.col("_s"))
-            & (F.least(e["y1"], e["y2"]) <= F.col("_n")),
-        ).alias("edges"),
-    ).where(F.size("edges") > 0)
-    return kept.groupBy("_cx", "_cy").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(key).alias("region"), "edges"))).alias("_candidates")
+    boxes = cells.select(
+        "*",
+        (F.col("_cx") * F.lit(cell) - F.lit(slack)).alias("_w"),
+        ((F.col("_cx") + 1) * F.lit(cell) + F.lit(slack)).alias("_e"),
+        (F.col("_cy") * F.lit(cell) - F.lit(slack)).alias("_s"),
+        ((F.col("_cy") + 1) * F.lit(cell) + F.lit(slack)).alias("_n"),
+    )
+    kept = boxes.withColumn("edges", F.filter(
+        "edges",
+        lambda e: (F.greatest(e["x1"], e["x2"]) >= F.col("_w"))
+        & (F.greatest(e["y1"], e["y2"]) >= F.col("_s"))
+        & (F.least(e["y1"], e["y2"]) <= F.col("_n")),
+    )).where(F.size("edges") > 0)
+    # Every kept edge overlaps the cell's rows and does not end west of it.
+    mixed = F.exists("edges", lambda e: F.least(e["x1"], e["x2"]) <= F.col("_e"))
+    middle = strictly_inside((F.col("_w") + F.col("_e")) / 2.0, (F.col("_s") + F.col("_n")) / 2.0, F.col("edges"))
+    sorted_out = kept.withColumn("_mixed", mixed).where(F.col("_mixed") | middle)
+    candidate = F.struct(
+        F.col(key).alias("region"), (~F.col("_mixed")).alias("whole"),
+        F.when(F.col("_mixed"), F.col("edges")).alias("edges"),
     )
+    index = sorted_out.groupBy("_cx", "_cy").agg(F.array_sort(F.collect_list(candidate)).alias("_candidates"))
+    first = F.get("_candidates", F.lit(0))
+    return index.withColumn("_sole", F.when(first["whole"], first["region"])), cell
 
 
 def with_region(
     points: DataFrame, polygons: DataFrame, lat: str = "lat", lon: str = "lon", out: str = C.REGION,
-    key: str = C.REGION, cell: float = CELL_DEGREES, salts: int = 32, broadcast_rows: int = C.BROADCAST_ROWS,
+    key: str = C.REGION, cell: float | None = None, salts: int = 32, broadcast_rows: int = C.BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join of points to the region they lie strictly inside.
 
@@ -88,18 +116,22 @@ def with_region(
     point in several regions gets the smallest code. The index is broadcast if its row
     count allows; otherwise the points are salted, so a crowded cell spreads over tasks.
     """
-    index = sized(cell_index(polygons, key, cell), broadcast_rows)
+    cells, cell = cell_index(polygons, key, cell)
+    index = sized(cells, broadcast_rows)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     placed = points.withColumn("_cx", F.floor(x / F.lit(cell))).withColumn("_cy", F.floor(y / F.lit(cell)))
     if index.small:
         joined = placed.join(F.broadcast(index.df), ["_cx", "_cy"], "left")
     else:
         joined = salted_join(placed, index.df, ["_cx", "_cy"], salts, "left")
-    hit = F.filter("_candidates", lambda c: strictly_inside(F.col("_x"), F.col("_y"), c["edges"]))
+    hit = F.filter(
+        "_candidates", lambda c: c["whole"] | strictly_inside(F.col("_x"), F.col("_y"), c["edges"])
+    )
+    tested = F.get(F.transform(hit, lambda c: c["region"]), F.lit(0))
     others = [c for c in points.columns if c != out]
     return (
         joined.withColumn("_x", x).withColumn("_y", y)
-        .select(*others, F.get(F.transform(hit, lambda c: c["region"]), F.lit(0)).alias(out))
+        .select(*others, F.when(F.col("_sole").isNotNull(), F.col("_sole")).otherwise(tested).alias(out))
     )
 
 

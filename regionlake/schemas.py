@@ -76,11 +76,7 @@ GEO = (
     "geometry: struct<type: string, coordinates: string>>>"
 )
 
-# Public tables, in column order.
-SALES = (
-    "date_mutation", "annee", "arrondissement", "type_local", "valeur_fonciere",
-    "surface_reelle_bati", "prix_m2", "nombre_pieces_principales", "longitude", "latitude",
-)
+# Stream records.
 STREAM_BATCH = (
     "batch_id int, timestamp timestamp, arrondissement int, type_local string, surface_m2 double, "
     "prix_m2 double, valeur double"

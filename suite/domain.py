@@ -69,7 +69,7 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
 def landed_sales(spark: SparkSession, sf: str) -> DataFrame:
     """The same lines as strings, the way a yearly file delivers them."""
     raw = raw_sales(spark, sf)
-    text = lambda c: F.regexp_replace(F.col(c).cast("string"), r"\.", ",")
+    text = lambda c: F.translate(F.col(c).cast("string"), ".", ",")
     return raw.select(
         F.col("date_mutation").cast("string").alias("date_mutation"),
         "nature_mutation",

@@ -190,7 +190,7 @@ HOLED = [[[[2.0, 2.0], [8.0, 2.0], [8.0, 8.0], [2.0, 8.0], [2.0, 2.0]], [[5.0, 5
 
 
 @pytest.mark.parametrize("broadcast_rows", [1000, 1])
-@pytest.mark.parametrize("cell", [0.7, 3.0, 50.0])
+@pytest.mark.parametrize("cell", [None, 0.7, 50.0])
 def test_point_in_polygon(spark, cell, broadcast_rows):
     shapes = spark.createDataFrame([(7, SQUARE), (3, HOLED)], "arrondissement int, parts array<array<array<array<double>>>>")
     cases = {(1.0, 1.0): 7, (3.0, 3.0): 3, (0.0, 1.0): None, (4.0, 1.0): None, (1.0, 4.0): None, (0.0, 0.0): None,
