@@ -165,4 +165,6 @@ def _same(keys: list[str]) -> Column:
 
 
 def _left(keys: list[str]) -> list[Column]:
-    return [F.col(f"l.{k}").alias(k) for k in keys]
+    # No alias: an aliased key would make the two readers of the counted values differ,
+    # and they could no longer share its shuffle.
+    return [F.col(f"l.{k}") for k in keys]

@@ -34,42 +34,47 @@ def rolling_mean(
     the mean is a running sum of these changes. Changes are combined per (key, time)
     before the shuffle; the running sum is taken inside short time slices, each slice
     starting from the total of the earlier ones. A key with a third of all rows is
-    therefore spread over its slices. Sums are decimals, so the order of addition and
-    the cancelling of expired values cannot change the result.
+    therefore spread over its slices. Values are counted in units of 10^-scale as whole
+    numbers, so neither the order of addition nor the cancelling of expired values can
+    change the result; a sum beyond 64 bits raises an error (choose a smaller scale).
     """
     width_us = hours * 3_600_000_000 + 1
     slice_us = slice_minutes * 60_000_000
+    unit = float(10**scale)
     known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & F.col(value).isNotNull())
-    amount = F.col(value).cast(f"decimal(24,{scale})")
+    amount = F.rint(F.col(value).cast("double") * F.lit(unit)).cast("bigint")
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     changes = (
         known.select(
             F.col(key).alias("_key"),
             F.inline(
                 F.array(
-                    F.struct(at.alias("_at"), amount.alias("_s"), F.lit(1).cast("bigint").alias("_n"),
-                             F.lit(True).alias("_seen")),
+                    F.struct(at.alias("_at"), amount.alias("_s"), F.lit(1).alias("_in"), F.lit(0).alias("_out")),
                     F.struct((at + F.lit(width_us)).alias("_at"), (-amount).alias("_s"),
-                             F.lit(-1).cast("bigint").alias("_n"), F.lit(False).alias("_seen")),
+                             F.lit(0).alias("_in"), F.lit(1).alias("_out")),
                 )
             ),
         )
-        .groupBy("_key", "_at")
-        .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.max("_seen").alias("_seen"))
-        .withColumn("_slice", F.floor(F.col("_at") / F.lit(slice_us)))
+        .withColumn("_slice", F.expr(f"_at div {slice_us}"))
+        # The join below infers this for one side; stated here, both sides share one shuffle.
+        .where(F.col("_slice").isNotNull())
+        .groupBy("_key", "_slice", "_at")
+        .agg(F.sum("_s").alias("_s"), F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
     )
     before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = changes.groupBy("_key", "_slice").agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn")).select(
+    net = F.col("_in") - F.col("_out")
+    carried = changes.groupBy("_key", "_slice").agg(F.sum("_s").alias("_ts"), F.sum(net).alias("_tn")).select(
         "_key", "_slice",
         F.coalesce(F.sum("_ts").over(before), F.lit(0)).alias("_cs"),
         F.coalesce(F.sum("_tn").over(before), F.lit(0)).alias("_cn"),
     )
     inside = Window.partitionBy("_key", "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    total = (F.col("_cs") + F.sum("_s").over(inside)).cast("double")
+    total = (F.col("_cs") + F.sum("_s").over(inside)).cast("double") / F.lit(unit)
+    count = F.col("_cn") + F.sum(net).over(inside)
     means = (
         changes.join(carried, ["_key", "_slice"])
-        .select("_key", "_at", "_seen", (total / (F.col("_cn") + F.sum("_n").over(inside))).alias(out))
-        .where("_seen")
+        .select("_key", "_at", "_in", F.try_divide(total, count).alias(out))
+        .where("_in > 0")
         .select("_key", "_at", out)
     )
     rows = df.withColumn("_key", F.col(key)).withColumn("_at", at)
