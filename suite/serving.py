@@ -56,7 +56,8 @@ def compare_prices(spark, sf):
       UNION ALL SELECT 7, 'nb_faits', nb_faits, arrondissement FROM safety)
     SELECT m AS mesure, max(v) FILTER (WHERE a = 4) AS valeur_1, max(v) FILTER (WHERE a = 8) AS valeur_2,
            CASE WHEN m = 'nb_faits' THEN NULL
-                WHEN (max(v) FILTER (WHERE a = 4) < max(v) FILTER (WHERE a = 8)) = (m = 'prix_m2_median') THEN 4 ELSE 8 END AS meilleur
+                WHEN (max(v) FILTER (WHERE a = 4) < max(v) FILTER (WHERE a = 8)) = (m = 'prix_m2_median') THEN 4
+                WHEN (max(v) FILTER (WHERE a = 4) > max(v) FILTER (WHERE a = 8)) = (m = 'prix_m2_median') THEN 8 END AS meilleur
     FROM v GROUP BY m""")
 def compare_measures(spark, sf):
     m = V.compare(yearly(spark, sf), scores.safety(spark, sf), 4, 8, 1999).measures

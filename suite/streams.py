@@ -37,7 +37,7 @@ def micro_batch(spark, sf):
                      F.round("prix_m2_moyen", 8).alias("prix_m2_moyen"), "batch_id")
 
 
-@query("s11_batch_log", "SELECT 0 AS batch_id, count(*) AS n_records, 20 AS regions FROM events")
+@query("s11_batch_log", "SELECT 0 AS batch_id, count(*) AS n_records, count(DISTINCT user_id % 20) AS regions FROM events")
 def batch_log(spark, sf):
     """The log row of the batch, and the consolidated table over it."""
     out, log, mark = (scratch_path(spark, x) for x in ("batches", "log", "mark"))

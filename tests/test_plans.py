@@ -1,4 +1,4 @@
-"""Plan shapes: what must not appear anywhere, and what must be pushed down or shared."""
+"""Plan shapes: what must be pushed down, shared or pruned (products and Python workers are refused in ``suite.check``)."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +11,6 @@ from regionlake.plans import silver
 from suite import domain as D
 
 SF = "/root/testdata/sf0.001"
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "ArrowEval", "FlatMapGroups")
-
-
 def plan(df, executed=False):
     if executed:
         df.write.format("noop").mode("overwrite").save()
@@ -21,14 +18,11 @@ def plan(df, executed=False):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_product_and_no_python_in_any_query(spark):
-    found = {}
-    for name, fn in entry.queries().items():
-        text = plan(fn(spark, SF))
-        hits = [w for w in FORBIDDEN if w in text]
-        if hits:
-            found[name] = hits
-    assert not found
+@pytest.fixture(autouse=True)
+def long_scan_lines(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def final_plan(df):
