@@ -15,12 +15,12 @@ from suite.registry import half_even, query, with_
 
 @query("p01_prefix_filter", """
     SELECT c_custkey, '750' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS code
-    FROM customer WHERE c_nationkey % 4 <> 0""")
+    FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')""")
 def prefix_filter(spark, sf):
     code = F.lpad(F.col(C.REGION).cast("string"), 2, "0")
     df = D.customers(spark, sf).withColumn(
-        "code", F.when((F.col(C.REGION) - 1) % 4 != 0, F.concat(F.lit("750"), code)).when(
-            (F.col(C.REGION) - 1) % 8 == 0, F.concat(F.lit("751"), code)))
+        "code", F.when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("751"), code)).when(
+            F.col("c_mktsegment") != "BUILDING", F.concat(F.lit("750"), code)))
     return df.where(X.has_prefix("code")).select("c_custkey", "code")
 
 
@@ -69,11 +69,11 @@ def alias_resolution(spark, sf):
 
 
 @query("p08_region_from_code", with_("customers") + """
-    SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 OR arrondissement > 20 THEN NULL ELSE arrondissement END AS region
+    SELECT c_custkey, CASE WHEN c_acctbal < 0 OR arrondissement > 20 THEN NULL ELSE arrondissement END AS region
     FROM customers""")
 def region_from_code(spark, sf):
     code = F.concat(F.lit("750"), F.lpad(F.col(C.REGION).cast("string"), 2, "0"))
-    odd = F.when(F.col("c_custkey") % 7 == 0, F.concat(code, F.lit("9"))).otherwise(code)
+    odd = F.when(F.col("c_acctbal") < 0, F.concat(code, F.lit("9"))).otherwise(code)
     return D.customers(spark, sf).select("c_custkey", X.region_of_code(odd, "750").alias("region"))
 
 
@@ -121,13 +121,15 @@ def bounding_box(spark, sf):
 
 
 @query("p14_class_mapping", """
-    SELECT CASE p_size % 6 WHEN 0 THEN 'supermarche' WHEN 1 THEN 'boulangerie' WHEN 2 THEN 'pharmacie'
-                WHEN 3 THEN 'hopital' ELSE 'medecin' END AS categorie, count(*) AS n
-    FROM part WHERE p_size % 6 <> 5 GROUP BY 1""")
+    SELECT CASE p_type WHEN 'ECONOMY' THEN 'supermarche' WHEN 'LARGE' THEN 'boulangerie' WHEN 'MEDIUM' THEN 'pharmacie'
+                WHEN 'PROMO' THEN 'hopital' ELSE 'medecin' END AS categorie, count(*) AS n
+    FROM part WHERE p_type <> 'STANDARD' GROUP BY 1""")
 def class_mapping(spark, sf):
-    m = F.col("p_size") % 6
-    shop = F.when(m == 0, "convenience").when(m == 1, "bakery").when(m == 2, "pharmacy").when(m == 5, "kiosk")
-    amenity = F.when(m == 3, "clinic").when(m == 4, "doctors").when(m == 5, "bench")
+    """Part types as tags; standard parts have tags without a class."""
+    t = F.col("p_type")
+    shop = (F.when(t == "ECONOMY", "convenience").when(t == "LARGE", "bakery").when(t == "MEDIUM", "pharmacy")
+            .when(t == "STANDARD", "kiosk"))
+    amenity = F.when(t == "PROMO", "clinic").when(t == "SMALL", "doctors").when(t == "STANDARD", "bench")
     df = D.table(spark, sf, "part").select(X.poi_class(shop, amenity).alias("categorie"))
     return df.where(F.col("categorie").isNotNull()).groupBy("categorie").agg(F.count(F.lit(1)).alias("n"))
 
@@ -149,9 +151,9 @@ def grid(spark, sf):
 
 @query("p16_date_parsing", """
     SELECT CAST(year(o_orderdate) AS INT) AS an, count(*) AS n,
-           count(*) FILTER (WHERE o_orderkey % 10 <> 0) AS dates_lues FROM orders GROUP BY 1""")
+           count(*) FILTER (WHERE o_orderpriority <> '5-LOW') AS dates_lues FROM orders GROUP BY 1""")
 def date_parsing(spark, sf):
-    text = F.when(F.col("o_orderkey") % 10 == 0, F.lit("31/02/x")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    text = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("31/02/x")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     return D.table(spark, sf, "orders").select(F.year("o_orderdate").alias("an"), X.parsed_date(text).alias("d")).groupBy(
         "an").agg(F.count(F.lit(1)).alias("n"), F.count("d").alias("dates_lues"))
 
@@ -179,7 +181,7 @@ def drop_incomplete(spark, sf):
 
 @query("p19_impute", """
     WITH base AS (SELECT n_nationkey + 1 AS arrondissement, CAST(t.n AS DOUBLE) AS nb FROM nation
-                  LEFT JOIN (SELECT s_nationkey, count(*) n FROM supplier WHERE s_nationkey % 3 <> 0 GROUP BY 1) t
+                  LEFT JOIN (SELECT s_nationkey, count(*) n FROM supplier WHERE s_acctbal >= 6000 GROUP BY 1) t
                   ON t.s_nationkey = n_nationkey)
     SELECT arrondissement, coalesce(nb, 5e0) AS par_constante,
            coalesce(nb, (SELECT median(nb) FROM base)) AS par_mediane,
@@ -192,7 +194,7 @@ def impute(spark, sf):
     from regionlake.plans.gold import filled
 
     sp = D.spine(spark)
-    few = D.suppliers(spark, sf).where((F.col(C.REGION) - 1) % 3 != 0)
+    few = D.suppliers(spark, sf).where(F.col("s_acctbal") >= 6000)
     base = sp.attach(count_by(few, [C.REGION], "nb")).withColumn("nb", F.col("nb").cast("double"))
     mean = base.agg(F.avg("nb")).scalar()
     df = base.withColumn("par_constante", F.coalesce("nb", F.lit(5.0))).withColumn("par_mediane", F.col("nb"))

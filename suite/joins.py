@@ -16,9 +16,9 @@ from suite.registry import FRAGMENTS, query, with_
 
 @query("j01_spine_coverage", with_("spine") + """
     SELECT s.arrondissement, t.nb_clients FROM spine s
-    LEFT JOIN (SELECT c_nationkey + 1 AS a, count(*) AS nb_clients FROM customer WHERE c_nationkey < 22 GROUP BY 1) t ON a = s.arrondissement""")
+    LEFT JOIN (SELECT c_nationkey + 1 AS a, count(*) AS nb_clients FROM customer WHERE c_acctbal > 9700 GROUP BY 1) t ON a = s.arrondissement""")
 def spine_coverage(spark, sf):
-    few = D.customers(spark, sf).where(F.col(C.REGION) <= 22)
+    few = D.customers(spark, sf).where(F.col("c_acctbal") > 9700)
     return D.spine(spark).attach(A.count_by(few, [C.REGION], "nb_clients"))
 
 
@@ -75,11 +75,11 @@ def point_in_polygon_salted(spark, sf):
 
 
 @query("j06_conditional_enrichment", with_("hits") + """
-    SELECT c_custkey, min(CASE WHEN c_custkey % 6 = 0 THEN c.arrondissement ELSE region END) AS arrondissement
+    SELECT c_custkey, min(CASE WHEN c_mktsegment = 'BUILDING' THEN c.arrondissement ELSE region END) AS arrondissement
     FROM customers c LEFT JOIN hits USING (c_custkey) GROUP BY 1""")
 def conditional_enrichment(spark, sf):
     """Rows without coordinates keep their region; too few have one to skip the join."""
-    known = F.col("c_custkey") % 6 == 0
+    known = F.col("c_mktsegment") == "BUILDING"
     df = D.customers(spark, sf).select(
         "c_custkey", F.when(known, F.col(C.REGION)).alias(C.REGION),
         F.when(~known, F.col("lat")).alias("lat"), F.when(~known, F.col("lon")).alias("lon"))
@@ -117,10 +117,10 @@ def comparison(spark, sf):
 
 
 @query("j10_missing_members", with_("spine", "sales") + """
-    , f AS (SELECT DISTINCT arrondissement, annee FROM sales WHERE (arrondissement * 7 + annee) % 5 <> 0),
+    , f AS (SELECT DISTINCT arrondissement, annee FROM sales WHERE prix_m2 > 15000),
     y AS (SELECT DISTINCT annee FROM f)
     SELECT s.arrondissement, y.annee FROM spine s, y WHERE NOT EXISTS (
         SELECT 1 FROM f WHERE f.arrondissement = s.arrondissement AND f.annee = y.annee)""")
 def missing(spark, sf):
-    facts = D.sales(spark, sf).where((F.col(C.REGION) * 7 + F.col(C.YEAR)) % 5 != 0)
+    facts = D.sales(spark, sf).where(F.col("prix_m2") > 15000)
     return J.missing_members(facts, D.spine(spark))

@@ -8,22 +8,26 @@ from regionlake.operators import merge as M
 from regionlake.operators import quality as Q
 from regionlake.sources import files
 from suite import domain as D
+from regionlake.plans import gold
 from suite.aggregation import yearly
 from suite.registry import FRAGMENTS, half_even, query, with_
 
-FRAGMENTS["damaged"] = (("prices",), """
+FRAGMENTS["dear"] = (("sales",), f"""
+    SELECT arrondissement, annee, {half_even('median(prix_m2)')} AS prix_m2_median, count(*) AS nb_transactions
+    FROM sales WHERE prix_m2 > 8000 GROUP BY 1, 2""")
+FRAGMENTS["damaged"] = (("dear",), """
     SELECT arrondissement, annee, CASE WHEN arrondissement = 2 THEN NULL WHEN arrondissement = 6 AND annee = 1997 THEN 90000
            WHEN arrondissement = 7 AND annee = 1997 THEN -5 ELSE prix_m2_median END AS prix_m2_median,
            CASE WHEN arrondissement = 4 THEN 3 ELSE nb_transactions END AS nb_transactions
-    FROM prices WHERE NOT (arrondissement IN (5, 11) AND annee = 1998)""")
+    FROM dear""")
 
 
 def damaged(spark, sf):
-    """The yearly table with planted gaps, nulls, outliers and low volumes."""
+    """The yearly table of dear sales, which has gaps and low volumes, with planted nulls and outliers."""
     r, y = F.col(C.REGION), F.col(C.YEAR)
     price = (F.when(r == 2, F.lit(None)).when((r == 6) & (y == 1997), 90000.0).when((r == 7) & (y == 1997), -5.0)
              .otherwise(F.col("prix_m2_median")))
-    rows = yearly(spark, sf).where(~(r.isin(5, 11) & (y == 1998)))
+    rows = gold.yearly_prices(D.sales(spark, sf).where(F.col("prix_m2") > 8000))
     return rows.select(r, y, price.alias("prix_m2_median"),
                        F.when(r == 4, F.lit(3)).otherwise(F.col("nb_transactions")).alias("nb_transactions"))
 
@@ -92,16 +96,16 @@ def catalog(spark, sf):
     SELECT source, 'doc-' || doc_id || '.' || f AS path, f AS format, CAST(strlen(body) AS BIGINT) AS size_bytes, sha256(body) AS checksum, kind AS payload_kind, features AS nb_features,
            colonnes, lignes AS nb_rows_sample, n AS sample_size FROM (
       SELECT doc_id, source, 'json' AS f, '[' || n_chars || ',' || doc_id || ']' AS body, 'json' AS kind, NULL AS features, NULL AS colonnes, NULL AS lignes, 2 AS n
-      FROM documents WHERE doc_id % 3 = 0
-      UNION ALL SELECT doc_id, source, 'geojson', '{"features":[{"id":' || doc_id || '}]}', 'geojson', 1, NULL, NULL, 1 FROM documents WHERE doc_id % 3 = 1
-      UNION ALL SELECT doc_id, source, 'csv', 'lang;taille' || chr(10) || lang || ';' || n_chars || chr(10), 'csv', NULL, 'lang,taille', 1, 1 FROM documents WHERE doc_id % 3 = 2)""")
+      FROM documents WHERE lang = 'en'
+      UNION ALL SELECT doc_id, source, 'geojson', '{"features":[{"id":' || doc_id || '}]}', 'geojson', 1, NULL, NULL, 1 FROM documents WHERE lang = 'fr'
+      UNION ALL SELECT doc_id, source, 'csv', 'lang;taille' || chr(10) || lang || ';' || n_chars || chr(10), 'csv', NULL, 'lang,taille', 1, 1 FROM documents WHERE lang NOT IN ('en', 'fr'))""")
 def file_inventory(spark, sf):
     """Describe one landed payload per document: kind, checksum, columns, sample."""
-    m = F.col("doc_id") % 3
-    fmt = F.when(m == 0, "json").when(m == 1, "geojson").otherwise("csv")
+    english, french = F.col("lang") == "en", F.col("lang") == "fr"
+    fmt = F.when(english, "json").when(french, "geojson").otherwise("csv")
     body = (
-        F.when(m == 0, F.concat(F.lit("["), F.col("n_chars"), F.lit(","), F.col("doc_id"), F.lit("]")))
-        .when(m == 1, F.concat(F.lit('{"features":[{"id":'), F.col("doc_id"), F.lit("}]}")))
+        F.when(english, F.concat(F.lit("["), F.col("n_chars"), F.lit(","), F.col("doc_id"), F.lit("]")))
+        .when(french, F.concat(F.lit('{"features":[{"id":'), F.col("doc_id"), F.lit("}]}")))
         .otherwise(F.concat(F.lit("lang;taille\n"), F.col("lang"), F.lit(";"), F.col("n_chars"), F.lit("\n")))
     )
     docs = D.table(spark, sf, "documents").select(
@@ -118,10 +122,11 @@ def file_inventory(spark, sf):
     SELECT 'ck_annee' AS regle, count(*) FILTER (WHERE annee < 2000) AS violations, count(*) FILTER (WHERE annee < 2000) = 0 AS valide FROM raw_sales
     UNION ALL SELECT 'ck_prix_positif', count(*) FILTER (WHERE valeur_fonciere / surface_reelle_bati <= 0), count(*) FILTER (WHERE valeur_fonciere / surface_reelle_bati <= 0) = 0 FROM raw_sales
     UNION ALL SELECT 'nn_date', count(*) FILTER (WHERE date_mutation IS NULL), count(*) FILTER (WHERE date_mutation IS NULL) = 0 FROM raw_sales
-    UNION ALL SELECT 'fk_region', count(*) FILTER (WHERE arrondissement > 20), count(*) FILTER (WHERE arrondissement > 20) = 0 FROM raw_sales""")
+    UNION ALL SELECT 'fk_region', count(*) FILTER (WHERE NOT connu), count(*) FILTER (WHERE NOT connu) = 0 FROM (
+      SELECT arrondissement IN (SELECT s_nationkey + 1 FROM supplier WHERE s_acctbal > 3000) AS connu FROM raw_sales)""")
 def constraints(spark, sf):
     sales = D.raw_sales(spark, sf).withColumn("prix_m2", F.col("valeur_fonciere") / F.col("surface_reelle_bati"))
-    dimension = D.table(spark, sf, "nation").where(F.col("n_nationkey") < 20).select((F.col("n_nationkey") + 1).alias(C.REGION))
+    dimension = D.suppliers(spark, sf).where(F.col("s_acctbal") > 3000).select(C.REGION)
     return Q.check_report(sales, Q.sale_checks(dimension))
 
 
@@ -149,22 +154,22 @@ def expectations(spark, sf):
 
 @query("q07_coverage", with_("sales", "spine") + """
     SELECT count(DISTINCT annee) AS annees, (SELECT count(*) FROM spine WHERE arrondissement NOT IN (
-           SELECT arrondissement FROM sales WHERE arrondissement % 6 <> 0)) AS regions_absentes FROM sales WHERE arrondissement % 6 <> 0""")
+           SELECT arrondissement FROM sales WHERE prix_m2 > 25000)) AS regions_absentes FROM sales WHERE prix_m2 > 25000""")
 def coverage(spark, sf):
-    return Q.coverage(D.sales(spark, sf).where(F.col(C.REGION) % 6 != 0), D.spine(spark))
+    return Q.coverage(D.sales(spark, sf).where(F.col("prix_m2") > 25000), D.spine(spark))
 
 
 @query("s12_upsert", """
-    SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 <> 0 THEN CAST(year(o_orderdate) AS INT) END AS annee,
-           CASE WHEN o_orderkey % 4 = 0 THEN -1e0 ELSE o_totalprice END AS valeur FROM orders
-    UNION ALL SELECT o_orderkey + 100000000, CAST(year(o_orderdate) AS INT), 7e0 FROM orders WHERE o_orderkey % 16 = 0 AND o_orderkey % 10 <> 0""")
+    SELECT o_orderkey AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(year(o_orderdate) AS INT) END AS annee,
+           CASE WHEN o_orderstatus = 'F' THEN -1e0 ELSE o_totalprice END AS valeur FROM orders
+    UNION ALL SELECT o_orderkey + 100000000, CAST(year(o_orderdate) AS INT), 7e0 FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def upsert(spark, sf):
-    """Every fourth order is updated (null key parts included), some keys are new, one run is repeated."""
+    """Filled orders are updated (null key parts included), urgent ones add keys, the run is repeated."""
     orders = D.table(spark, sf, "orders")
-    year = F.when(F.col("o_orderkey") % 10 != 0, F.year("o_orderdate")).alias("annee")
+    year = F.when(F.col("o_orderpriority") != "5-LOW", F.year("o_orderdate")).alias("annee")
     target = orders.select(F.col("o_orderkey").alias("k"), year, F.col("o_totalprice").alias("valeur"))
-    changed = orders.where(F.col("o_orderkey") % 4 == 0).select(F.col("o_orderkey").alias("k"), year, F.lit(-1.0).alias("valeur"))
-    new = orders.where((F.col("o_orderkey") % 16 == 0) & (F.col("o_orderkey") % 10 != 0)).select(
+    changed = orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("k"), year, F.lit(-1.0).alias("valeur"))
+    new = orders.where(F.col("o_orderpriority") == "1-URGENT").select(
         (F.col("o_orderkey") + 100000000).alias("k"), F.year("o_orderdate").alias("annee"), F.lit(7.0).alias("valeur"))
     source = changed.unionByName(new)
     once = M.upserted(target, source, ["k", "annee"])

@@ -58,21 +58,21 @@ def enveloped(df, record, size=50):
 
 
 @query("s03_record_envelopes", with_("customers") + """
-    SELECT CASE c_custkey % 3 WHEN 0 THEN 'a' ELSE 'b' END || c_mktsegment AS nom, lat, lon, CASE WHEN c_custkey % 2 = 0 THEN 'Metro' ELSE '' END AS type,
+    SELECT CASE WHEN c_acctbal < 0 THEN 'a' ELSE 'b' END || c_mktsegment AS nom, lat, lon, CASE WHEN c_acctbal > 5000 THEN 'Metro' ELSE '' END AS type,
            count(*) AS n FROM customers
-    WHERE lat BETWEEN 48.8::DOUBLE AND 48.92::DOUBLE AND lon BETWEEN 2.26::DOUBLE AND 2.42::DOUBLE AND c_custkey % 5 <> 4 GROUP BY 1, 2, 3, 4""")
+    WHERE lat BETWEEN 48.8::DOUBLE AND 48.92::DOUBLE AND lon BETWEEN 2.26::DOUBLE AND 2.42::DOUBLE AND c_mktsegment <> 'MACHINERY' GROUP BY 1, 2, 3, 4""")
 def record_envelopes(spark, sf):
-    """Stops with several name and coordinate fields; every fifth has none."""
+    """Stops with several name and coordinate fields; one segment has no coordinates."""
     df = D.customers(spark, sf).withColumn("k", F.col("c_custkey"))
-    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
-    geo, own = k % 5 < 2, k % 5 < 4
+    seg, balance = F.col("c_mktsegment"), F.col("c_acctbal")
+    geo, own = seg.isin("AUTOMOBILE", "BUILDING"), seg.isin("FURNITURE", "HOUSEHOLD")
     record = F.struct(
-        F.when(k % 3 == 0, F.concat(F.lit("a"), seg)).alias("nom_long"),
-        F.when(k % 3 != 0, F.concat(F.lit("b"), seg)).alias("nom_arret"),
+        F.when(balance < 0, F.concat(F.lit("a"), seg)).alias("nom_long"),
+        F.when(balance >= 0, F.concat(F.lit("b"), seg)).alias("nom_arret"),
         F.when(geo, F.struct("lat", "lon")).alias("geo_point_2d"),
-        F.when(own & ~geo, F.col("lat").cast("string")).alias("stop_lat"),
-        F.when(own & ~geo, F.col("lon").cast("string")).alias("stop_lon"),
-        F.when(k % 2 == 0, F.lit("Metro")).alias("mode"))
+        F.when(own, F.col("lat").cast("string")).alias("stop_lat"),
+        F.when(own, F.col("lon").cast("string")).alias("stop_lon"),
+        F.when(balance > 5000, F.lit("Metro")).alias("mode"))
     raw = documents.parse_json(enveloped(df, record), "doc", envelope(STOP))
     return silver.stops(raw).groupBy("nom", "lat", "lon", "type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -80,11 +80,11 @@ def record_envelopes(spark, sf):
 @query("s03_schools", with_("customers") + """
     SELECT c_mktsegment AS nom, '750' || lpad(CAST(arrondissement AS VARCHAR), 2, '0') AS code_postal, arrondissement, '' AS type,
            CASE WHEN c_custkey % 2 = 0 THEN 'Public' ELSE '' END AS statut, lat, lon, count(*) AS n FROM customers
-    WHERE arrondissement <= 20 AND c_custkey % 9 <> 0 GROUP BY ALL""")
+    WHERE arrondissement <= 20 AND c_acctbal >= 0 GROUP BY ALL""")
 def schools(spark, sf):
     df = D.customers(spark, sf).withColumn("k", F.col("c_custkey"))
     k = F.col("c_custkey")
-    code = F.concat(F.when(k % 9 == 0, F.lit("751")).otherwise("750"), F.lpad(F.col(C.REGION).cast("string"), 2, "0"))
+    code = F.concat(F.when(F.col("c_acctbal") < 0, F.lit("751")).otherwise("750"), F.lpad(F.col(C.REGION).cast("string"), 2, "0"))
     record = F.struct(
         F.when(k % 2 == 0, code).alias("code_postal_uai"), F.when(k % 2 != 0, code).alias("code_postal"),
         F.col("c_mktsegment").alias("appellation_officielle"),
@@ -110,12 +110,12 @@ def map_document(spark, sf):
 @query("s04_air_live_list", f"""
     SELECT arrondissement, iqa_moyen, "no2_µg_m3", "pm25_µg_m3", {half_even('greatest(least(1e2 - iqa_moyen, 1e2), 0)', 1)} AS score_air, n FROM (
       SELECT CAST(user_id % 20 + 1 AS INT) AS arrondissement, value AS iqa_moyen, CAST(user_id AS DOUBLE) AS "no2_µg_m3", 3e0 AS "pm25_µg_m3", count(*) AS n
-      FROM events WHERE event_id % 4 <> 0 GROUP BY ALL)""")
+      FROM events WHERE event_type <> 'error' GROUP BY ALL)""")
 def air_live(spark, sf):
-    """Live records in lists; a quarter belong to other communes."""
+    """Live records in lists; errors belong to other communes."""
     df = D.table(spark, sf, "events").withColumn("k", F.col("event_id"))
     region = F.lpad((F.col("user_id") % 20 + 1).cast("string"), 2, "0")
-    code = F.concat(F.when(F.col("event_id") % 4 == 0, F.lit("920")).otherwise("751"), region)
+    code = F.concat(F.when(F.col("event_type") == "error", F.lit("920")).otherwise("751"), region)
     odd = F.col("event_id") % 2 == 1
     record = F.struct(
         F.when(odd, code).alias("commune_code"), F.when(~odd, code).alias("insee"),
@@ -176,7 +176,7 @@ def polygon_table(spark, sf):
 
 FRAGMENTS["lden"] = (("spine",), """
     SELECT s.arrondissement, avg(CAST(floor(value) AS DOUBLE)) AS lden_moyen, avg(CAST(floor(value) AS DOUBLE) / 2e0) AS lnight FROM spine s
-    LEFT JOIN events e ON e.user_id % 22 + 1 = s.arrondissement AND event_id % 3 <> 0 AND floor(value) <> 0 GROUP BY 1""")
+    LEFT JOIN events e ON e.user_id % 22 + 1 = s.arrondissement AND event_type <> 'error' AND floor(value) <> 0 GROUP BY 1""")
 
 
 @query("s07_nested_records", with_("lden") + f"""
@@ -188,7 +188,7 @@ def nested_records(spark, sf):
     whole = F.floor("value").cast("int")
     df = D.table(spark, sf, "events").withColumn("k", F.col("event_id")).where(whole != 0)
     region = F.lpad((F.col("user_id") % 22 + 1).cast("string"), 2, "0")
-    code = F.concat(F.when(F.col("event_id") % 3 == 0, F.lit("920")).otherwise("751"), region)
+    code = F.concat(F.when(F.col("event_type") == "error", F.lit("920")).otherwise("751"), region)
     odd = F.col("event_id") % 2 == 1
     fields = F.struct(
         code.alias("commune_code"), F.when(odd, whole).alias("lden"), F.when(~odd, whole).alias("laeq"),
@@ -201,7 +201,7 @@ def nested_records(spark, sf):
 
 @query("s07_traffic_records", """
     WITH t AS (SELECT n_nationkey + 1 AS arrondissement, avg(CAST(floor(value) AS DOUBLE)) AS tmja FROM nation
-               LEFT JOIN events ON user_id % 22 + 1 = n_nationkey + 1 AND event_id % 5 <> 0 AND floor(value) <> 0 GROUP BY 1)
+               LEFT JOIN events ON user_id % 22 + 1 = n_nationkey + 1 AND event_type <> 'signup' AND floor(value) <> 0 GROUP BY 1)
     SELECT arrondissement, round(tmja, 8) AS tmja_moyen FROM t""")
 def traffic_records(spark, sf):
     whole = F.floor("value").cast("int")
@@ -209,8 +209,8 @@ def traffic_records(spark, sf):
     region = F.lpad((F.col("user_id") % 22 + 1).cast("string"), 2, "0")
     odd = F.col("event_id") % 2 == 1
     record = F.struct(
-        F.when(odd & (F.col("event_id") % 5 != 0), region).alias("arrondissement"),
-        F.when(~odd & (F.col("event_id") % 5 != 0), region).alias("codearr"),
+        F.when(odd & (F.col("event_type") != "signup"), region).alias("arrondissement"),
+        F.when(~odd & (F.col("event_type") != "signup"), region).alias("codearr"),
         F.when(odd, whole).alias("q"), F.when(~odd, whole.cast("string")).alias("tmja"))
     wrap = F.to_json(F.struct(F.lit("capteurs").alias("source"), F.col("rs").alias("records")))
     raw = documents.parse_json(bundled(df, 100, record, wrap), "doc", TRAFFIC)
@@ -232,33 +232,33 @@ def partial_sources(spark, sf):
 
 
 @query("s09_partitioned_sink", with_("sales") + """
-    SELECT annee, count(*) AS n, min(id) AS premier FROM sales WHERE annee <> 1997 OR id % 2 = 0 GROUP BY 1""")
+    SELECT annee, count(*) AS n, min(id) AS premier FROM sales WHERE annee <> 1997 OR type_local = 'Maison' GROUP BY 1""")
 def partitioned_sink(spark, sf):
     """All years are written, then one year is replaced without touching the others."""
     path = scratch_path(spark, "yearly")
-    sales = D.sales(spark, sf).select("id", C.REGION, C.YEAR, "prix_m2")
+    sales = D.sales(spark, sf).select("id", C.REGION, C.YEAR, "type_local", "prix_m2")
     sinks.write_yearly(sales, path)
-    sinks.write_yearly(sales.where((F.col(C.YEAR) == 1997) & (F.col("id") % 2 == 0)), path)
+    sinks.write_yearly(sales.where((F.col(C.YEAR) == 1997) & (F.col("type_local") == "Maison")), path)
     return spark.read.parquet(path).groupBy(C.YEAR).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("premier"))
 
 
 @query("s10_region_lines", """
-    SELECT c_custkey, '751' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS code FROM customer WHERE c_custkey % 3 = 0""")
+    SELECT c_custkey, '751' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS code FROM customer WHERE c_acctbal >= 0""")
 def region_lines(spark, sf):
     part = F.lpad((F.col(C.REGION) - 1).cast("string"), 2, "0")
-    code = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("751"), part)).otherwise(F.concat(F.lit("013"), part))
+    code = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("751"), part)).otherwise(F.concat(F.lit("013"), part))
     df = D.customers(spark, sf).select("c_custkey", code.alias("code"))
     return delimited.region_lines(df, "code")
 
 
 @query("s12_upsert_table", """
-    SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 0e0 ELSE s_acctbal END AS s_acctbal FROM supplier""")
+    SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 0e0 ELSE s_acctbal END AS s_acctbal FROM supplier""")
 def upsert_table(spark, sf):
     """Two upserts into a stored snapshot table; the second is repeated."""
     path = scratch_path(spark, "upsert")
     rows = D.table(spark, sf, "supplier").select("s_suppkey", "s_acctbal")
     sinks.upsert_table(rows, path, ["s_suppkey"])
-    change = rows.where(F.col("s_suppkey") % 3 == 0).withColumn("s_acctbal", F.lit(0.0))
+    change = rows.where(F.col("s_acctbal") < 0).withColumn("s_acctbal", F.lit(0.0))
     sinks.upsert_table(change, path, ["s_suppkey"])
     return sinks.upsert_table(change, path, ["s_suppkey"])
 

@@ -104,9 +104,9 @@ def alert_output(spark, sf):
 def event_append(spark, sf):
     """The event stream appended through the file sink, plus a batch append of the consolidated rows."""
     path, mark = scratch_path(spark, "appended"), scratch_path(spark, "mark")
-    stream = event_stream(spark, sf).where("event_id % 2 = 0").select("event_id", C.REGION, "ingested_at")
+    stream = event_stream(spark, sf).where("source = 'view'").select("event_id", C.REGION, "ingested_at")
     finish(sales.append_to(stream, f"{path}/flux", mark))
-    append_events(D.readings(spark, sf).where("event_id % 2 = 1").select("event_id", C.REGION, "ingested_at"), f"{path}/lot")
+    append_events(D.readings(spark, sf).where("source <> 'view'").select("event_id", C.REGION, "ingested_at"), f"{path}/lot")
     both = spark.read.parquet(f"{path}/flux").unionByName(spark.read.parquet(f"{path}/lot"))
     return both.groupBy(C.REGION).agg(
         F.count(F.lit(1)).alias("n"), F.max("ingested_at").cast("timestamp_ntz").alias("dernier"))
@@ -119,13 +119,14 @@ def latest_state(spark, sf):
 
 
 @query("t07_source_fallback", """
-    WITH r AS (SELECT event_id, CAST(user_id % 20 + 1 AS INT) AS arrondissement, value FROM events)
-    SELECT event_id, arrondissement, CASE WHEN event_id % 3 = 0 THEN value ELSE value / 2e0 END AS iqa,
-           CASE WHEN event_id % 3 = 0 THEN 'airparif_live' ELSE 'bronze_fallback' END AS source FROM r""")
+    WITH r AS (SELECT event_id, event_type, CAST(user_id % 20 + 1 AS INT) AS arrondissement, value FROM events)
+    SELECT event_id, arrondissement, CASE WHEN event_type = 'click' THEN value ELSE value / 2e0 END AS iqa,
+           CASE WHEN event_type = 'click' THEN 'airparif_live' ELSE 'bronze_fallback' END AS source FROM r""")
 def source_fallback(spark, sf):
-    """Live rows exist for a third of the keys; the fallback covers all of them."""
-    rows = D.readings(spark, sf).select("event_id", C.REGION, "iqa")
-    live = rows.where(F.col("event_id") % 3 == 0)
+    """Only clicks have a live row; the fallback covers every key."""
+    both = D.readings(spark, sf)
+    rows = both.select("event_id", C.REGION, "iqa")
+    live = both.where(F.col("source") == "click").select("event_id", C.REGION, "iqa")
     return air.with_fallback(live, rows.withColumn("iqa", F.col("iqa") / 2.0), [C.REGION, "event_id"])
 
 
