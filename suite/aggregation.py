@@ -9,7 +9,7 @@ from regionlake.operators import reshape as R
 from regionlake.operators import windows as W
 from regionlake.plans import gold
 from suite import domain as D
-from suite.registry import FRAGMENTS, half_even, query, with_
+from suite.registry import FRAGMENTS, ROLLING, ROLLING_WINDOW, half_even, query, with_
 
 KINDS = C.SaleRules().kinds
 
@@ -207,13 +207,11 @@ def variation(spark, sf):
     return W.with_variation(df, out="variation")
 
 
-@query("w02_rolling_24h_mean", with_("readings") + """
-    SELECT event_id, arrondissement, iqa, round(avg(iqa) OVER (PARTITION BY arrondissement ORDER BY ingested_at
-           RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW), 8) AS iqa_24h_mean FROM readings""")
+@query("w02_rolling_24h_mean", with_("readings") + f"""
+    SELECT event_id, arrondissement, iqa, {ROLLING} AS iqa_24h_mean FROM readings {ROLLING_WINDOW}""")
 def rolling_mean(spark, sf):
     df = D.readings(spark, sf).select("event_id", C.REGION, "iqa", "ingested_at")
-    out = W.rolling_mean(df, C.REGION, "ingested_at", "iqa", "iqa_24h_mean")
-    return out.withColumn("iqa_24h_mean", F.round("iqa_24h_mean", 8)).drop("ingested_at")
+    return W.rolling_mean(df, C.REGION, "ingested_at", "iqa", "iqa_24h_mean").drop("ingested_at")
 
 
 @query("w03_latest_reading", with_("readings") + """

@@ -8,7 +8,7 @@ from regionlake.session import scratch_path
 from regionlake.sources.sinks import append_events
 from regionlake.streaming import air, sales
 from suite import domain as D
-from suite.registry import FRAGMENTS, query, with_
+from suite.registry import ROLLING, ROLLING_WINDOW, query, with_
 
 
 def event_stream(spark, sf):
@@ -81,15 +81,14 @@ def air_stream(spark, sf):
     return spark.read.parquet(table), spark.read.parquet(alerts)
 
 
-@query("t04_exact_rolling_mean", with_("readings") + """
-    SELECT ingested_at, arrondissement, iqa, no2, alert_level, round(avg(iqa) OVER (PARTITION BY arrondissement ORDER BY ingested_at
-           RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW), 8) AS iqa_24h_mean FROM readings""")
+@query("t04_exact_rolling_mean", with_("readings") + f"""
+    SELECT ingested_at, arrondissement, iqa, no2, alert_level, {ROLLING} AS iqa_24h_mean FROM readings {ROLLING_WINDOW}""")
 def exact_rolling(spark, sf):
     """Events stored by the stream with alert level and rolling mean."""
     df, _ = air_stream(spark, sf)
     return df.select(
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), C.REGION, "iqa", F.col("no2_µg_m3").alias("no2"),
-        "alert_level", F.round("iqa_24h_mean", 8).alias("iqa_24h_mean"))
+        "alert_level", "iqa_24h_mean")
 
 
 @query("t05_alert_output", with_("readings") + """
