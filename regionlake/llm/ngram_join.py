@@ -31,8 +31,8 @@ from regionlake.llm.base import BitSet, binary, map_batches, partitions, signed,
 from regionlake.llm.components import components
 from regionlake.llm.words import mixed, shingles, slices, words
 
-SHARED = 3  # tokens that two sets within the threshold must share in their prefixes
-FLUSH = 1 << 20
+FLUSH = 1 << 20  # rows a task holds before it hands them on
+LARGE = 32  # members of a tile from which their bitmaps travel with them; below, pairs are bounded later
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -51,8 +51,8 @@ def _identity(tokens: np.ndarray) -> int:
 
 
 def _width(n: int) -> int:
-    """Bits of a bitmap: a power of two at least twice the set's size."""
-    return 1 << max(6, (2 * n - 1).bit_length())
+    """Bits of a bitmap: a power of two at least eight times the set's size, so that few elements share a bit."""
+    return 1 << max(6, (8 * n - 1).bit_length())
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -71,9 +71,15 @@ def differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def shared(n: int) -> int:
+    """Tokens that a set of ``n`` must share with another in their prefixes; longer prefixes ask for more."""
+    return max(2, n // 20)
+
+
 def _prefix(n: int, percent: int) -> int:
+    """A set within the threshold has at least ``need`` tokens in common, ``shared`` of them among these."""
     need = -(-percent * n // 100)
-    return min(n, n - need + min(SHARED, need))
+    return min(n, n - need + min(shared(n), need))
 
 
 class Signatures:
@@ -81,7 +87,7 @@ class Signatures:
 
     schema = "key bigint, n bigint, set_id bigint, bitmap binary, token bigint, seen bigint"
 
-    def __init__(self, k: int, percent: int, often: int = 3):
+    def __init__(self, k: int, percent: int, often: int = 2):
         self.k, self.percent, self.often = k, percent, often
 
     def __call__(self, batches):
@@ -142,57 +148,65 @@ class Prefixes:
                              "set_id": signed(np.repeat(np.array(ids, np.uint64), each))})
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[dict[str, np.ndarray]]:
-    """Columns of rows sorted by ``by``, cut between groups; bigint columns without nulls only."""
-    kept: dict[str, np.ndarray] | None = None
+def whole_groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """Rows sorted by the bigint column ``by``, cut between groups."""
+    kept: list[pa.RecordBatch] = []
     for batch in batches:
-        now = {c: batch[c].to_numpy() for c in batch.schema.names}
-        if kept is not None:
-            now = {c: np.concatenate((kept[c], now[c])) for c in now}
-        if not len(now[by]):
+        if not batch.num_rows:
             continue
-        cut = int(np.searchsorted(now[by], now[by][-1]))
-        kept = {c: v[cut:] for c, v in now.items()}
-        if cut:
-            yield {c: v[:cut] for c, v in now.items()}
-    if kept is not None and len(kept[by]):
-        yield kept
+        key = batch[by].to_numpy()
+        cut = int(np.searchsorted(key, key[-1]))
+        if cut or (kept and kept[-1][by][-1].as_py() != key[0]):
+            yield pa.Table.from_batches([*kept, batch.slice(0, cut)])
+            kept = []
+        kept.append(batch.slice(cut))
+    if kept:
+        yield pa.Table.from_batches(kept)
 
 
 class Tiles:
-    """Members of the tiles with two or more sets, each with the smallest set of its band and of the band below."""
+    """Members of the tiles with two or more sets, each with a lead of its band and of the band below.
+
+    The lead is the set that most tasks hold: copies are often made from one text that is itself common.
+    """
 
-    schema = "token bigint, n bigint, set_id bigint, lead bigint, lead_n bigint, below bigint, below_n bigint"
+    schema = "token bigint, n bigint, set_id bigint, members bigint, lead bigint, lead_n bigint, below bigint, below_n bigint"
 
     def __init__(self, percent: int):
         self.ratio = math.log(100 / percent)
 
     def __call__(self, batches):
         for g in whole_groups(batches, "token"):
-            token, n, own = g["token"], g["n"], g["set_id"]
+            token, n, own = (g[c].to_numpy() for c in ("token", "n", "set_id"))
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (own[1:] != own[:-1])
+            seen = np.diff(np.append(np.flatnonzero(new), len(token)))
             token, n, own = token[new], n[new], own[new]
             first = np.ones(len(token), bool)
             first[1:] = token[1:] != token[:-1]
             size = np.diff(np.append(np.flatnonzero(first), len(token)))
             keep = np.repeat(size > 1, size)
-            token, n, own, first = token[keep], n[keep], own[keep], first[keep]
+            token, n, own, first, seen = token[keep], n[keep], own[keep], first[keep], seen[keep]
+            members = np.repeat(size, size)[keep]
             if not len(token):
                 continue
             band = np.floor(np.log(n) / self.ratio)
             head = first.copy()
             head[1:] |= band[1:] != band[:-1]
             run = np.cumsum(head) - 1
-            lead = np.flatnonzero(head)
+            order = np.lexsort((-seen, run))
+            lead = order[np.searchsorted(run[order], np.arange(run[-1] + 1))]
             prior = lead[np.maximum(run - 1, 0)]
             prior = np.where(token[prior] == token, prior, lead[run])
-            yield table({"token": token, "n": n, "set_id": own, "lead": own[lead[run]], "lead_n": n[lead[run]],
+            yield table({"token": token, "n": n, "set_id": own, "members": members, "lead": own[lead[run]], "lead_n": n[lead[run]],
                          "below": own[prior], "below_n": n[prior]})
 
 
 class AcrossPairs:
-    """Pairs of a tile's members of fitting sizes that are in different components, with the tiles that have them."""
+    """Pairs of a tile's members of fitting sizes that are in different components, with the tiles that have them.
+
+    Members of a large tile bring their bitmaps, and only pairs within the bound leave it.
+    """
 
     schema = "a bigint, b bigint, na bigint, nb bigint, tiles bigint"
 
@@ -202,25 +216,52 @@ class AcrossPairs:
     def __call__(self, batches):
         held: list[np.ndarray] = []
         for g in whole_groups(batches, "token"):
-            token, n, own, comp = g["token"], g["n"], g["set_id"], g["component"]
-            at, step = np.arange(len(token)), 1
-            while True:
-                at = at[at + step < len(token)]
-                at = at[(token[at] == token[at + step]) & (100 * n[at] >= self.percent * n[at + step])]
-                if not len(at):
-                    break
-                x = at[comp[at] != comp[at + step]]
-                y = x + step
+            token, n, own, comp = (g[c].to_numpy() for c in ("token", "n", "set_id", "component"))
+            large = g["bitmap"].is_valid().to_numpy()
+            for x, y in (*self._small(np.flatnonzero(~large), token, n, comp), *self._large(g, np.flatnonzero(large), token, n, comp)):
                 flip = own[x] > own[y]
                 x, y = np.where(flip, y, x), np.where(flip, x, y)
                 held.append(np.stack((own[x], own[y], n[x], n[y]), 1))
-                step += 1
                 if sum(map(len, held)) > FLUSH:
                     yield self._counted(held)
                     held = []
         if held:
             yield self._counted(held)
 
+    def _small(self, rows, token, n, comp):
+        """All pairs at distance 1, 2, ... while any has fitting sizes."""
+        at, step = np.arange(len(rows)), 1
+        while True:
+            at = at[at + step < len(rows)]
+            x, y = rows[at], rows[at + step]
+            fit = (token[x] == token[y]) & (100 * n[x] >= self.percent * n[y])
+            at, x, y = at[fit], x[fit], y[fit]
+            if not len(at):
+                return
+            part = comp[x] != comp[y]
+            yield x[part], y[part]
+            step += 1
+
+    def _large(self, g, rows, token, n, comp):
+        """Each member of a tile against the larger ones of fitting sizes, by the bits of their bitmaps."""
+        cuts = np.flatnonzero(np.diff(token[rows])) + 1
+        for tile in np.split(rows, cuts) if len(rows) else ():
+            maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in g["bitmap"].take(pa.array(tile))]
+            size, width = n[tile], np.array([len(m) for m in maps])
+            high = np.searchsorted(size, 100 * size // self.percent, "right")
+            for w in np.unique(width):
+                lo, hi = int(np.searchsorted(width, w)), int(np.searchsorted(width, 2 * w, "right"))
+                bits = np.stack([np.bitwise_or.reduce(m.reshape(-1, w), axis=0) for m in maps[lo:hi]])
+                for i in range(lo, int(np.searchsorted(width, w, "right"))):
+                    far = np.arange(i + 1, high[i])
+                    far = far[comp[tile[far]] != comp[tile[i]]]
+                    if len(far):
+                        differ = np.bitwise_count(bits[far - lo] ^ bits[i - lo]).sum(1, dtype=np.int64)
+                        both = (size[i] + size[far] - differ) // 2
+                        far = far[(100 + self.percent) * both >= self.percent * (size[i] + size[far])]
+                        if len(far):
+                            yield np.full(len(far), tile[i]), tile[far]
+
     def _counted(self, held):
         rows = np.concatenate(held)
         order = np.lexsort((rows[:, 1], rows[:, 0]))
@@ -304,9 +345,9 @@ class Join:
         return scan.where("token is null").select("key", "n", "set_id", "bitmap")
 
     def tiles(self) -> DataFrame:
-        """Tokens count as common from 32 texts, and from more where more than 2**(log_bits-3) tokens would."""
+        """Tokens count as common from 16 texts, and from more where more than 2**(log_bits-3) tokens would."""
         total = self.seen.agg(F.sum("seen")).first()[0] or 0
-        least = max(32, total >> (self.log_bits - 3))
+        least = max(16, total >> (self.log_bits - 3))
         common = self.share(BitSet.of(self.seen.where(F.col("seen") >= least), "token", self.log_bits))
         prefixes = map_batches(self.texts, Prefixes(self.k, self.percent, common), Prefixes.schema)
         dealt = prefixes.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "n", "set_id")
@@ -351,11 +392,16 @@ def ngram_jaccard(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
         star = part if star is None else star.union(part)
     first = join.links(star.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb")), bitmaps, "star")
     comps = components(first)
-    placed = tiles.select("token", "n", "set_id").join(comps.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
-    placed = placed.select("token", "n", "set_id", F.coalesce("component", "set_id").alias("component"))
+    own = tiles.select("token", "n", "set_id", "members")
+    placed = own.join(comps.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "set_id"))
+    few = placed.where(F.col("members") <= LARGE).withColumn("bitmap", F.lit(None).cast("binary"))
+    many = placed.where(F.col("members") > LARGE).join(bitmaps, "set_id")
+    placed = few.unionByName(many).select("token", "n", "set_id", "component", "bitmap")
     dealt = placed.repartition(partitions(join.spark), "token").sortWithinPartitions("token", "n", "set_id")
     across = map_batches(dealt, AcrossPairs(percent), AcrossPairs.schema)
-    need = F.least(F.lit(SHARED), F.ceil(F.least("na", "nb") * percent / 100))
+    less = F.least("na", "nb")
+    need = F.least(F.greatest(F.lit(2), F.floor(less / 20)), F.ceil(less * percent / 100))
     across = across.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("tiles").alias("tiles"))
     second = join.links(across.where(F.col("tiles") >= need), bitmaps, "across")
     named = first.union(second)
