@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from regionlake.llm import line_dedup, pieces, templates
 from regionlake.llm.ngram_join import ngram_jaccard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +33,52 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("op1_ngram_jaccard_join")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard(read(spark, sf, "documents"))
+
+
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    model = pieces.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
+    both = pieces.decode(pieces.encode(read(spark, sf, "documents"), model), model)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+LINES_SQL = """
+WITH split AS (
+    SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL AND text <> ''),
+lines AS (
+    SELECT doc_id, unnest(range(len(lines))) AS line, unnest(lines) AS x FROM split),
+marked AS (
+    SELECT *, trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS y FROM lines),
+counted AS (
+    SELECT doc_id, line, y, row_number() OVER (PARTITION BY doc_id ORDER BY line) - 1 AS i, count(*) OVER (PARTITION BY doc_id) AS n
+    FROM marked WHERE y <> ''),
+windows AS (
+    SELECT doc_id, i, least(3, n) AS size, list(y) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS w, n
+    FROM counted),
+whole AS (
+    SELECT *, row_number() OVER (PARTITION BY w, size ORDER BY doc_id, i) AS nth FROM windows WHERE i + size <= n),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS i FROM whole WHERE nth > 1),
+kept AS (
+    SELECT m.doc_id, string_agg(m.x, chr(10) ORDER BY m.line) FILTER (WHERE g.i IS NULL) AS text,
+           count(*) FILTER (WHERE g.i IS NOT NULL) AS removed
+    FROM marked m LEFT JOIN counted c ON m.doc_id = c.doc_id AND m.line = c.line
+    LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.i = c.i GROUP BY m.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(k.removed, 0) AS removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
+
+
+@query("op9_line_dedup", LINES_SQL)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read(spark, sf, "documents"))
+    gone = F.aggregate("_ld_runs", F.lit(0).cast("long"), lambda n, r: n + r["to"] - r["from"] + 1)
+    return kept.select("doc_id", "text", F.coalesce(gone, F.lit(0).cast("long")).alias("removed"))
+
+
+@query("op8_template_decontamination")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return templates.leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
