@@ -5,7 +5,7 @@ marks, when no piece has a mark behind another symbol, and around line breaks th
 Each segment is encoded by an agenda: adjacent symbol pairs that form a piece wait in a heap by
 score, leftmost first on a tie; a popped pair whose symbols still stand is merged and its new neighbours join the
 agenda. What is left is looked up, unknown characters as their bytes. Segments repeat, so each Python
-worker keeps the ids of up to ``CACHE`` short ones, whatever the corpus.
+worker keeps the ids of a bounded number of short ones, the latest used, whatever the corpus.
 
 ``agreement`` compares whole texts with the library in Arrow batches; ``encode`` does so for the
 first text of each run of rows and fails on a difference, so a vocabulary of another type is refused.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from regionlake.llm.base import map_batches, table
 from regionlake.llm.words import slices
 
-CACHE = 400_000
+CACHE = 300_000  # words of a generation; parts of words have three times as many
 CACHED_LENGTH = 48
 MARK = "▁"
 UNKNOWN_TEXT = " ⁇ "
@@ -60,19 +60,38 @@ class Vocabulary:
             self.text |= {self.bytes[b]: chr(b) for b in range(128)}
         self.high = {self.bytes[b]: b for b in range(128, 256)} if self.has_bytes else {}
         self.low = {self.bytes[b]: b for b in range(128)} if self.has_bytes else {}
-        self.marked, self.bare = _Cache(self, MARK), _Cache(self, "")
+        self.raw = {p: np.int32(i).tobytes() for p, i in self.ids.items()}
+        self.touching = {p[i : i + 2] for p in self.cost for i in range(len(p) - 1)}
+        self.solid = _Cache(self.agenda, 3 * CACHE)
+        self.marked = _Cache(lambda s: self.segment(MARK + s), CACHE)
+        self.bare = _Cache(self.segment, CACHE)
         self.line = self.symbol("\n")
 
     def symbol(self, s: str) -> bytes:
-        found = self.ids.get(s)
+        found = self.raw.get(s)
         if found is not None:
-            return np.int32(found).tobytes()
+            return found
         if self.has_bytes:
             return np.array([self.bytes[b] for b in s.encode()], np.int32).tobytes()
         return np.int32(self.unknown).tobytes()
 
     def segment(self, s: str) -> bytes:
-        """Ids of one segment, as 32-bit integers."""
+        """Ids of one segment, as 32-bit integers; no piece joins two characters that touch in none."""
+        whole = self.solid.get(s)
+        if whole is not None:
+            return whole
+        touching, out, lo = self.touching, [], 0
+        for i in range(1, len(s)):
+            if s[i - 1 : i + 1] not in touching:
+                out.append(self.part(s[lo:i]))
+                lo = i
+        out.append(self.part(s[lo:]))
+        return b"".join(out)
+
+    def part(self, s: str) -> bytes:
+        return self.raw.get(s) or self.solid[s]
+
+    def agenda(self, s: str) -> bytes:
         n, cost = len(s), self.cost
         end = list(range(1, n + 1))  # of the symbol that starts here; 0: merged away
         before = list(range(-1, n))
@@ -93,9 +112,10 @@ class Vocabulary:
                 c = cost.get(s[left : end[stop]])
                 if c is not None:
                     heappush(agenda, (c, left, stop, end[stop]))
-        out, i = [], 0
+        out, i, raw = [], 0, self.raw
         while i < n:
-            out.append(self.symbol(s[i : end[i]]))
+            piece = s[i : end[i]]
+            out.append(raw.get(piece) or self.symbol(piece))
             i = end[i]
         return b"".join(out)
 
@@ -148,16 +168,19 @@ class Vocabulary:
 
 
 class _Cache(dict):
-    """Ids of segments behind a fixed prefix; emptied when full."""
+    """Values of a function for short strings, in two generations: what the older one gives is kept on."""
 
-    def __init__(self, vocabulary: Vocabulary, prefix: str):
+    def __init__(self, make, limit: int):
         super().__init__()
-        self.vocabulary, self.prefix = vocabulary, prefix
+        self.make, self.limit, self.older = make, limit // 2, {}
 
     def __missing__(self, s: str) -> bytes:
-        found = self.vocabulary.segment(self.prefix + s)
+        found = self.older.get(s)
+        if found is None:
+            found = self.make(s)
         if len(s) <= CACHED_LENGTH:
-            if len(self) >= CACHE:
+            if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[s] = found
         return found
