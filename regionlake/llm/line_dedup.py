@@ -77,7 +77,8 @@ def without_runs(df: DataFrame, runs: DataFrame, key: str = "doc_id", text: str
     """``df`` with the runs' lines taken out of the text, and ``_ld_runs`` (null where nothing was)."""
     named = runs.select(F.col("k").alias("_ld_k"), F.col("t").alias("_ld_t"), F.col("runs").alias("_ld_runs"))
     rows = df.withColumn("_ld_hash", F.xxhash64(df[text]))
-    rows = rows.join(named, same(key, "_ld_k") & (F.col("_ld_hash") == F.col("_ld_t")), "left").drop("_ld_k", "_ld_t", "_ld_hash")
+    # Always by a shuffle: how many texts have runs grows with the corpus.
+    rows = rows.join(named.hint("merge"), same(key, "_ld_k") & (F.col("_ld_hash") == F.col("_ld_t")), "left").drop("_ld_k", "_ld_t", "_ld_hash")
     lines = F.split(F.col(text), "\n")
     blank = lambda l: F.btrim(l, F.lit(BLANK)) == ""
     # The place of each line among those that count, then the lines that no run covers.
