@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regionlake.llm import line_dedup, pieces, templates
+from regionlake.llm import backoff, fingerprints, line_dedup, passages, pieces, quotations, templates, token_counts, toxicity
 from regionlake.llm.ngram_join import ngram_jaccard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,87 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_template_decontamination")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return templates.leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@query("op2_imatch_fingerprints")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    return fingerprints.edit_stability(docs, fingerprints.lexicon(docs))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out("doc_id")))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        "offending",
+    )
+
+
+@query("op5_stupid_backoff")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return backoff.stupid_backoff(read(spark, sf, "documents"))
+
+
+@query("op4_passage_dedup")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.repeated_passages(read(spark, sf, "documents"))
+
+
+def edits_of(docs: DataFrame) -> DataFrame:
+    """Three edits of every text, drawn from it: an insertion, a deletion and a replacement, at places by hash."""
+    n = F.char_length(F.coalesce("text", F.lit("")))
+    at = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), n + 1).cast("int")
+    part = lambda salt, size: F.substr(F.col("text"), at(salt) + 1, F.lit(size))
+    one = lambda start, stop, new: F.struct(start.alias("start"), stop.cast("int").alias("stop"), new.alias("replacement"))
+    return docs.withColumn("edits", F.array(
+        one(at(1), at(1), part(2, 60)), one(at(3), at(3) + 25, F.lit("")), one(at(4), at(4) + 12, part(5, 30)),
+    ))
+
+
+@query("op3_edited_token_counts")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = token_counts.ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    trees = token_counts.token_trees(read(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.PATTERN, vocabulary)
+    edited = token_counts.apply_edits(edits_of(trees), "edits", public_tokenizers.PATTERN, vocabulary)
+    return edited.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), "n_tokens", "reencoded", "nodes", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+def as_mail(turns: DataFrame) -> DataFrame:
+    """Every turn as a mail that quotes the turn before it, which quotes the one before that."""
+    text = F.coalesce("text", F.lit(""))
+    quote = lambda marks, x: F.array_join(F.transform(F.split(x, "\n"), lambda l: F.concat(F.lit(marks), l)), "\n")
+    before = lambda n: turns.select("conv_id", (F.col("turn") + n).alias("turn"), text.alias(f"text_{n}"))
+    rows = turns.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+    return rows.select("conv_id", "turn", "role", F.concat_ws(
+        "\n", text, F.when(F.col("text_1").isNotNull(), F.lit("A reader wrote:")), quote("> ", F.col("text_1")),
+        F.when(F.col("text_1").isNotNull(), quote("> > ", F.col("text_2"))),
+    ).alias("text"))
+
+
+MAIL_SQL = r"""
+WITH RECURSIVE turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text, lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS plain
+    FROM conversations),
+parents AS (
+    SELECT t.conv_id, t.turn, min(o.turn) AS parent
+    FROM turns t JOIN turns b ON b.conv_id = t.conv_id AND b.turn = t.turn - 1
+    JOIN turns o ON o.conv_id = t.conv_id AND o.plain = b.plain AND o.turn < t.turn
+    WHERE b.plain <> '' GROUP BY t.conv_id, t.turn),
+up AS (
+    SELECT conv_id, turn, parent AS anc, 1 AS depth FROM parents
+    UNION ALL
+    SELECT u.conv_id, u.turn, p.parent, u.depth + 1 FROM up u JOIN parents p ON p.conv_id = u.conv_id AND p.turn = u.anc),
+top AS (SELECT conv_id, turn, arg_max(anc, depth) AS root, max(depth) AS depth FROM up GROUP BY conv_id, turn)
+SELECT t.conv_id, t.turn, t.role, rtrim(t.text, ' ') AS text, p.parent, coalesce(r.root, t.turn) AS root, coalesce(r.depth, 0) AS depth
+FROM turns t LEFT JOIN parents p ON p.conv_id = t.conv_id AND p.turn = t.turn
+LEFT JOIN top r ON r.conv_id = t.conv_id AND r.turn = t.turn"""
+
+
+@query("op10_quotation_linking", MAIL_SQL)
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return quotations.linked(as_mail(read(spark, sf, "conversations")))
