@@ -92,13 +92,16 @@ def linked(messages: DataFrame, scope: str = "conv_id", position: str = "turn",
 def roots(parents: DataFrame) -> DataFrame:
     """(s, p, parent, root, depth) of every message that has a parent, from (s, p, parent).
 
-    Each round doubles how far every pointer reaches, until all point at a message without a parent.
+    Each round doubles how far the pointers reach; a row whose pointer is at a message without a parent is done
+    and only serves the others.
     """
-    steps = stored(parents.select("s", "p", F.col("parent").alias("to"), F.lit(1).cast("long").alias("hops")), "pointers")
+    active = stored(parents.select("s", "p", F.col("parent").alias("to"), F.lit(1).cast("long").alias("hops")), "pointers")
+    done = active.limit(0)
     while True:
-        ahead = steps.select("s", F.col("p").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"))
-        moved = stored(steps.join(ahead, ["s", "to"], "left"), "pointer-doubling")
-        if moved.where("next is not null").isEmpty():
+        ahead = active.union(done).select("s", F.col("p").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"))
+        moved = stored(active.join(ahead, ["s", "to"], "left"), "pointer-doubling")
+        done = done.union(moved.where("next is null").select("s", "p", "to", "hops"))
+        active = moved.where("next is not null").select("s", "p", F.col("next").alias("to"), (F.col("hops") + F.col("more")).alias("hops"))
+        if active.isEmpty():
             break
-        steps = moved.select("s", "p", F.coalesce("next", "to").alias("to"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"))
-    return parents.join(steps.select("s", "p", F.col("to").alias("root"), F.col("hops").alias("depth")), ["s", "p"])
+    return parents.join(done.select("s", "p", F.col("to").alias("root"), F.col("hops").alias("depth")), ["s", "p"])
