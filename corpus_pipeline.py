@@ -50,7 +50,7 @@ def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the ids of each text and the text that they decode to."""
     model = pieces.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
-    both = pieces.decode(pieces.encode(docs, model), model)
+    both = pieces.round_trip(docs, model)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

@@ -222,6 +222,21 @@ class Encode:
                 yield table({"key": batch["key"].slice(lo, hi - lo), "ids": pa.ListArray.from_arrays(pa.array(ends), values)})
 
 
+class RoundTrip:
+    """Ids and the text they decode to, in one pass."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __call__(self, batches):
+        v = vocabulary(self.model.value)
+        for batch in Encode(self.model)(batches):
+            ends = batch["ids"].offsets.to_pylist()
+            ids = batch["ids"].values.to_pylist()
+            decoded = pa.array([v.decode(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["ids"], decoded], names=["key", "ids", "decoded"])
+
+
 class Decode:
     def __init__(self, model):
         self.model = model
@@ -276,6 +291,14 @@ def decode(df: DataFrame, model: str | bytes, key: str = "doc_id", ids: str = "i
     return out.withColumnRenamed("key", key)
 
 
+def round_trip(df: DataFrame, model: str | bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(``key``, ``ids``, ``decoded``) of every text: ``encode`` and ``decode`` without handing the ids back and forth."""
+    kind = df.schema[key].dataType.simpleString()
+    texts = _keyed(df, key, text, "text").withColumn("text", F.col("text").cast("string"))
+    out = map_batches(texts, RoundTrip(_shared(df, model)), f"key {kind}, ids array<int>, decoded string")
+    return out.withColumnRenamed("key", key)
+
+
 def agreement(df: DataFrame, model: str | bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(``key``, ``agrees``): whether ids and decoded text equal the library's, for every text."""
     kind = df.schema[key].dataType.simpleString()

@@ -38,7 +38,7 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     model = pieces.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
-    both = pieces.decode(pieces.encode(read(spark, sf, "documents"), model), model)
+    both = pieces.round_trip(read(spark, sf, "documents"), model)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
