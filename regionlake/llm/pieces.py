@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from regionlake.llm.base import map_batches, table
 from regionlake.llm.words import slices
 
-CACHE = 300_000  # words of a generation; parts of words have three times as many
+CACHE = 450_000  # words of a generation; parts of words have three times as many
 CACHED_LENGTH = 48
 MARK = "▁"
 UNKNOWN_TEXT = " ⁇ "
