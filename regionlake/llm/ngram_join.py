@@ -9,8 +9,9 @@ element that only one set has. The pairs left are decided by intersecting the so
 
 The order puts tokens of many texts last; they are marked in a bit set of fixed size, and an
 error in it changes the work only, since the order is the same for all rows. A first
-round compares each member of a tile with the smallest of its size band. Later pairs within a
-component change nothing, so the second round takes just the pairs of a tile whose components differ.
+round compares each member of a tile with a lead of its size band. Pairs within a component change nothing, so further rounds give
+each member of a large tile its best partner in another component, while that links one in twenty, and the last
+round takes all pairs of a tile whose components still differ.
 No tile lists all its pairs, and no link between components is lost.
 
 Nulls: a null text is an empty set, linked with nothing. A row with a null key is returned with a
@@ -205,13 +206,14 @@ class Tiles:
 class AcrossPairs:
     """Pairs of a tile's members of fitting sizes that are in different components, with the tiles that have them.
 
-    Members of a large tile bring their bitmaps, and only pairs within the bound leave it.
+    Members of a large tile bring their bitmaps, and only pairs within the bound leave it; with ``best``, of each
+    member only the pair with the most room for overlap.
     """
 
     schema = "a bigint, b bigint, na bigint, nb bigint, tiles bigint"
 
-    def __init__(self, percent: int):
-        self.percent = percent
+    def __init__(self, percent: int, best: bool = False):
+        self.percent, self.best = percent, best
 
     def __call__(self, batches):
         held: list[np.ndarray] = []
@@ -258,7 +260,11 @@ class AcrossPairs:
                     if len(far):
                         differ = np.bitwise_count(bits[far - lo] ^ bits[i - lo]).sum(1, dtype=np.int64)
                         both = (size[i] + size[far] - differ) // 2
-                        far = far[(100 + self.percent) * both >= self.percent * (size[i] + size[far])]
+                        fit = (100 + self.percent) * both >= self.percent * (size[i] + size[far])
+                        if self.best and fit.any():
+                            share = both / (size[i] + size[far])
+                            fit = np.arange(len(far)) == int(np.argmax(share))
+                        far = far[fit]
                         if len(far):
                             yield np.full(len(far), tile[i]), tile[far]
 
@@ -353,15 +359,31 @@ class Join:
         dealt = prefixes.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "n", "set_id")
         return stored(map_batches(dealt, Tiles(self.percent), Tiles.schema), "tiles")
 
+    def placed(self, tiles: DataFrame, comps: DataFrame, bitmaps: DataFrame | None) -> DataFrame:
+        """Members of tiles with their components, and with their bitmaps where these are given."""
+        own = tiles.select("token", "n", "set_id").join(comps.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
+        own = own.withColumn("component", F.coalesce("component", "set_id"))
+        own = own.withColumn("bitmap", F.lit(None).cast("binary")) if bitmaps is None else own.join(bitmaps, "set_id")
+        own = own.select("token", "n", "set_id", "component", "bitmap")
+        return own
+
+    def by_token(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "n", "set_id")
+
     def links(self, pairs: DataFrame, bitmaps: DataFrame, label: str) -> DataFrame:
         """The pairs (a, b, na, nb) of sets within the threshold."""
         side = lambda name, by, col: bitmaps.select(F.col("set_id").alias(by), F.col(col).alias(name))
         near = pairs.join(side("x", "a", "bitmap"), "a").join(side("y", "b", "bitmap"), "b").select("a", "b", "na", "nb", "x", "y")
         near = stored(map_batches(near, Bounded(self.percent), Bounded.schema), label)
-        wanted = near.select(F.explode(F.array("a", "b")).alias("set_id"))
-        wanted = self.share(BitSet.of(wanted, "set_id", self.log_bits))
+        return self.exact(near, self.arrays(near.select(F.explode(F.array("a", "b")).alias("set_id")), label), label)
+
+    def arrays(self, sets: DataFrame, label: str) -> DataFrame:
+        """(set_id, tokens) of the sets asked for, from another scan of the texts."""
+        wanted = self.share(BitSet.of(sets, "set_id", self.log_bits))
         arrays = map_batches(self.texts, Arrays(self.k, wanted), Arrays.schema)
-        arrays = stored(arrays.groupBy("set_id").agg(F.first("tokens").alias("tokens")), f"{label}-arrays")
+        return stored(arrays.groupBy("set_id").agg(F.first("tokens").alias("tokens")), f"{label}-arrays")
+
+    def exact(self, near: DataFrame, arrays: DataFrame, label: str) -> DataFrame:
         x, y = (arrays.select(F.col("set_id").alias(by), F.col("tokens").alias(name)) for by, name in (("a", "x"), ("b", "y")))
         both = near.join(x, "a").join(y, "b").select("a", "b", "x", "y")
         return stored(map_batches(both, Exact(self.percent), Exact.schema), f"{label}-links")
@@ -391,20 +413,28 @@ def ngram_jaccard(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
         ).where(fits)
         star = part if star is None else star.union(part)
     first = join.links(star.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb")), bitmaps, "star")
-    comps = components(first)
-    own = tiles.select("token", "n", "set_id", "members")
-    placed = own.join(comps.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "set_id"))
-    few = placed.where(F.col("members") <= LARGE).withColumn("bitmap", F.lit(None).cast("binary"))
-    many = placed.where(F.col("members") > LARGE).join(bitmaps, "set_id")
-    placed = few.unionByName(many).select("token", "n", "set_id", "component", "bitmap")
-    dealt = placed.repartition(partitions(join.spark), "token").sortWithinPartitions("token", "n", "set_id")
+    links, large = first, tiles.where(F.col("members") > LARGE)
+    arrays = join.arrays(large.select("set_id").distinct(), "large")
+    comps = components(links)
+    while True:
+        best = map_batches(join.by_token(join.placed(large, comps, bitmaps)), AcrossPairs(percent, best=True), AcrossPairs.schema)
+        asked = stored(best.select("a", "b").distinct(), "best")
+        more = join.exact(asked, arrays, "best")
+        found = more.count()
+        if found:
+            links = stored(links.union(more), "links")
+            comps = components(links)
+        if 20 * found <= asked.count():
+            break
+    few = tiles.where(F.col("members") <= LARGE)
+    dealt = join.placed(few, comps, None).unionByName(join.placed(large, comps, bitmaps))
+    dealt = join.by_token(dealt)
     across = map_batches(dealt, AcrossPairs(percent), AcrossPairs.schema)
     less = F.least("na", "nb")
     need = F.least(F.greatest(F.lit(2), F.floor(less / 20)), F.ceil(less * percent / 100))
     across = across.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("tiles").alias("tiles"))
     second = join.links(across.where(F.col("tiles") >= need), bitmaps, "across")
-    named = first.union(second)
+    named = links.union(second)
     for end in ("a", "b"):
         named = named.join(classes.select(F.col("set_id").alias(end), F.col("rep").alias(f"{end}_rep")), end)
     groups = components(named, "a_rep", "b_rep")
