@@ -179,11 +179,9 @@ RADIUS_TOP = 200
 INVENTORY_LIMIT = (1, 100)
 EVENT_LIMIT = (1, 500)
 WINDOW_HOURS = (1, 168)
-SAMPLE_ROWS = 50_000
 RETENTION_DAYS = 30
 LOW_VOLUME = 10
 MIN_OUTLIER_ROWS = 5
-COVERAGE_SKIP = 0.8
 
 # Source -> (label, provider, description) of the data catalog.
 CATALOG_ENTRIES = (

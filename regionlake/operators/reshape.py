@@ -32,9 +32,9 @@ def long_indicators(
     )
 
 
-def first_rows(df: DataFrame, order: list[str], max_rows: int = C.SAMPLE_ROWS) -> DataFrame:
-    """Ordered row cap of the sample table (the cap is the feature)."""
-    return df.orderBy(*order).limit(max_rows)
+def first_rows(df: DataFrame, order: list[str], max_rows: int | None = None) -> DataFrame:
+    """All rows; the first ``max_rows`` in order only where the caller asks for so many."""
+    return df if max_rows is None else df.orderBy(*order).limit(max_rows)
 
 
 def newest(df: DataFrame, ts: str, limit: int, bounds: tuple[int, int], tie: list[str]) -> DataFrame:

@@ -136,20 +136,15 @@ def with_region(
 
 
 def enriched(
-    points: DataFrame, polygons: DataFrame | None, key: str = C.REGION, skip_above: float = C.COVERAGE_SKIP,
+    points: DataFrame, polygons: DataFrame | None, key: str = C.REGION,
 ) -> DataFrame:
-    """Fill regions from coordinates unless most rows have one or there are no coordinates."""
+    """Fill the regions that are missing from coordinates, where there are any."""
     if polygons is None or not {"lat", "lon"} <= set(points.columns):
         return points
-    if key in points.columns:
-        share = points.agg(F.avg(F.col(key).isNotNull().cast("double")).alias("s")).first()["s"]
-        if share is not None and share > skip_above:
-            return points
-    else:
+    if key not in points.columns:
         points = points.withColumn(key, F.lit(None).cast("int"))
     located = with_region(points, polygons, out="_geo", key=key)
-    has_point = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    return located.withColumn(key, F.when(has_point, F.col("_geo")).otherwise(F.col(key))).select(*points.columns)
+    return located.withColumn(key, F.coalesce(key, "_geo")).select(*points.columns)
 
 
 def within_radius(

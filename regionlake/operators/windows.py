@@ -36,12 +36,13 @@ def rolling_mean(
     starting from the total of the earlier ones. A key with a third of all rows is
     therefore spread over its slices. Values are counted in units of 10^-scale as whole
     numbers, so neither the order of addition nor the cancelling of expired values can
-    change the result; a sum beyond 64 bits raises an error (choose a smaller scale).
+    change the result. NaN and infinite values count as missing; a sum beyond 64 bits raises an error (choose a smaller scale).
     """
     width_us = hours * 3_600_000_000 + 1
     slice_us = slice_minutes * 60_000_000
     unit = float(10**scale)
-    known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & F.col(value).isNotNull())
+    finite = F.abs(F.col(value).cast("double")) < F.lit(float("inf"))  # NaN counts as larger than all numbers
+    known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & finite)
     amount = F.rint(F.col(value).cast("double") * F.lit(unit)).cast("bigint")
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     changes = (

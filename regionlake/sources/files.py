@@ -30,8 +30,7 @@ def optional_parquet(spark: SparkSession, path: str) -> DataFrame | None:
 def inventory(spark: SparkSession, root: str, as_of=None) -> DataFrame:
     """One row per landed .json, .geojson or .csv file: size, SHA-256, kind and a sample.
 
-    Each file is read and hashed inside the task that lists it; the payload of a small
-    JSON file is kept, larger ones only give their sample.
+    Each file is read and hashed inside the task that lists it; JSON payloads are kept.
     """
     target, fs = _hadoop_path(spark, root)
     base = fs.getFileStatus(target).getPath().toString().rstrip("/")
@@ -48,8 +47,14 @@ def inventory(spark: SparkSession, root: str, as_of=None) -> DataFrame:
     ))
 
 
-def described(files: DataFrame, payload_limit: int = 256_000, sample_rows: int = 500) -> DataFrame:
-    """Checksum, kind, columns and sample of files given as (path, format, size_bytes, content, ingested_at)."""
+def described(files: DataFrame, payload_limit: int | None = None, sample_rows: int | None = None) -> DataFrame:
+    """Checksum, kind, columns and sample of files given as (path, format, size_bytes, content, ingested_at).
+
+    Payloads are kept and rows counted in full unless the caller sets a limit.
+    """
+    kept = F.lit(True) if payload_limit is None else F.col("size_bytes") < payload_limit
+    rows = F.size("_lines") - 1
+    rows = rows if sample_rows is None else F.least(rows, F.lit(sample_rows))
     text = F.make_valid_utf8(F.col("content").cast("string"))
     is_json = F.col("format").isin("json", "geojson")
     features = F.from_json("_text", "struct<features: array<string>>")["features"]
@@ -76,11 +81,11 @@ def described(files: DataFrame, payload_limit: int = 256_000, sample_rows: int =
         "path", "format", "size_bytes", "checksum", "ingested_at",
         kind.alias("payload_kind"),
         F.size("_features").alias("nb_features"),
-        F.when(is_json & F.col("_features").isNull() & (F.col("size_bytes") < payload_limit),
+        F.when(is_json & F.col("_features").isNull() & kept,
                F.col("_text")).alias("payload"),
         F.when(F.col("_lines").isNotNull(), columns).alias("columns"),
         F.when(F.col("_lines").isNotNull(),
-               F.least(F.size("_lines") - 1, F.lit(sample_rows))).alias("nb_rows_sample"),
+               rows).alias("nb_rows_sample"),
         F.when(F.col("_features").isNotNull(), F.slice("_features", 1, 3))
         .when(F.col("_items").isNotNull(), F.slice("_items", 1, 5))
         .when(is_json, F.array("_text"))

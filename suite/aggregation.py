@@ -279,7 +279,7 @@ def newest_events(spark, sf):
 
 
 @query("l03_sample_cap", with_("priced") + """
-    SELECT id, l_partkey, valeur_fonciere FROM priced ORDER BY id, l_partkey, valeur_fonciere LIMIT 50000""")
+    SELECT id, l_partkey, valeur_fonciere FROM priced""")
 def sample_cap(spark, sf):
     df = D.priced_sales(spark, sf).select("id", "l_partkey", "valeur_fonciere")
     return R.first_rows(df, ["id", "l_partkey", "valeur_fonciere"])

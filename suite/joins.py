@@ -78,7 +78,7 @@ def point_in_polygon_salted(spark, sf):
     SELECT c_custkey, min(CASE WHEN c_mktsegment = 'BUILDING' THEN c.arrondissement ELSE region END) AS arrondissement
     FROM customers c LEFT JOIN hits USING (c_custkey) GROUP BY 1""")
 def conditional_enrichment(spark, sf):
-    """Rows without coordinates keep their region; too few have one to skip the join."""
+    """Rows with a region keep it; the others take the one their point lies in."""
     known = F.col("c_mktsegment") == "BUILDING"
     df = D.customers(spark, sf).select(
         "c_custkey", F.when(known, F.col(C.REGION)).alias(C.REGION),
@@ -86,6 +86,16 @@ def conditional_enrichment(spark, sf):
     return S.enriched(df, shapes(spark, sf)).select("c_custkey", C.REGION)
 
 
+@query("j06_mostly_known", with_("hits") + """
+    SELECT c_custkey, min(CASE WHEN c_custkey % 10 <> 0 THEN c.arrondissement ELSE region END) AS arrondissement
+    FROM customers c LEFT JOIN hits USING (c_custkey) GROUP BY 1""")
+def mostly_known(spark, sf):
+    """Nine rows of ten have a region; the tenth still gets its own."""
+    known = F.col("c_custkey") % 10 != 0
+    df = D.customers(spark, sf).select("c_custkey", F.when(known, F.col(C.REGION)).alias(C.REGION), "lat", "lon")
+    return S.enriched(df, shapes(spark, sf)).select("c_custkey", C.REGION)
+
+
 DISTANCE = """sqrt(power(6378137.0::DOUBLE * (1e0 - 0.0066943799901413165::DOUBLE) / (w * sqrt(w)) * radians(latitude - 48.86::DOUBLE), 2)
             + power(6378137.0::DOUBLE / sqrt(w) * cos(phi) * radians(longitude - 2.34::DOUBLE), 2))"""
 

@@ -265,7 +265,7 @@ def upsert_table(spark, sf):
 
 @query("s13_reload_sample", with_("priced") + """
     SELECT id, l_partkey, prix_m2, substr(type_local, 1, 5) AS type_local, annee FROM priced
-    WHERE arrondissement BETWEEN 1 AND 20 ORDER BY id, l_partkey, prix_m2 LIMIT 50000""")
+    WHERE arrondissement BETWEEN 1 AND 20""")
 def reload_sample(spark, sf):
     from regionlake.functions.cleaning import truncated
 

@@ -49,7 +49,7 @@ def batch_log(spark, sf):
 
 
 @query("t02_tumbling_window", with_("readings") + """
-    SELECT date_trunc('day', ingested_at) AS debut, arrondissement, count(iqa) AS nb_transactions, quantile_disc(iqa, 0.5) AS prix_m2_median,
+    SELECT date_trunc('day', ingested_at) AS debut, arrondissement, count(iqa) AS nb_transactions, median(iqa) AS prix_m2_median,
            round(avg(iqa), 8) AS prix_m2_moyen FROM readings GROUP BY 1, 2
     HAVING date_trunc('day', ingested_at) + INTERVAL 1 DAY <= (SELECT max(ingested_at) - INTERVAL 10 MINUTES FROM readings)""")
 def tumbling(spark, sf):

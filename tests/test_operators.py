@@ -204,11 +204,11 @@ def test_point_in_polygon(spark, cell, broadcast_rows):
 def test_enrichment_rules(spark):
     shapes = spark.createDataFrame([(7, SQUARE)], "arrondissement int, parts array<array<array<array<double>>>>")
     known = spark.createDataFrame([(1.0, 1.0, 2)] * 9 + [(1.0, 1.0, None)], "lat double, lon double, arrondissement int")
-    assert S.enriched(known, shapes) is known
+    assert [r["arrondissement"] for r in S.enriched(known, shapes).orderBy("arrondissement").collect()] == [2] * 9 + [7]
     bare = spark.createDataFrame([(1,)], "x int")
     assert S.enriched(bare, shapes) is bare and S.enriched(known, None) is known
     some = spark.createDataFrame([(1.0, 1.0, 2), (None, 1.0, 5), (9.0, 9.0, 4), (3.0, 3.0, None)], "lat double, lon double, arrondissement int")
-    assert sorted(str(r["arrondissement"]) for r in S.enriched(some, shapes).collect()) == ["5", "7", "7", "None"]
+    assert sorted(str(r["arrondissement"]) for r in S.enriched(some, shapes).collect()) == ["2", "4", "5", "7"]
 
 
 def test_radius_limits(spark):
@@ -271,3 +271,10 @@ def test_long_form_and_limits(spark):
     for bad in (0, 501):
         with pytest.raises(ValueError):
             R.newest(wide, "nb_parcs", bad, (1, 500), [])
+
+
+def test_rolling_mean_takes_numbers_only(spark):
+    rows = [(1, "2020-01-01 00:00:00", 2.0), (1, "2020-01-01 01:00:00", float("nan")), (1, "2020-01-01 02:00:00", float("-inf")), (1, "2020-01-01 03:00:00", 4.0)]
+    df = spark.createDataFrame(rows, "k int, ts string, v double").withColumn("ts", F.to_timestamp("ts"))
+    got = [r["m"] for r in W.rolling_mean(df, "k", "ts", "v", "m").orderBy("ts").collect()]
+    assert got[0] == 2.0 and got[3] == 3.0
