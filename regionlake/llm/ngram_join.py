@@ -1,7 +1,7 @@
 """N-gram Jaccard join: exact near-copy components over word shingles.
 
-Method. Every text becomes the sorted set of the 64-bit hashes of its k-word shingles; equal sets
-are one class. Two sets within the threshold share a token among the first few of each under any
+Method. Every text becomes the sorted set of the 64-bit hashes of its k-word shingles, in one scan that writes
+the sets to the shared folder (eight bytes a shingle); equal sets are one class. Two sets within the threshold share a token among the first few of each under any
 common order, so tokens of these prefixes are the tile keys, and inside a tile a set only meets
 sets of its own size band (sizes within the threshold's ratio). A pair passes on only if the bit
 counts of two hashed bitmaps leave room for enough overlap: each differing bit is an
@@ -84,57 +84,64 @@ def _prefix(n: int, percent: int) -> int:
 
 
 class Signatures:
-    """First scan: size, identity and bitmap of each row's set; prefix tokens that a task sees often."""
+    """The scan of the texts: size, identity and bitmap of each row's set; prefix tokens that a task sees often.
 
-    schema = "key bigint, n bigint, set_id bigint, bitmap binary, token bigint, seen bigint"
+    The sorted shingles come along with the first row of a task that has the set.
+    """
+
+    schema = "key bigint, n bigint, set_id bigint, bitmap binary, tokens binary, token bigint, seen bigint"
 
     def __init__(self, k: int, percent: int, often: int = 2):
         self.k, self.percent, self.often = k, percent, often
 
     def __call__(self, batches):
         pending: list[np.ndarray] = []
+        known = {0}
         for keys, sets in _sets(batches, self.k):
-            ids = np.array([_identity(s) for s in sets], np.uint64)
+            ids = [_identity(s) for s in sets]
+            new = [i not in known and not known.add(i) for i in ids]
             pending += [s[: _prefix(len(s), self.percent)] for s in sets]
-            yield self._rows(keys, ids, sets)
+            yield self._rows(keys, np.array(ids, np.uint64), sets, new)
             if sum(map(len, pending)) > 4 * FLUSH:
                 yield self._tokens(pending)
                 pending = []
         if pending:
             yield self._tokens(pending)
 
-    def _rows(self, keys, ids, sets):
+    def _rows(self, keys, ids, sets, new):
         n = len(sets)
+        tokens = binary([s.tobytes() if first else None for s, first in zip(sets, new)])
         return table({
             "key": keys.cast(pa.int64()), "n": np.array([len(s) for s in sets], np.int64), "set_id": signed(ids),
-            "bitmap": binary([_bitmap(s) for s in sets]), "token": pa.nulls(n, pa.int64()), "seen": pa.nulls(n, pa.int64()),
+            "bitmap": binary([_bitmap(s) for s in sets]), "tokens": tokens,
+            "token": pa.nulls(n, pa.int64()), "seen": pa.nulls(n, pa.int64()),
         })
 
     def _tokens(self, pending):
         tokens, seen = np.unique(np.concatenate(pending), return_counts=True)
         tokens, seen = tokens[seen >= self.often], seen[seen >= self.often]
         none = pa.nulls(len(tokens), pa.int64())
-        return table({"key": none, "n": none, "set_id": none, "bitmap": pa.nulls(len(tokens), pa.binary()),
-                      "token": signed(tokens), "seen": seen.astype(np.int64)})
+        empty = pa.nulls(len(tokens), pa.binary())
+        return table({"key": none, "n": none, "set_id": none, "bitmap": empty, "tokens": empty, "token": signed(tokens), "seen": seen.astype(np.int64)})
+
+
+def _stored_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["tokens"]]
 
 
 class Prefixes:
-    """Second scan: (token, n, set_id) of each prefix, tokens of many texts last; equal rows of a task once."""
+    """(token, n, set_id) of each prefix of the stored sets, tokens of many texts last."""
 
     schema = "token bigint, n bigint, set_id bigint"
 
-    def __init__(self, k: int, percent: int, common):
-        self.k, self.percent, self.common = k, percent, common
+    def __init__(self, percent: int, common):
+        self.percent, self.common = percent, common
 
     def __call__(self, batches):
-        common, seen = self.common.value, set()
-        for _, sets in _sets(batches, self.k):
-            out, sizes, ids = [], [], []
-            for s in sets:
-                own = _identity(s)
-                if not own or own in seen:
-                    continue
-                seen.add(own)
+        common = self.common.value
+        for batch in batches:
+            out, sizes = [], []
+            for s in _stored_sets(batch):
                 take = _prefix(len(s), self.percent)
                 head = s[:take]
                 if common.has(head).any():
@@ -142,11 +149,10 @@ class Prefixes:
                     head = np.concatenate((s[~late][:take], s[late][: max(0, take - int((~late).sum()))]))
                 out.append(head)
                 sizes.append(len(s))
-                ids.append(own)
             if out:
                 each = np.array([len(x) for x in out])
                 yield table({"token": signed(np.concatenate(out)), "n": np.repeat(np.array(sizes, np.int64), each),
-                             "set_id": signed(np.repeat(np.array(ids, np.uint64), each))})
+                             "set_id": np.repeat(batch["set_id"].to_numpy(), each)})
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
@@ -299,20 +305,19 @@ class Bounded:
 
 
 class Arrays:
-    """The sorted shingles of the sets asked for; equal sets of a task once."""
+    """The stored sets asked for."""
 
     schema = "set_id bigint, tokens binary"
 
-    def __init__(self, k: int, wanted):
-        self.k, self.wanted = k, wanted
+    def __init__(self, wanted):
+        self.wanted = wanted
 
     def __call__(self, batches):
-        wanted, seen = self.wanted.value, set()
-        for _, sets in _sets(batches, self.k):
-            ids = np.array([_identity(s) for s in sets], np.uint64)
-            found = [i for i in np.flatnonzero(wanted.has(ids) & (ids > 0)) if ids[i] not in seen and not seen.add(ids[i])]
-            if found:
-                yield table({"set_id": signed(ids[found]), "tokens": binary([sets[i].tobytes() for i in found])})
+        wanted = self.wanted.value
+        for batch in batches:
+            found = batch.filter(pa.array(wanted.has(batch["set_id"].to_numpy()), pa.bool_()))
+            if found.num_rows:
+                yield found.select(["set_id", "tokens"])
 
 
 class Exact:
@@ -347,6 +352,7 @@ class Join:
 
     def rows(self) -> DataFrame:
         scan = stored(map_batches(self.texts, Signatures(self.k, self.percent), Signatures.schema), "signatures")
+        self.sets = scan.where("tokens is not null").select("set_id", "tokens")
         self.seen = scan.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
         return scan.where("token is null").select("key", "n", "set_id", "bitmap")
 
@@ -355,7 +361,7 @@ class Join:
         total = self.seen.agg(F.sum("seen")).first()[0] or 0
         least = max(16, total >> (self.log_bits - 3))
         common = self.share(BitSet.of(self.seen.where(F.col("seen") >= least), "token", self.log_bits))
-        prefixes = map_batches(self.texts, Prefixes(self.k, self.percent, common), Prefixes.schema)
+        prefixes = map_batches(self.sets, Prefixes(self.percent, common), Prefixes.schema)
         dealt = prefixes.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "n", "set_id")
         return stored(map_batches(dealt, Tiles(self.percent), Tiles.schema), "tiles")
 
@@ -378,9 +384,9 @@ class Join:
         return self.exact(near, self.arrays(near.select(F.explode(F.array("a", "b")).alias("set_id")), label), label)
 
     def arrays(self, sets: DataFrame, label: str) -> DataFrame:
-        """(set_id, tokens) of the sets asked for, from another scan of the texts."""
+        """(set_id, tokens) of the sets asked for; a set that several tasks of the scan stored comes once."""
         wanted = self.share(BitSet.of(sets, "set_id", self.log_bits))
-        arrays = map_batches(self.texts, Arrays(self.k, wanted), Arrays.schema)
+        arrays = map_batches(self.sets, Arrays(wanted), Arrays.schema)
         return stored(arrays.groupBy("set_id").agg(F.first("tokens").alias("tokens")), f"{label}-arrays")
 
     def exact(self, near: DataFrame, arrays: DataFrame, label: str) -> DataFrame:
