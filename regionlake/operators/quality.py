@@ -102,27 +102,28 @@ class Reference:
 def check_report(df: DataFrame, rules: list) -> DataFrame:
     """One row per rule: rows that break it and whether it holds.
 
-    All predicates share one pass. A uniqueness rule counts keys with more than one row
-    through a partial aggregate; a reference rule is an anti join against the parent's
-    distinct keys, broadcast only after a size check.
+    All predicates and references share one pass: the parent's distinct keys, broadcast only
+    after a size check, are joined as a flag. A uniqueness rule counts keys with more than one
+    row through a partial aggregate of its own.
     """
     parts = []
     checks = [r for r in rules if isinstance(r, Check)]
+    rows = df
+    for i, r in enumerate(r for r in rules if isinstance(r, Reference)):
+        found = f"_parent_{i}"
+        keys = r.parent.select(F.col(r.parent_column).alias(found)).where(F.col(found).isNotNull()).distinct()
+        rows = rows.join(sized(keys).hinted(), F.col(r.column) == F.col(found), "left")
+        checks.append(Check(r.name, F.col(r.column).isNull() | F.col(found).isNotNull()))
     if checks:
         counts = [
             F.struct(F.lit(r.name).alias("regle"), F.count_if(~r.holds).alias("violations")) for r in checks
         ]
-        parts.append(df.agg(F.array(*counts).alias("a")).select(F.inline("a")))
+        parts.append(rows.agg(F.array(*counts).alias("a")).select(F.inline("a")))
     for r in rules:
         if isinstance(r, Unique):
             repeated = df.groupBy(*r.keys).agg(F.count(F.lit(1)).alias("n"))
             parts.append(repeated.agg(F.count_if(F.col("n") > 1).alias("violations"))
                          .select(F.lit(r.name).alias("regle"), "violations"))
-        elif isinstance(r, Reference):
-            parent = sized(r.parent.select(F.col(r.parent_column).alias(r.column)).distinct()).hinted()
-            orphans = df.select(r.column).where(F.col(r.column).isNotNull()).join(parent, r.column, "left_anti")
-            parts.append(orphans.agg(F.count(F.lit(1)).alias("violations"))
-                         .select(F.lit(r.name).alias("regle"), "violations"))
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("valide", F.col("violations") == 0)
 

@@ -26,7 +26,7 @@ def with_variation(
 
 def rolling_mean(
     df: DataFrame, key: str, ts: str, value: str, out: str, hours: int = 24,
-    slice_minutes: int = 60, scale: int = 6,
+    slice_minutes: int = 60, scale: int = 15,
 ) -> DataFrame:
     """Every row with the mean of its key over [ts - hours, ts], rows of equal time included.
 
@@ -34,16 +34,15 @@ def rolling_mean(
     the mean is a running sum of these changes. Changes are combined per (key, time)
     before the shuffle; the running sum is taken inside short time slices, each slice
     starting from the total of the earlier ones. A key with a third of all rows is
-    therefore spread over its slices. Values are counted in units of 10^-scale as whole
-    numbers, so neither the order of addition nor the cancelling of expired values can
-    change the result. NaN and infinite values count as missing; a sum beyond 64 bits raises an error (choose a smaller scale).
+    therefore spread over its slices. Values are added as decimals
+    of ``scale`` places, so neither the order of addition nor the cancelling of expired values can
+    change the result. NaN and infinite values count as missing; a sum beyond 38 digits raises an error (choose a smaller scale).
     """
     width_us = hours * 3_600_000_000 + 1
     slice_us = slice_minutes * 60_000_000
-    unit = float(10**scale)
     finite = F.abs(F.col(value).cast("double")) < F.lit(float("inf"))  # NaN counts as larger than all numbers
     known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & finite)
-    amount = F.rint(F.col(value).cast("double") * F.lit(unit)).cast("bigint")
+    amount = F.col(value).cast("double").cast(f"decimal(38,{scale})")
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     changes = (
         known.select(
@@ -51,7 +50,7 @@ def rolling_mean(
             F.inline(
                 F.array(
                     F.struct(at.alias("_at"), amount.alias("_s"), F.lit(1).alias("_in"), F.lit(0).alias("_out")),
-                    F.struct((at + F.lit(width_us)).alias("_at"), (-amount).alias("_s"),
+                    F.struct((at + F.lit(width_us)).alias("_at"), (-amount).cast(f"decimal(38,{scale})").alias("_s"),
                              F.lit(0).alias("_in"), F.lit(1).alias("_out")),
                 )
             ),
@@ -70,7 +69,7 @@ def rolling_mean(
         F.coalesce(F.sum("_tn").over(before), F.lit(0)).alias("_cn"),
     )
     inside = Window.partitionBy("_key", "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    total = (F.col("_cs") + F.sum("_s").over(inside)).cast("double") / F.lit(unit)
+    total = (F.col("_cs") + F.sum("_s").over(inside)).cast("double")
     count = F.col("_cn") + F.sum(net).over(inside)
     means = (
         changes.join(carried, ["_key", "_slice"])

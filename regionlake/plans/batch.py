@@ -82,7 +82,8 @@ class Lake:
     # Silver steps.
 
     def sales(self) -> bool:
-        raw = delimited.read_sales(self.spark, self.bronze("dvf"), self.years)
+        spread = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        raw = delimited.read_sales(self.spark, self.bronze("dvf"), self.years, partitions=spread)
         if raw is None:
             return False
         sinks.write_yearly(silver.sales(raw, n_regions=self.spine.size), self.silver_path("dvf"))

@@ -35,7 +35,8 @@ def inventory(spark: SparkSession, root: str, as_of=None) -> DataFrame:
     target, fs = _hadoop_path(spark, root)
     base = fs.getFileStatus(target).getPath().toString().rstrip("/")
     files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.{[jJ][sS][oO][nN],[cC][sS][vV],[gG][eE][oO][jJ][sS][oO][nN]}").load(root)
         .withColumn("path", F.substr(F.col("path"), F.lit(len(base) + 2)))
         .withColumn("format", F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)))
         .where(F.col("format").isin("json", "csv", "geojson"))

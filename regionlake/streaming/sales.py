@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regionlake import config as C
@@ -34,19 +36,21 @@ def start(stream: DataFrame, handler, checkpoint: str, interval: str | None = No
 
 
 def batch_writer(out: str, log: str, key: str = C.REGION, ts: str = "timestamp"):
-    """Handler that stores a batch's regional statistics and one log row.
+    """Handler that stores a batch's regional statistics and one log row (rows, output folder, milliseconds).
 
     Both are partitions named by the batch id, so a batch repeated after a failure
     replaces its own output.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
+        started = time.monotonic()
         batch.persist()
         try:
             stamp = batch.agg(F.min(ts).alias("t")).scalar()
             stats = batch_stats(batch, key)
             write_batch(stats.withColumn("timestamp", stamp).withColumn("batch_id", F.lit(batch_id)), out)
             entry = batch.agg(F.count(F.lit(1)).alias("n_records")).select(
-                F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("ts"), "n_records"
+                F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("ts"), "n_records",
+                F.lit(out).alias("output"), F.lit(round((time.monotonic() - started) * 1000)).cast("bigint").alias("elapsed_ms"),
             )
             write_batch(entry, log)
         finally:

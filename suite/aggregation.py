@@ -211,7 +211,7 @@ def variation(spark, sf):
     SELECT event_id, arrondissement, iqa, {ROLLING} AS iqa_24h_mean FROM readings {ROLLING_WINDOW}""")
 def rolling_mean(spark, sf):
     df = D.readings(spark, sf).select("event_id", C.REGION, "iqa", "ingested_at")
-    return W.rolling_mean(df, C.REGION, "ingested_at", "iqa", "iqa_24h_mean").drop("ingested_at")
+    return W.rolling_mean(df, C.REGION, "ingested_at", "iqa", "iqa_24h_mean").drop("ingested_at").withColumn("iqa_24h_mean", F.round("iqa_24h_mean", 8))
 
 
 @query("w03_latest_reading", with_("readings") + """

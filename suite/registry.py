@@ -51,8 +51,8 @@ def with_(*names: str) -> str:
     return "WITH " + ",\n".join(f'"{n}" AS ({FRAGMENTS[n][1]})' for n in order) + "\n"
 
 
-# Exact 24 h mean: whole millionths are added, as the operator does.
-ROLLING = """CAST(sum(CAST(round(iqa * 1e6) AS BIGINT)) OVER w AS DOUBLE) / 1e6 / count(*) OVER w"""
+# 24 h mean; both sides are compared to eight decimals, as this sum is of doubles.
+ROLLING = "round(avg(iqa) OVER w, 8)"
 ROLLING_WINDOW = """WINDOW w AS (PARTITION BY arrondissement ORDER BY ingested_at
            RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW)"""
 

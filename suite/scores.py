@@ -52,7 +52,7 @@ def security(spark, sf):
 
 
 def crime(spark, sf):
-    return D.raw_sales(spark, sf).where(F.col("valeur_fonciere") > 104000).select(C.REGION, F.col("l_linenumber").cast("double").alias("nb_faits"))
+    return D.gapped(D.raw_sales(spark, sf)).select(C.REGION, F.col("l_linenumber").cast("double").alias("nb_faits"))
 
 
 FRAGMENTS["income"] = ((), """
@@ -83,26 +83,26 @@ def access(spark, sf):
 
 FRAGMENTS["noise"] = (("spine", "income"), f"""
     SELECT s.arrondissement, i.revenu_median / 1e4 AS lden_moyen, coalesce({min_max('i.revenu_median / 1e4',
-        "(SELECT min(revenu_median / 1e4) FROM income WHERE revenu_median > 440000)",
-        "(SELECT max(revenu_median / 1e4) FROM income WHERE revenu_median > 440000)", True)}, 5e0) AS score_bruit
-    FROM spine s LEFT JOIN income i ON i.arrondissement = s.arrondissement AND i.revenu_median > 440000""")
+        "(SELECT min(revenu_median / 1e4) FROM income WHERE arrondissement <= 22)",
+        "(SELECT max(revenu_median / 1e4) FROM income WHERE arrondissement <= 22)", True)}, 5e0) AS score_bruit
+    FROM spine s LEFT JOIN income i ON i.arrondissement = s.arrondissement AND i.arrondissement <= 22""")
 FRAGMENTS["flow"] = (("spine", "raw_sales"), """
     SELECT s.arrondissement, CAST(t.n AS DOUBLE) AS tmja_moyen FROM spine s
-    LEFT JOIN (SELECT arrondissement, count(*) AS n FROM raw_sales WHERE valeur_fonciere > 104000 GROUP BY 1) t USING (arrondissement)""")
+    LEFT JOIN (SELECT (arrondissement - 1) % 23 + 1 AS arrondissement, count(*) AS n FROM raw_sales GROUP BY 1) t USING (arrondissement)""")
 FRAGMENTS["traffic"] = (("flow",), f"""
     SELECT arrondissement, {min_max('coalesce(tmja_moyen, (SELECT median(tmja_moyen) FROM flow))', *bound('flow', 'tmja_moyen'), True)}
            AS score_circulation, tmja_moyen FROM flow""")
 
 
 def noise(spark, sf):
-    means = income(spark, sf).where(F.col("revenu_median") > 440000).select(
+    means = income(spark, sf).where(F.col(C.REGION) <= 22).select(
         C.REGION, (F.col("revenu_median") / 1e4).alias("lden_moyen"), F.lit(None).cast("double").alias("lnight"),
         F.lit(None).cast("double").alias("score_bruit_raw"))
     return silver.noise_scores(means, D.spine(spark))
 
 
 def traffic(spark, sf):
-    flow = A.count_by(D.raw_sales(spark, sf).where(F.col("valeur_fonciere") > 104000), [C.REGION], "n").select(
+    flow = A.count_by(D.gapped(D.raw_sales(spark, sf)), [C.REGION], "n").select(
         C.REGION, F.col("n").cast("double").alias("tmja_moyen"), F.lit(None).cast("double").alias("score_circulation"))
     return silver.traffic_scores(flow, D.spine(spark))
 
@@ -129,7 +129,7 @@ def life(spark, sf):
 
 FRAGMENTS["safety_counts"] = (("spine", "raw_sales"), """
     SELECT s.arrondissement, CAST(a.f AS DOUBLE) AS f, CAST(b.p AS DOUBLE) AS p, CAST(c.c AS DOUBLE) AS c FROM spine s
-    LEFT JOIN (SELECT arrondissement, sum(l_linenumber) AS f FROM raw_sales WHERE valeur_fonciere > 104000 GROUP BY 1) a USING (arrondissement)
+    LEFT JOIN (SELECT (arrondissement - 1) % 23 + 1 AS arrondissement, sum(l_linenumber) AS f FROM raw_sales GROUP BY 1) a USING (arrondissement)
     LEFT JOIN (SELECT s_nationkey + 1 AS arrondissement, count(*) AS p FROM supplier WHERE s_acctbal >= 3000 GROUP BY 1) b USING (arrondissement)
     LEFT JOIN (SELECT s_nationkey + 1 AS arrondissement, count(*) AS c FROM supplier WHERE s_acctbal < 3000 GROUP BY 1) c USING (arrondissement)""")
 FRAGMENTS["safety_base"] = (("safety_counts",), """

@@ -8,14 +8,26 @@ from regionlake.session import scratch_path
 from regionlake.sources.sinks import append_events
 from regionlake.streaming import air, sales
 from suite import domain as D
-from suite.registry import ROLLING, ROLLING_WINDOW, query, with_
+from suite.registry import FRAGMENTS, ROLLING, ROLLING_WINDOW, half_even, query, with_
+
+
+BATCHES, FILES = 4, 2  # micro-batches of a stream, and landed files of each
 
 
 def event_stream(spark, sf):
-    """The event table as a file stream of air readings."""
-    schema = D.table(spark, sf, "events").schema
-    raw = sales.read_stream(spark, sf, schema, pattern="events.parquet")
-    return D.of_events(raw)
+    """The event table as air readings that land in parts of equal time spans, one part a micro-batch."""
+    events, folder = D.table(spark, sf, "events"), scratch_path(spark, "landed")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    parts = events.withColumn("_part", F.floor((at - low) * BATCHES / F.lit(high - low + 1)))
+    for part in range(BATCHES):
+        parts.where(F.col("_part") == part).drop("_part").repartition(FILES).write.mode("append").parquet(folder)
+    return D.of_events(sales.read_stream(spark, folder, events.schema, files_per_batch=FILES))
+
+
+FRAGMENTS["landed"] = (("readings",), f"""
+    SELECT *, CAST(floor((epoch_us(ingested_at) - low) * {BATCHES} / (high - low + 1)) AS INT) AS batch_id
+    FROM readings, (SELECT min(epoch_us(ingested_at)) AS low, max(epoch_us(ingested_at)) AS high FROM readings)""")
 
 
 def finish(started):
@@ -24,9 +36,9 @@ def finish(started):
         raise started.exception()
 
 
-@query("t01_t03_micro_batch", with_("readings") + """
+@query("t01_t03_micro_batch", with_("landed") + """
     SELECT arrondissement, count(iqa) AS nb_transactions, round(median(iqa), 8) AS prix_m2_median, round(avg(iqa), 8) AS prix_m2_moyen,
-           0 AS batch_id FROM readings GROUP BY 1""")
+           batch_id FROM landed GROUP BY arrondissement, batch_id""")
 def micro_batch(spark, sf):
     out, log, mark = (scratch_path(spark, x) for x in ("batches", "log", "mark"))
     stream = event_stream(spark, sf).select(
@@ -37,9 +49,10 @@ def micro_batch(spark, sf):
                      F.round("prix_m2_moyen", 8).alias("prix_m2_moyen"), "batch_id")
 
 
-@query("s11_batch_log", "SELECT 0 AS batch_id, count(*) AS n_records, count(DISTINCT user_id % 20) AS regions FROM events")
+@query("s11_batch_log", with_("landed") + """
+    SELECT batch_id, count(*) AS n_records, (SELECT count(DISTINCT arrondissement) FROM readings) AS regions FROM landed GROUP BY 1""")
 def batch_log(spark, sf):
-    """The log row of the batch, and the consolidated table over it."""
+    """The log row of each batch, and the consolidated table over all."""
     out, log, mark = (scratch_path(spark, x) for x in ("batches", "log", "mark"))
     stream = event_stream(spark, sf).select(
         C.REGION, F.col("iqa").alias("prix_m2"), F.col("ingested_at").alias("timestamp"))
@@ -88,14 +101,17 @@ def exact_rolling(spark, sf):
     df, _ = air_stream(spark, sf)
     return df.select(
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), C.REGION, "iqa", F.col("no2_µg_m3").alias("no2"),
-        "alert_level", "iqa_24h_mean")
+        "alert_level", F.round("iqa_24h_mean", 8).alias("iqa_24h_mean"))
 
 
-@query("t05_alert_output", with_("readings") + """
-    SELECT arrondissement, alert_level AS level, count(*) AS n, max(iqa) AS iqa_max FROM readings WHERE alert_level IS NOT NULL GROUP BY 1, 2""")
+@query("t05_alert_output", with_("readings") + f"""
+    SELECT arrondissement, alert_level AS level, iqa, ingested_at, CASE alert_level WHEN 'rouge' THEN 'POLLUTION FORTE' ELSE 'Pollution modérée' END
+           || ' — Arr.' || arrondissement || ' IQA=' || CAST(CAST({half_even('iqa')} AS BIGINT) AS VARCHAR)
+           || CASE alert_level WHEN 'rouge' THEN ' > 100' ELSE ' > 75' END AS message
+    FROM readings WHERE alert_level IS NOT NULL""")
 def alert_output(spark, sf):
     _, alerts = air_stream(spark, sf)
-    return alerts.groupBy(C.REGION, "level").agg(F.count(F.lit(1)).alias("n"), F.max("iqa").alias("iqa_max"))
+    return alerts.select(C.REGION, "level", "iqa", F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), "message")
 
 
 @query("s14_event_append", with_("readings") + """
