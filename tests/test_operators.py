@@ -278,3 +278,10 @@ def test_rolling_mean_takes_numbers_only(spark):
     df = spark.createDataFrame(rows, "k int, ts string, v double").withColumn("ts", F.to_timestamp("ts"))
     got = [r["m"] for r in W.rolling_mean(df, "k", "ts", "v", "m").orderBy("ts").collect()]
     assert got[0] == 2.0 and got[3] == 3.0
+
+
+def test_rolling_mean_keeps_small_values(spark):
+    df = spark.createDataFrame([(1, 1, 1e-7), (1, 2, 3e-7), (1, 3, 1e9)], "k int, s long, v double")
+    df = df.withColumn("ts", F.timestamp_seconds("s"))
+    got = [r["m"] for r in W.rolling_mean(df, "k", "ts", "v", "m").orderBy("ts").collect()]
+    assert got == pytest.approx([1e-7, 2e-7, (1e9 + 4e-7) / 3], rel=1e-12)

@@ -171,10 +171,12 @@ def test_inventory(spark, tmp_path):
     put(tmp_path / "object.json", {"a": 1})
     put(tmp_path / ".hidden.json", {})
     put(tmp_path / "skip.txt", "x")
+    put(tmp_path / "skip.csv.gz", "x")
+    put(tmp_path / "LOUD.CSV", "a,b\n1,2\n")
     got = {r["path"]: r for r in files.inventory(spark, str(tmp_path), "2024-01-01").collect()}
-    assert set(got) == {"dvf/x.csv", "geo.geojson", "list.json", "object.json"}
+    assert set(got) == {"LOUD.CSV", "dvf/x.csv", "geo.geojson", "list.json", "object.json"}
     csv = got["dvf/x.csv"]
-    assert (csv["source"], csv["columns"], csv["nb_rows_sample"], len(csv["sample"])) == ("dvf", ["a", "b"], 500, 5)
+    assert (csv["source"], csv["columns"], csv["nb_rows_sample"], len(csv["sample"])) == ("dvf", ["a", "b"], 600, 5)
     assert (got["geo.geojson"]["payload_kind"], got["geo.geojson"]["nb_features"], len(got["geo.geojson"]["sample"])) == ("geojson", 5, 3)
     assert len(got["list.json"]["sample"]) == 5 and got["object.json"]["payload"] == '{"a": 1}'
     assert len(csv["checksum"]) == 64 and csv["size_bytes"] == (tmp_path / "dvf" / "x.csv").stat().st_size
