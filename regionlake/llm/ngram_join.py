@@ -1,7 +1,8 @@
 """N-gram Jaccard join: exact near-copy components over word shingles.
 
 Method. Every text becomes the sorted set of the 64-bit hashes of its k-word shingles, in one scan that writes
-the sets to the shared folder (eight bytes a shingle); equal sets are one class. Two sets within the threshold share a token among the first few of each under any
+the head of each set (eight bytes a shingle) to the shared folder; equal sets are one class. Whole sets are made again from the
+texts only where the head does not settle the prefix or a pair is to be decided. Two sets within the threshold share a token among the first few of each under any
 common order, so tokens of these prefixes are the tile keys, and inside a tile a set only meets
 sets of its own size band (sizes within the threshold's ratio). A pair passes on only if the bit
 counts of two hashed bitmaps leave room for enough overlap: each differing bit is an
@@ -16,7 +17,8 @@ No tile lists all its pairs, and no link between components is lost.
 
 Nulls: a null text is an empty set, linked with nothing. A row with a null key is returned with a
 null component. Repeated keys: each row belongs to the class of its own text. Very long texts only lengthen their own
-arrays. An empty table gives an empty table. Other columns are not read.
+arrays. An empty table gives an empty table. Other columns are not read. The texts are read up to four times, so they
+should be a stored table.
 """
 
 from __future__ import annotations
@@ -84,9 +86,9 @@ def _prefix(n: int, percent: int) -> int:
 
 
 class Signatures:
-    """The scan of the texts: size, identity and bitmap of each row's set; prefix tokens that a task sees often.
+    """The scan of the texts: size and identity of each row's set; prefix tokens that a task sees often.
 
-    The sorted shingles come along with the first row of a task that has the set.
+    The bitmap and the head, half as long again as the prefix, come along with the first row of a task that has the set.
     """
 
     schema = "key bigint, n bigint, set_id bigint, bitmap binary, tokens binary, token bigint, seen bigint"
@@ -110,10 +112,10 @@ class Signatures:
 
     def _rows(self, keys, ids, sets, new):
         n = len(sets)
-        tokens = binary([s.tobytes() if first else None for s, first in zip(sets, new)])
+        heads = binary([s[: 3 * _prefix(len(s), self.percent) // 2].tobytes() if first else None for s, first in zip(sets, new)])
         return table({
             "key": keys.cast(pa.int64()), "n": np.array([len(s) for s in sets], np.int64), "set_id": signed(ids),
-            "bitmap": binary([_bitmap(s) for s in sets]), "tokens": tokens,
+            "bitmap": binary([_bitmap(s) if first else None for s, first in zip(sets, new)]), "tokens": heads,
             "token": pa.nulls(n, pa.int64()), "seen": pa.nulls(n, pa.int64()),
         })
 
@@ -125,34 +127,67 @@ class Signatures:
         return table({"key": none, "n": none, "set_id": none, "bitmap": empty, "tokens": empty, "token": signed(tokens), "seen": seen.astype(np.int64)})
 
 
-def _stored_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["tokens"]]
-
-
 class Prefixes:
-    """(token, n, set_id) of each prefix of the stored sets, tokens of many texts last."""
+    """(token, n, set_id) of each prefix, tokens of many texts last, from heads or whole sets; heads too short for it are left out."""
 
     schema = "token bigint, n bigint, set_id bigint"
 
     def __init__(self, percent: int, common):
         self.percent, self.common = percent, common
 
-    def __call__(self, batches):
+    def of(self, batch: pa.RecordBatch) -> list[np.ndarray | None]:
         common = self.common.value
+        found = []
+        for x, n in zip(batch["tokens"], batch["n"].to_pylist()):
+            s, take = np.frombuffer(x.as_buffer(), np.uint64), _prefix(n, self.percent)
+            head = s[:take]
+            if common.has(head).any():
+                late = common.has(s)
+                head = s[~late][:take]
+                if len(head) < take:
+                    head = np.concatenate((head, s[late][: take - len(head)])) if len(s) == n else None
+            found.append(head)
+        return found
+
+    def __call__(self, batches):
+        for batch in batches:
+            heads = self.of(batch)
+            each = np.array([0 if x is None else len(x) for x in heads], np.int64)
+            if each.any():
+                yield table({"token": signed(np.concatenate([x for x in heads if x is not None])),
+                             "n": np.repeat(batch["n"].to_numpy(), each), "set_id": np.repeat(batch["set_id"].to_numpy(), each)})
+
+
+class Short(Prefixes):
+    """Keys of the rows whose head is too short for the prefix."""
+
+    schema = "key bigint"
+
+    def __call__(self, batches):
+        for batch in batches:
+            yield batch.select(["key"]).filter(pa.array([x is None for x in self.of(batch)], pa.bool_()))
+
+
+class Whole:
+    """The whole sets of the rows asked for, of these only the sets asked for if those are given."""
+
+    schema = "set_id bigint, n bigint, tokens binary"
+
+    def __init__(self, k: int, rows, sets=None):
+        self.k, self.rows, self.sets = k, rows, sets
+
+    def __call__(self, batches):
         for batch in batches:
-            out, sizes = [], []
-            for s in _stored_sets(batch):
-                take = _prefix(len(s), self.percent)
-                head = s[:take]
-                if common.has(head).any():
-                    late = common.has(s)
-                    head = np.concatenate((s[~late][:take], s[late][: max(0, take - int((~late).sum()))]))
-                out.append(head)
-                sizes.append(len(s))
-            if out:
-                each = np.array([len(x) for x in out])
-                yield table({"token": signed(np.concatenate(out)), "n": np.repeat(np.array(sizes, np.int64), each),
-                             "set_id": np.repeat(batch["set_id"].to_numpy(), each)})
+            found = batch.filter(pa.array(self.rows.value.has(batch["row"].to_numpy()), pa.bool_()))
+            if not found.num_rows:
+                continue
+            for _, sets in _sets([found], self.k):
+                ids = signed(np.array([_identity(s) for s in sets], np.uint64))
+                keep = np.array([len(s) > 0 for s in sets], bool)
+                if self.sets:
+                    keep &= self.sets.value.has(ids)
+                kept = [s for s, k in zip(sets, keep) if k]
+                yield table({"set_id": ids[keep], "n": np.array([len(s) for s in kept], np.int64), "tokens": binary([s.tobytes() for s in kept])})
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
@@ -304,22 +339,6 @@ class Bounded:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-class Arrays:
-    """The stored sets asked for."""
-
-    schema = "set_id bigint, tokens binary"
-
-    def __init__(self, wanted):
-        self.wanted = wanted
-
-    def __call__(self, batches):
-        wanted = self.wanted.value
-        for batch in batches:
-            found = batch.filter(pa.array(wanted.has(batch["set_id"].to_numpy()), pa.bool_()))
-            if found.num_rows:
-                yield found.select(["set_id", "tokens"])
-
-
 class Exact:
     """Pairs whose sorted arrays intersect enough."""
 
@@ -352,16 +371,25 @@ class Join:
 
     def rows(self) -> DataFrame:
         scan = stored(map_batches(self.texts, Signatures(self.k, self.percent), Signatures.schema), "signatures")
-        self.sets = scan.where("tokens is not null").select("set_id", "tokens")
+        self.heads = scan.where("tokens is not null").select("key", "n", "set_id", "tokens")
         self.seen = scan.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
         return scan.where("token is null").select("key", "n", "set_id", "bitmap")
 
+    def keys(self, rows: DataFrame):
+        """The rows' keys, null included, as a bit set of their hashes."""
+        return self.share(BitSet.of(rows.select(F.xxhash64("key").alias("row")), "row", self.log_bits))
+
+    def whole(self, rows, sets=None) -> DataFrame:
+        return map_batches(self.texts.withColumn("row", F.xxhash64("key")), Whole(self.k, rows, sets), Whole.schema)
+
     def tiles(self) -> DataFrame:
         """Tokens count as common from 16 texts, and from more where more than 2**(log_bits-3) tokens would."""
         total = self.seen.agg(F.sum("seen")).first()[0] or 0
         least = max(16, total >> (self.log_bits - 3))
         common = self.share(BitSet.of(self.seen.where(F.col("seen") >= least), "token", self.log_bits))
-        prefixes = map_batches(self.sets, Prefixes(self.percent, common), Prefixes.schema)
+        short = self.keys(map_batches(self.heads, Short(self.percent, common), Short.schema))
+        each = Prefixes(self.percent, common)
+        prefixes = map_batches(self.heads, each, each.schema).union(map_batches(self.whole(short), each, each.schema))
         dealt = prefixes.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "n", "set_id")
         return stored(map_batches(dealt, Tiles(self.percent), Tiles.schema), "tiles")
 
@@ -376,18 +404,17 @@ class Join:
     def by_token(self, rows: DataFrame) -> DataFrame:
         return rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "n", "set_id")
 
-    def links(self, pairs: DataFrame, bitmaps: DataFrame, label: str) -> DataFrame:
-        """The pairs (a, b, na, nb) of sets within the threshold."""
+    def bounded(self, pairs: DataFrame, bitmaps: DataFrame, label: str) -> DataFrame:
+        """The pairs (a, b) of (a, b, na, nb) whose bitmaps leave room for the threshold."""
         side = lambda name, by, col: bitmaps.select(F.col("set_id").alias(by), F.col(col).alias(name))
         near = pairs.join(side("x", "a", "bitmap"), "a").join(side("y", "b", "bitmap"), "b").select("a", "b", "na", "nb", "x", "y")
-        near = stored(map_batches(near, Bounded(self.percent), Bounded.schema), label)
-        return self.exact(near, self.arrays(near.select(F.explode(F.array("a", "b")).alias("set_id")), label), label)
+        return stored(map_batches(near, Bounded(self.percent), Bounded.schema), label)
 
-    def arrays(self, sets: DataFrame, label: str) -> DataFrame:
-        """(set_id, tokens) of the sets asked for; a set that several tasks of the scan stored comes once."""
-        wanted = self.share(BitSet.of(sets, "set_id", self.log_bits))
-        arrays = map_batches(self.sets, Arrays(wanted), Arrays.schema)
-        return stored(arrays.groupBy("set_id").agg(F.first("tokens").alias("tokens")), f"{label}-arrays")
+    def arrays(self, sets: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+        """(set_id, tokens) of the sets asked for, made again from a row of each."""
+        rows = classes.join(sets.distinct(), "set_id", "left_semi").select(F.col("rep").alias("key"))
+        found = self.whole(self.keys(rows), self.share(BitSet.of(sets, "set_id", self.log_bits)))
+        return stored(found.groupBy("set_id").agg(F.first("tokens").alias("tokens")), f"{label}-arrays")
 
     def exact(self, near: DataFrame, arrays: DataFrame, label: str) -> DataFrame:
         x, y = (arrays.select(F.col("set_id").alias(by), F.col("tokens").alias(name)) for by, name in (("a", "x"), ("b", "y")))
@@ -418,9 +445,11 @@ def ngram_jaccard(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
             F.when(flip, F.col(f"{lead}_n")).otherwise(F.col("n")).alias("nb"),
         ).where(fits)
         star = part if star is None else star.union(part)
-    first = join.links(star.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb")), bitmaps, "star")
-    links, large = first, tiles.where(F.col("members") > LARGE)
-    arrays = join.arrays(large.select("set_id").distinct(), "large")
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("set_id"))
+    first = join.bounded(star.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb")), bitmaps, "star")
+    large = tiles.where(F.col("members") > LARGE)
+    arrays = join.arrays(ends(first).union(large.select("set_id")), classes, "large")
+    links = join.exact(first, arrays, "star")
     comps = components(links)
     while True:
         best = map_batches(join.by_token(join.placed(large, comps, bitmaps)), AcrossPairs(percent, best=True), AcrossPairs.schema)
@@ -439,7 +468,8 @@ def ngram_jaccard(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
     less = F.least("na", "nb")
     need = F.least(F.greatest(F.lit(2), F.floor(less / 20)), F.ceil(less * percent / 100))
     across = across.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("tiles").alias("tiles"))
-    second = join.links(across.where(F.col("tiles") >= need), bitmaps, "across")
+    second = join.bounded(across.where(F.col("tiles") >= need), bitmaps, "across")
+    second = join.exact(second, join.arrays(ends(second), classes, "across"), "across")
     named = links.union(second)
     for end in ("a", "b"):
         named = named.join(classes.select(F.col("set_id").alias(end), F.col("rep").alias(f"{end}_rep")), end)
