@@ -54,6 +54,25 @@ def test_ngram_join_equals_brute_force(docs, percent):
     assert got == brute_groups(rows, 4, percent)
 
 
+def test_ngram_join_of_groups_whose_heads_are_common(docs):
+    """Every shingle is in 16 texts or more, so the stored heads do not settle the prefix; two rows lack a key."""
+    random.seed(5)
+    rows = []
+    for g, copies in ((0, 44), (1, 24)):
+        base = [f"w{g}x{random.randint(0, 500)}" for _ in range(90)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(random.randint(0, 3)):
+                w[random.randrange(len(w))] = f"z{random.randint(0, 3)}"
+            rows.append((len(rows), " ".join(w)))
+        rows += [(len(rows), " ".join(base[:45] + [f"own{g}{i}" for i in range(45)]))]
+    lone = [f"n{i}" for i in range(60)]
+    without = [(None, " ".join(lone)), (None, " ".join([*lone, "end"]))]
+    got = ngram_jaccard(docs(rows + without)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == brute_groups(rows, 4, 85)
+    assert sorted((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == [(57, None), (58, None)]
+
+
 def test_ngram_join_edges(edges, docs):
     rows = ngram_jaccard(edges).collect()
     got = {r.doc_id: r.component_id for r in rows}
