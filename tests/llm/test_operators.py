@@ -153,6 +153,31 @@ def test_passages(docs, edges):
     assert passages.bands(0.8, 0.995) == 4 and 1 - (1 - 0.8) ** 4 >= 0.995
 
 
+@pytest.mark.parametrize("every", [0, 4])
+def test_passages_without_or_with_short_sentences(docs, every):
+    random.seed(9)
+    draw = lambda n: [f"w{random.randrange(5000)}x" for _ in range(n)]
+    rows = []
+    for i in range(40):
+        passage = draw(50)
+        if every:
+            passage = [w + "." * (j % every == every - 1) for j, w in enumerate(passage)]
+        for side in range(2):
+            host = [w + "." * (random.random() < 0.3 and every > 0) for w in draw(60)]
+            at = random.randrange(60)
+            rows.append((2 * i + side, " ".join(host[:at] + passage + host[at:])))
+    found = passages.repeated_passages(docs(rows)).collect()
+    assert {r.doc_id for r in found if r.removed} == set(range(1, 80, 2)) and {r.first_doc_id for r in found} == set(range(0, 80, 2))
+
+
+def test_passages_of_long_sentences_with_a_changed_word(docs):
+    sentence = [f"long{i}" for i in range(70)]
+    changed = sentence[:35] + ["other"] + sentence[36:]
+    rows = [(1, " ".join(sentence) + "."), (2, " ".join(changed) + ".")]
+    found = passages.repeated_passages(docs(rows)).collect()
+    assert any(r.doc_id == 2 and r.removed and r.n_words == 70 for r in found)
+
+
 def test_backoff_equals_brute_force(spark, edges, tmp_path):
     edges.write.parquet(str(tmp_path / "docs"))
     stored = spark.read.parquet(str(tmp_path / "docs"))
