@@ -103,7 +103,7 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_stupid_backoff")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    return backoff.stupid_backoff(read(spark, sf, "documents"))
+    return backoff.stupid_backoff(read(spark, sf, "documents"), order=3)
 
 
 @query("op4_passage_dedup")

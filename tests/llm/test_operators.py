@@ -203,6 +203,13 @@ def test_backoff_equals_brute_force(spark, edges, tmp_path):
     assert (backoff.unpacked(backoff.packed(hashes)) == hashes).all() and len(backoff.unpacked(b"")) == 0
 
 
+def test_backoff_query_scores_trigrams(spark):
+    sf = "/root/testdata/sf0.001"
+    scores = lambda df: {r.doc_id: round(r.log_score, 6) for r in df.collect()}
+    of_order = lambda n: scores(backoff.stupid_backoff(queries.read(spark, sf, "documents"), order=n))
+    assert scores(queries.QUERIES["op5_stupid_backoff"](spark, sf)) == of_order(3) != of_order(2)
+
+
 def test_toxicity(spark, docs, edges):
     random.seed(2)
     word = lambda: random.choice(["ba", "ko", "li"]) + random.choice(["mer", "tun", "sol", "dak"])
