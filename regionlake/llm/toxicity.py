@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning: documents are bags of sentences.
 
 Method. A document is toxic if any of its sentences is: with sentence probabilities p it has score
-1 - prod(1 - p) (noisy-or). Sentence probabilities come from the character n-grams of the sentence's words, a space marking a
+1 - (1 - q) * prod(1 - p) (noisy-or), where q, the prior, counts once a document. A sentence without any n-gram of the model
+has p = 0 and sentences with the same n-grams are one, so a clean text keeps its score whatever its length. Sentence probabilities come from the character n-grams of the sentence's words, a space marking a
 word's ends; their weights are trained from document labels alone, through the noisy-or. The same model then scores every sentence, so the
 offending ones are located.
 
@@ -11,7 +12,7 @@ all counts for the choice of n-grams are over these rows. Scoring covers whole t
 
 Nulls: a null text is empty and has one empty sentence; rows without a label train nothing; a null key is scored like
 any other. A key labelled twice is toxic if one label says so;
-a key with several texts trains with the smallest. Without rows of both classes all scores are the bias. Very long texts
+a key with several texts trains with the smallest. Without rows of both classes all scores are the prior. Very long texts
 are scored whole. Repeated rows stay. Empty tables give empty tables; other columns are not read.
 """
 
@@ -66,10 +67,10 @@ class Grams:
 
 
 class Model:
-    """Weights of n-grams and the bias of a sentence."""
+    """Weights of n-grams, the bias of a sentence that has any, and the log-odds of the prior."""
 
-    def __init__(self, grams: list[str], weights: np.ndarray, bias: float):
-        self.grams, self.weights, self.bias = grams, weights, bias
+    def __init__(self, grams: list[str], weights: np.ndarray, bias: float, prior: float):
+        self.grams, self.weights, self.bias, self.prior = grams, weights, bias, prior
         self._automaton = None
 
     def __getstate__(self):
@@ -86,31 +87,32 @@ class Model:
             self._automaton.make_automaton()
         return list(self._automaton.iter(f" {plain(text)} "))
 
-    def instances(self, text: str) -> tuple[int, dict[tuple[int, int], set[int]]]:
-        """Number of sentences, and the features of those that have any, by range."""
+    def instances(self, text: str) -> dict[tuple[int, int], set[int]]:
+        """Features of the sentences that have any, by range."""
         found = self.matches(text)
         if not found:
-            return len(END.findall(text)) + 1, {}
+            return {}
         spans = sentences(text)
         starts = [s for s, _ in spans]
         rows: dict[tuple[int, int], set[int]] = {}
         for last, feature in found:
             middle = min(len(text) - 1, max(0, last - 1 - len(self.grams[feature]) // 2))
             rows.setdefault(spans[bisect_right(starts, middle) - 1], set()).add(feature)
-        return len(spans), rows
+        return rows
 
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """Score of the text, and the probabilities of its sentences that have features."""
-        count, rows = self.instances(text)
+        rows = self.instances(text)
         z = np.array([self.bias + self.weights[list(f)].sum() for f in rows.values()])
-        mass = np.logaddexp(0, z).sum() + (count - len(rows)) * np.logaddexp(0, self.bias)
-        return float(-np.expm1(-mass)), [(a, b, float(p)) for (a, b), p in zip(rows, 1 / (1 + np.exp(-z)))]
+        own = np.logaddexp(0, z) - np.logaddexp(0, self.bias)
+        mass = sum({frozenset(f): x for f, x in zip(rows.values(), own)}.values()) + np.logaddexp(0, self.prior)
+        return float(-np.expm1(-mass)), [(a, b, float(p)) for (a, b), p in zip(rows, -np.expm1(-own))]
 
 
 class Instances:
-    """Sentences of the sample: (bag, label, empty sentences) and the features of the others."""
+    """Bags of the sample: label, and the features of the sentences that have any."""
 
-    schema = "bag long, toxic int, empty int, sentences array<array<int>>"
+    schema = "bag long, toxic int, sentences array<array<int>>"
 
     def __init__(self, model):
         self.model = model
@@ -120,34 +122,34 @@ class Instances:
         for batch in batches:
             bags = [model.instances(t or "") for t in batch["text"].to_pylist()]
             yield table({
-                "bag": batch["bag"], "toxic": batch["toxic"], "empty": pa.array([n - len(r) for n, r in bags], pa.int32()),
-                "sentences": pa.array([[sorted(f) for f in r.values()] for _, r in bags], pa.list_(pa.list_(pa.int32()))),
+                "bag": batch["bag"], "toxic": batch["toxic"],
+                "sentences": pa.array([sorted({tuple(sorted(f)) for f in r.values()}) for r in bags], pa.list_(pa.list_(pa.int32()))),
             })
 
 
-def fit(bags: list[tuple[int, int, list[list[int]]]], features: int, rounds: int = 400, rate: float = 0.1, ridge: float = 1e-4):
-    """Weights and bias that maximise the likelihood of the labels under the noisy-or (Adam, from zero)."""
+def fit(bags: list[tuple[int, list[list[int]]]], features: int, rounds: int = 400, rate: float = 0.1, ridge: float = 1e-4):
+    """Weights, bias and prior that maximise the likelihood of the labels under the noisy-or (Adam; weights from zero)."""
     y = np.array([b[0] for b in bags], float)
-    empty = np.array([b[1] for b in bags], float)
-    bag = np.array([i for i, b in enumerate(bags) for _ in b[2]], int)
-    row = np.array([r for r, f in enumerate(f for b in bags for f in b[2]) for _ in f], int)
-    col = np.array([c for b in bags for f in b[2] for c in f], int)
-    theta = np.zeros(features + 1)
-    theta[-1] = -4.0
+    bag = np.array([i for i, b in enumerate(bags) for _ in b[1]], int)
+    row = np.array([r for r, f in enumerate(f for b in bags for f in b[1]) for _ in f], int)
+    col = np.array([c for b in bags for f in b[1] for c in f], int)
+    theta = np.zeros(features + 2)
+    theta[-2:] = -4.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     share = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     for step in range(1, rounds + 1):
-        z = theta[-1] + np.bincount(row, theta[col], len(bag)) if len(bag) else np.zeros(0)
-        mass = np.bincount(bag, np.logaddexp(0, z), len(y)) + empty * np.logaddexp(0, theta[-1])
+        bias, prior = theta[-2:]
+        z = bias + np.bincount(row, theta[col], len(bag)) if len(bag) else np.zeros(0)
+        mass = np.bincount(bag, np.logaddexp(0, z) - np.logaddexp(0, bias), len(y)) + np.logaddexp(0, prior)
         pull = share * np.where(y > 0, -1 / np.expm1(np.clip(mass, 1e-9, 700)), 1.0)
         dz = pull[bag] / (1 + np.exp(-z)) if len(bag) else z
-        grad = np.append(np.bincount(col, dz[row], features) if len(col) else np.zeros(features),
-                         dz.sum() + (pull * empty).sum() / (1 + np.exp(-theta[-1])))
-        grad[:-1] += ridge * theta[:-1]
+        grad = np.concatenate((np.bincount(col, dz[row], features) if len(col) else np.zeros(features),
+                               [dz.sum() - pull[bag].sum() / (1 + np.exp(-bias)), pull.sum() / (1 + np.exp(-prior))]))
+        grad[:-2] += ridge * theta[:-2]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        theta[:-1] = np.maximum(theta[:-1], 0)
-    return theta[:-1], float(theta[-1])
+        theta[:-2] = np.maximum(theta[:-2], 0)
+    return theta[:-2], float(theta[-2]), float(theta[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -166,18 +168,18 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = stored(rows.select(F.monotonically_increasing_id().alias("bag"), "text", "toxic").repartition(12, "bag"), "sample-texts")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
-        return Model([], np.zeros(0), -8.0 if 1 not in sizes else 0.0)
+        return Model([], np.zeros(0), 0.0, -8.0 if 1 not in sizes else 0.0)
     counts = map_batches(rows.coalesce(3).select("text", "toxic"), Grams(), Grams.schema).groupBy("gram").agg(
         F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     more = F.col("t") / sizes[1] - F.col("c") / sizes[0]
     ratio = (F.col("t") + 0.5) / (sizes[1] + 1) / ((F.col("c") + 0.5) / (sizes[0] + 1))
     best = counts.where((F.col("t") >= 4) & (ratio >= 4)).orderBy(more.desc(), "gram").limit(features).select("gram").collect()
     grams = [r["gram"] for r in best]
-    probe = spark.sparkContext.broadcast(Model(grams, np.zeros(len(grams)), 0.0))
+    probe = spark.sparkContext.broadcast(Model(grams, np.zeros(len(grams)), 0.0, 0.0))
     bags = map_batches(rows.select("bag", "text", "toxic"), Instances(probe), Instances.schema).orderBy("bag").collect()
-    weights, bias = fit([(r["toxic"], r["empty"], r["sentences"]) for r in bags], len(grams))
+    weights, bias, prior = fit([(r["toxic"], r["sentences"]) for r in bags], len(grams))
     keep = np.flatnonzero(weights > 1e-3)
-    return Model([grams[i] for i in keep], weights[keep], bias)
+    return Model([grams[i] for i in keep], weights[keep], bias, prior)
 
 
 class Score:

@@ -234,6 +234,16 @@ def test_toxicity(spark, docs, edges):
     assert toxicity.train(docs(EMPTY), labels.limit(0)).grams == []
 
 
+def test_a_long_clean_text_keeps_its_score(spark, docs):
+    random.seed(2)
+    sentence = lambda: " ".join(random.choice(["ba", "ko", "li"]) + random.choice(["mer", "tun", "sol", "dak"]) for _ in range(8)) + ". "
+    rows = [(i, "".join(sentence() + "vilest grumbler. " * (i % 4 == 0) for _ in range(5))) for i in range(200)]
+    model = toxicity.train(docs(rows), spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    clean = "".join(sentence() for _ in range(30_000))
+    assert model.score(clean)[0] < 0.5 and abs(model.score(clean)[0] - model.score(sentence())[0]) < 1e-9
+    assert model.score(clean + "vilest grumbler.")[0] > 0.7
+
+
 def test_pieces(docs, edges):
     assert pieces.agreement(edges, MODEL).where("not agrees").count() == 0
     texts = ["", " ", "  a  ▁b ", "\n\n", "a\x00b", "<s> </s> <0x0A>", "𝒳🇫🇷 é", "x" * 3000, "a   b\n c"]
