@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regionlake.llm import backoff, fingerprints, line_dedup, passages, pieces, quotations, templates, token_counts, toxicity
+from regionlake.llm import backoff, collocations, fingerprints, importance, line_dedup, packing, passages, pieces, quotations, templates, token_counts, toxicity
 from regionlake.llm.ngram_join import ngram_jaccard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,87 @@ LEFT JOIN top r ON r.conv_id = t.conv_id AND r.turn = t.turn"""
 @query("op10_quotation_linking", MAIL_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return quotations.linked(as_mail(read(spark, sf, "conversations")))
+
+
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+PHRASES_SQL = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({LOWER_SQL}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+    FROM documents),
+totals AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM pieces GROUP BY lang),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+runs AS (SELECT lang, ws[i : i + 4] AS ws FROM starts),
+grams AS (
+    SELECT lang, k, array_to_string(ws[1 : k], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS k FROM runs) GROUP BY ALL HAVING count(*) >= 100),
+words AS (SELECT *, string_split(phrase, ' ') AS ws FROM grams),
+longer AS (
+    SELECT lang, k - 1 AS k, phrase, max(f) AS f FROM (
+        SELECT lang, k, f, array_to_string(ws[1 : k - 1], ' ') AS phrase FROM words WHERE k > 2
+        UNION ALL SELECT lang, k, f, array_to_string(ws[2 : k], ' ') FROM words WHERE k > 2) GROUP BY ALL),
+cuts AS (
+    SELECT w.lang, w.phrase, w.f AS a, l.f AS l, r.f AS r, t.n, c.j,
+           (1000::HUGEINT * w.f * t.n) // (l.f::HUGEINT * r.f) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM words WHERE k > 1) c
+    JOIN words w ON w.lang = c.lang AND w.phrase = c.phrase
+    JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1 : c.j], ' ')
+    JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.j + 1 : c.k], ' ')
+    JOIN totals t ON t.lang = c.lang),
+lowest AS (
+    SELECT * FROM cuts WHERE (lang, phrase) NOT IN (
+        SELECT (x.lang, x.phrase) FROM words x JOIN longer y ON y.lang = x.lang AND y.phrase = x.phrase AND 100 * y.f >= 100 * x.f)
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000"""
+
+
+@query("op11_collocations", PHRASES_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf, "documents"))
+
+
+@query("op12_best_fit_packing")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    model = packing.model_text(public_tokenizers.path("byte_bpe_50k.json"))
+    cut = packing.tokenized(read(spark, sf, "documents"), model, public_tokenizers.PATTERN)
+    return packing.placed(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+RESAMPLE_SQL = rf"""
+WITH RECURSIVE bits AS (
+    SELECT i, i AS c, 0 AS step FROM range(256) t(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+docs AS (
+    SELECT row_number() OVER () AS place, doc_id, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (SELECT regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+uses AS (SELECT place, word, count(*) AS c FROM (SELECT place, unnest(ws) AS word FROM docs) GROUP BY ALL),
+target AS (SELECT word, count(*) AS c FROM (SELECT unnest(ws) AS word FROM items) GROUP BY ALL),
+vocabulary AS (
+    SELECT word, list_transform(range(1, length(hex(word)) // 2 + 1),
+        lambda i: (strpos('0123456789ABCDEF', hex(word)[2 * i - 1]) - 1) * 16 + strpos('0123456789ABCDEF', hex(word)[2 * i]) - 1) AS bytes
+    FROM (SELECT word FROM uses UNION SELECT word FROM target)),
+bucket AS (
+    SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+    FROM vocabulary, crc),
+corpus_n AS (SELECT bucket, sum(c) AS s FROM uses JOIN bucket USING (word) GROUP BY bucket),
+target_n AS (SELECT bucket, sum(c) AS t FROM target JOIN bucket USING (word) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM corpus_n) AS s_all, (SELECT coalesce(sum(t), 0) FROM target_n) AS t_all),
+gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all::DOUBLE + 10000) / ((coalesce(s, 0)::DOUBLE + 1) * (t_all::DOUBLE + 10000)))) AS gain
+    FROM corpus_n FULL JOIN target_n USING (bucket), sums),
+weighed AS (SELECT place, floor(sum(c * gain) / sum(c)) AS weight FROM uses JOIN bucket USING (word) JOIN gains USING (bucket) GROUP BY place),
+scored AS (
+    SELECT doc_id, place, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+    FROM docs LEFT JOIN weighed USING (place)),
+drawn AS (
+    SELECT place, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * 10 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (place)"""
+
+
+@query("op13_importance_resampling", RESAMPLE_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return importance.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
