@@ -102,6 +102,7 @@ DEFAULT_TRAFFIC_SCORES = (
     3.0, 3.8, 3.5, 4.0, 3.0, 4.5, 2.8, 3.2, 4.0, 4.2,
 )
 # Reference air readings by region: index, NO2, PM2.5.
+# Reference readings by region, in region order.
 AIR_INDEX_BASE = (52, 54, 50, 51, 48, 47, 45, 58, 56, 55, 53, 49, 51, 47, 48, 44, 53, 62, 64, 60)
 AIR_NO2_BASE = (38, 40, 36, 37, 34, 33, 31, 44, 42, 41, 39, 35, 37, 33, 34, 30, 39, 48, 50, 46)
 AIR_PM25_BASE = (12, 13, 11, 12, 10, 10, 9, 14, 13, 13, 12, 11, 12, 10, 10, 9, 12, 16, 17, 15)
@@ -215,5 +216,5 @@ UNKNOWN_PROVIDER = "inconnu"
 
 # Size limits of a broadcast side, in rows. Every explicit broadcast counts first.
 BROADCAST_ROWS = 200_000
-# Values of one group that a single task may hold.
-GROUP_ROWS = 200_000
+# And in bytes, where rows hold arrays.
+BROADCAST_BYTES = 64 << 20

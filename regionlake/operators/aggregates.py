@@ -87,9 +87,9 @@ def region_overview(gold: DataFrame, key: str = C.REGION, digits: int | None = 0
     )
 
 
-def batch_stats(batch: DataFrame, key: str = C.REGION) -> DataFrame:
-    """Count, median and mean price of one micro-batch by region."""
-    extra = [F.count("prix_m2").alias("nb_transactions"), F.avg("prix_m2").alias("prix_m2_moyen")]
+def batch_stats(batch: DataFrame, key: str = C.REGION, *more: Column) -> DataFrame:
+    """Count, median and mean price of one micro-batch by region, and ``more`` aggregates."""
+    extra = [F.count("prix_m2").alias("nb_transactions"), F.avg("prix_m2").alias("prix_m2_moyen"), *more]
     return group_medians(batch.where(_present([key])), [key], {"prix_m2_median": "prix_m2"}, extra)
 
 
@@ -177,3 +177,20 @@ def _present(keys: list[str]) -> Column:
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     return cond
+
+
+def price_rollup(sales: DataFrame, key: str = C.REGION, year: str = C.YEAR) -> DataFrame:
+    """Volume, mean price and turnover by (region, year), by region and for the city, from one scan.
+
+    ``niveau`` says which of the three a row is; a missing region or year in the data stays
+    apart from the one that a coarser level leaves out.
+    """
+    level = F.grouping_id()
+    return sales.rollup(key, year).agg(
+        level.alias("_level"), F.count("prix_m2").alias("nb_transactions"), F.avg("prix_m2").alias("prix_m2_moyen"),
+        F.sum("valeur_fonciere").alias("valeur_totale"), F.min("prix_m2").alias("prix_m2_min"), F.max("prix_m2").alias("prix_m2_max"),
+    ).select(
+        F.when(F.col("_level") == 0, F.lit("arrondissement_annee")).when(F.col("_level") == 1, F.lit("arrondissement"))
+        .otherwise(F.lit("ville")).alias("niveau"),
+        key, year, "nb_transactions", "prix_m2_moyen", "valeur_totale", "prix_m2_min", "prix_m2_max",
+    )

@@ -22,14 +22,18 @@ class Sized:
         return F.broadcast(self.df) if self.small else self.df
 
 
-def sized(df: DataFrame, max_rows: int = C.BROADCAST_ROWS) -> Sized:
-    """Materialise a join side in the shared folder and count it up to the limit.
+def sized(df: DataFrame, max_rows: int = C.BROADCAST_ROWS, bytes_of: Column | None = None, max_bytes: int = C.BROADCAST_BYTES) -> Sized:
+    """Materialise a join side in the shared folder and measure it.
 
-    The count and the later join read the same stored rows, so checking the size
+    Rows of fixed width are counted up to the limit; rows that hold arrays or texts give ``bytes_of`` each, and
+    their sum decides too. The measure and the later join read the same stored rows, so checking the size
     does not compute the side twice.
     """
     stored = durable(df)
-    return Sized(stored, stored.limit(max_rows + 1).count() <= max_rows)
+    if bytes_of is None:
+        return Sized(stored, stored.limit(max_rows + 1).count() <= max_rows)
+    n, size = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(bytes_of), F.lit(0))).first()
+    return Sized(stored, n <= max_rows and size <= max_bytes)
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], salts: int, how: str = "inner") -> DataFrame:

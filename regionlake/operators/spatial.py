@@ -43,11 +43,11 @@ def polygon_edges(polygons: DataFrame, key: str = C.REGION) -> DataFrame:
     )
 
 
-def suitable_cell(boxed: DataFrame) -> float:
-    """Cell size from the polygons' boxes: a typical region spans ``CELLS_ACROSS`` cells,
+def suitable_cell(extent: DataFrame) -> float:
+    """Cell size from the regions' boxes: a typical region spans ``CELLS_ACROSS`` cells,
     unless the whole set would then need more than ``MAX_CELLS``."""
     w, h = F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")
-    r = boxed.agg(F.avg(F.sqrt(w * h)).alias("side"), F.sum(w * h).alias("area"), F.max(F.greatest(w, h)).alias("long")).first()
+    r = extent.agg(F.avg(F.sqrt(w * h)).alias("side"), F.sum(w * h).alias("area"), F.max(F.greatest(w, h)).alias("long")).first()
     if not r["long"]:
         return 1.0
     return max(r["side"] / CELLS_ACROSS, math.sqrt(r["area"] / MAX_CELLS), r["long"] / MAX_CELLS)
@@ -57,41 +57,35 @@ def cell_index(polygons: DataFrame, key: str = C.REGION, cell: float | None = No
     """One row per grid cell with the candidate regions and the edges that matter there,
     and the cell size.
 
-    An edge matters in a cell if it overlaps the cell's latitude range and does not lie
+    Edges become rows of their own first. Each goes to the grid rows it touches, and what is grouped after the shuffle is
+    one grid row of one region, never a whole polygon. An edge matters in a cell if it overlaps the cell's latitude range and does not lie
     entirely west of it: only such edges can be crossed by the eastward ray of a point
     in the cell, or touch the point. A cell no edge reaches is wholly inside or outside;
     its centre decides here, once, and its points need no test. ``_sole`` is the region
     of a cell whose smallest candidate covers it whole.
     """
-    edges = polygon_edges(polygons, key)
-    low = lambda n1, n2: F.array_min(F.transform("edges", lambda e: F.least(e[n1], e[n2])))
-    high = lambda n1, n2: F.array_max(F.transform("edges", lambda e: F.greatest(e[n1], e[n2])))
-    extent = durable(edges.where(F.size("edges") > 0).select(
-        key, "edges", low("x1", "x2").alias("_x0"), high("x1", "x2").alias("_x1"),
-        low("y1", "y2").alias("_y0"), high("y1", "y2").alias("_y1"),
-    ))
-    cell = cell or suitable_cell(extent)
-    boxed = extent.select(key, "edges", *[
-        F.floor(F.col(f"_{a}{i}") / F.lit(cell)).alias(f"_c{a}{i}") for a in "xy" for i in (0, 1)
-    ])
-    cells = boxed.select(
-        key, "edges", F.explode(F.sequence("_cx0", "_cx1")).alias("_cx"), "_cy0", "_cy1"
-    ).select(key, "edges", "_cx", F.explode(F.sequence("_cy0", "_cy1")).alias("_cy"))
-    # The cell is widened a little, so a rounded cell number never loses an edge.
+    edge = ["x1", "y1", "x2", "y2"]
+    edges = durable(polygon_edges(polygons, key).select(key, F.inline("edges")))
+    if cell is None:
+        cell = suitable_cell(edges.groupBy(key).agg(
+            F.min(F.least("x1", "x2")).alias("_x0"), F.max(F.greatest("x1", "x2")).alias("_x1"),
+            F.min(F.least("y1", "y2")).alias("_y0"), F.max(F.greatest("y1", "y2")).alias("_y1")))
+    # Cells are widened a little, so a rounded cell number never loses an edge.
     slack = cell * 1e-6
-    boxes = cells.select(
+    number = lambda v: F.floor(v / F.lit(cell))
+    rows = edges.withColumn("_cy", F.explode(F.sequence(
+        number(F.least("y1", "y2") - F.lit(slack)), number(F.greatest("y1", "y2") + F.lit(slack)))))
+    rows = rows.groupBy(key, "_cy").agg(
+        F.collect_list(F.struct(*edge)).alias("edges"),
+        F.min(number(F.least("x1", "x2"))).alias("_cx0"), F.max(number(F.greatest("x1", "x2"))).alias("_cx1"))
+    boxes = rows.select(key, "edges", "_cy", F.explode(F.sequence("_cx0", "_cx1")).alias("_cx")).select(
         "*",
         (F.col("_cx") * F.lit(cell) - F.lit(slack)).alias("_w"),
         ((F.col("_cx") + 1) * F.lit(cell) + F.lit(slack)).alias("_e"),
         (F.col("_cy") * F.lit(cell) - F.lit(slack)).alias("_s"),
         ((F.col("_cy") + 1) * F.lit(cell) + F.lit(slack)).alias("_n"),
     )
-    kept = boxes.withColumn("edges", F.filter(
-        "edges",
-        lambda e: (F.greatest(e["x1"], e["x2"]) >= F.col("_w"))
-        & (F.greatest(e["y1"], e["y2"]) >= F.col("_s"))
-        & (F.least(e["y1"], e["y2"]) <= F.col("_n")),
-    )).where(F.size("edges") > 0)
+    kept = boxes.withColumn("edges", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("_w"))).where(F.size("edges") > 0)
     # Every kept edge overlaps the cell's rows and does not end west of it.
     mixed = F.exists("edges", lambda e: F.least(e["x1"], e["x2"]) <= F.col("_e"))
     middle = strictly_inside((F.col("_w") + F.col("_e")) / 2.0, (F.col("_s") + F.col("_n")) / 2.0, F.col("edges"))
@@ -105,6 +99,11 @@ def cell_index(polygons: DataFrame, key: str = C.REGION, cell: float | None = No
     return index.withColumn("_sole", F.when(first["whole"], first["region"])), cell
 
 
+def _index_bytes() -> Column:
+    """Bytes of an index row: its candidates, and four coordinates an edge."""
+    return F.aggregate("_candidates", F.lit(64).cast("bigint"), lambda n, c: n + 32 + 40 * F.coalesce(F.size(c["edges"]), F.lit(0)))
+
+
 def with_region(
     points: DataFrame, polygons: DataFrame, lat: str = "lat", lon: str = "lon", out: str = C.REGION,
     key: str = C.REGION, cell: float | None = None, salts: int = 32, broadcast_rows: int = C.BROADCAST_ROWS,
@@ -113,11 +112,11 @@ def with_region(
 
     Points meet the polygons of their grid cell through an equi join on a unique cell,
     then the exact test runs on that cell's edges. A boundary point has no region; a
-    point in several regions gets the smallest code. The index is broadcast if its row
-    count allows; otherwise the points are salted, so a crowded cell spreads over tasks.
+    point in several regions gets the smallest code. The index is broadcast if its rows and
+    bytes allow; otherwise the points are salted, so a crowded cell spreads over tasks.
     """
     cells, cell = cell_index(polygons, key, cell)
-    index = sized(cells, broadcast_rows)
+    index = sized(cells, broadcast_rows, _index_bytes())
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     placed = points.withColumn("_cx", F.floor(x / F.lit(cell))).withColumn("_cy", F.floor(y / F.lit(cell)))
     if index.small:

@@ -82,10 +82,23 @@ def rolling_mean(
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row of every key. A mergeable aggregate: each task sends one row per key."""
-    rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order, *[c for c in rest if c not in order]))
-    return df.groupBy(*keys).agg(newest.alias("_r")).select(*keys, "_r.*").select(*df.columns)
+    """Newest row of every key; keys compare null-safely, and a key without any time keeps a row.
+
+    Two steps, so that the rows are never sorted: a hash aggregate finds the newest ``order[0]`` of each key, each task
+    sending one small row a key, and the join back keeps rows of that time. Only these are ordered by the
+    rest of ``order`` and the other columns.
+    """
+    first, *others = order
+    ties = [*others, *[c for c in df.columns if c not in keys and c not in order]]
+    newest = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max(first).alias("_newest"))
+    same = F.col(first).eqNullSafe(F.col("_newest"))
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rows = df.join(newest, same, "left_semi")
+    if not ties:
+        return rows.dropDuplicates(keys)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ties]))
+    return rows.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

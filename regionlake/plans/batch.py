@@ -10,23 +10,36 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regionlake import config as C
+from regionlake.functions.cleaning import address, truncated
+from regionlake.operators import catalog as K
 from regionlake.operators.aggregates import lake_statistics
 from regionlake.operators.quality import anomalies
+from regionlake.operators.reshape import first_rows
 from regionlake.operators.sizing import Spine
 from regionlake.plans import gold, silver
 from regionlake.schemas import AIR, ELEMENTS, HEALTH, NOISE, SCHOOL, SHOPS, STOP, TRAFFIC, envelope
 from regionlake.sources import delimited, documents, sinks
-from regionlake.sources.files import exists, optional_parquet
+from regionlake.sources.files import counted, exists, inventory, lake_health, optional_parquet
 
+# Anomalies that a report repeats; the table beside it has all.
+REPORTED = 1000
+STEPS = ("batch_id string, etape string, libelle string, statut string, lignes bigint, violations map<string, bigint>, "
+         "duree_s double, erreur string")
 
-def run_steps(steps: list[tuple[str, str, Callable[[], bool]]]) -> dict:
-    """Run the steps in order; one that fails is recorded and the later ones still run."""
+
+def run_steps(steps: list[tuple[str, str, Callable[[], bool | dict]]]) -> dict:
+    """Run the steps in order; one that fails is recorded and the later ones still run.
+
+    A step returns whether it had all it needs, or what a write observed: rows and violations.
+    """
     results = {}
     for name, label, step in steps:
         started = time.time()
         entry = {"label": label}
         try:
-            entry["status"] = "ok" if step() else "partial"
+            done = step()
+            entry["status"] = "ok" if done else "partial"
+            entry |= done if isinstance(done, dict) else {}
         except Exception as problem:
             entry["status"], entry["error"] = "error", str(problem)
         entry["duration_s"] = round(time.time() - started, 2)
@@ -39,6 +52,26 @@ def overall_status(results: dict) -> str:
     return "error" if "error" in states else "partial" if "partial" in states else "success"
 
 
+def step_rows(spark: SparkSession, batch_id: str, results: dict) -> DataFrame:
+    """The run's steps as a table, one row a step."""
+    return spark.createDataFrame([
+        (batch_id, name, r["label"], r["status"], r.get("rows"), r.get("violations"), r.get("duration_s"), r.get("error"))
+        for name, r in results.items()], STEPS)
+
+
+def transactions(sales: DataFrame, spine: Spine, max_rows: int | None = None) -> DataFrame:
+    """Rows of the relational sales table; the first ``max_rows`` by date and region only where the caller asks for so many."""
+    have = sales.columns
+    part = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
+    place = F.concat(F.lit("SRID=4326;POINT("), F.col("longitude").cast("string"), F.lit(" "), F.col("latitude").cast("string"), F.lit(")"))
+    rows = sales.where(F.col(spine.key).between(1, spine.size) & F.col("date_mutation").isNotNull()).select(
+        F.col(spine.key).alias("arrondissement_code"), "date_mutation", F.year("date_mutation").alias(C.YEAR), "valeur_fonciere",
+        "surface_reelle_bati", "prix_m2", truncated("type_local", 32).alias("type_local"),
+        F.col("nombre_pieces_principales").cast("int").alias("nb_pieces"),
+        address(part("adresse_numero"), part("adresse_nom_voie")).alias("adresse"), place.alias("geom_point"))
+    return first_rows(rows, ["date_mutation", "arrondissement_code", "valeur_fonciere", "surface_reelle_bati"], max_rows)
+
+
 class Lake:
     """Paths of one bronze / silver / gold tree, and the steps that fill it."""
 
@@ -73,23 +106,27 @@ class Lake:
         path = self.bronze("geo_arrondissements.geojson")
         return documents.read_polygons(self.spark, path) if exists(self.spark, path) else None
 
-    def _store(self, df: DataFrame | None, name: str) -> bool:
+    def _store(self, df: DataFrame | None, name: str, rules: dict | None = None) -> dict | bool:
+        """Write a silver table; its rows, and those that break a rule, are counted by the write."""
         if df is None:
             return False
-        sinks.reload_table(df, self.silver_path(name))
-        return True
+        return sinks.observed(df, lambda rows: sinks.reload_table(rows, self.silver_path(name)), rules)
+
+    def _gold(self, df: DataFrame, name: str, rules: dict | None = None) -> dict:
+        return sinks.observed(df, lambda rows: sinks.reload_table(rows, self.gold_path(name)), rules)
 
     # Silver steps.
 
-    def sales(self) -> bool:
+    def sales(self) -> dict | bool:
         spread = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         raw = delimited.read_sales(self.spark, self.bronze("dvf"), self.years, partitions=spread)
         if raw is None:
             return False
-        sinks.write_yearly(silver.sales(raw, n_regions=self.spine.size), self.silver_path("dvf"))
-        return True
+        rules = {"prix_positifs": F.col("prix_m2") > 0, "dates": F.col("date_mutation").isNotNull()}
+        sales = silver.sales(raw, n_regions=self.spine.size)
+        return sinks.observed(sales, lambda rows: sinks.write_yearly(rows, self.silver_path("dvf")), rules)
 
-    def points(self) -> bool:
+    def points(self) -> dict | bool:
         """Stops, schools, parks, stations and offences; regions come from the polygons."""
         from regionlake.operators.spatial import enriched
 
@@ -111,47 +148,48 @@ class Lake:
         done.append(self._store(None if schools is None else silver.schools(schools, n_regions=self.spine.size),
                                 "education"))
         done.append(self._store(None if crime is None else silver.crime(crime), "criminalite"))
-        return all(done) and shapes is not None
+        if not all(done) or shapes is None:
+            return False
+        return {"rows": sum(d["rows"] for d in done), "violations": {}}
 
-    def social(self) -> bool:
+    def social(self) -> dict | bool:
         raw = self.delimited("logements_sociaux_paris.csv", min_columns=3, strict=True)
         return self._store(None if raw is None else silver.social_housing(raw, self.spine.size), "logements_sociaux")
 
-    def rents(self) -> bool:
+    def rents(self) -> dict | bool:
         raw = self.delimited("loyers_reference_paris.csv", underscores=True)
         return self._store(None if raw is None else silver.rents(raw, n_regions=self.spine.size), "loyers")
 
-    def income(self) -> bool:
+    def income(self) -> dict | bool:
         raw = self.delimited("revenus_insee_paris.csv")
         return self._store(None if raw is None else silver.income(raw, self.spine.size), "revenus")
 
-    def air(self) -> bool:
+    def air(self) -> dict | bool:
         raw = self.document("qualite_air_paris.json", AIR)
         return self._store(None if raw is None else silver.air_quality(raw, self.spine.size), "qualite_air")
 
-    def shops(self) -> bool:
+    def shops(self) -> dict | bool:
         shops = self.document("commerces_paris.json", SHOPS)
         health = self.document("sante_paris.json", HEALTH)
         return self._store(silver.shops_and_health(shops, health, self.spine, self.polygons()), "commerces_sante")
 
-    def noise(self) -> bool:
+    def noise(self) -> dict | bool:
         raw = self.document("bruit_paris.json", NOISE)
         return self._store(None if raw is None else silver.noise(raw, self.spine), "bruit")
 
-    def traffic(self) -> bool:
+    def traffic(self) -> dict | bool:
         raw = self.document("circulation_paris.json", TRAFFIC)
         return self._store(None if raw is None else silver.traffic(raw, self.spine), "circulation")
 
     # Gold steps.
 
-    def prices(self) -> bool:
+    def prices(self) -> dict | bool:
         sales = self.silver("dvf")
         if sales is None:
             return False
-        sinks.reload_table(gold.yearly_prices(sales), self.gold_path("agregats_arrondissements"))
-        return True
+        return self._gold(gold.yearly_prices(sales), "agregats_arrondissements", {"cle": F.col(self.spine.key).isNotNull()})
 
-    def scores(self) -> bool:
+    def scores(self) -> dict | bool:
         s = self.silver
         table = gold.indicators(
             gold.access_scores(s("transports"), s("education"), s("commerces_sante"), self.spine),
@@ -160,20 +198,17 @@ class Lake:
             gold.housing_scores(self.gold("agregats_arrondissements"), s("revenus"), s("loyers"), self.spine),
             self.spine.key,
         )
-        sinks.reload_table(table, self.gold_path("indicateurs_custom"))
-        return True
+        return self._gold(table, "indicateurs_custom", {c: F.coalesce(F.col(c).between(0, 10), F.lit(False)) for c in gold.SCORES})
 
-    def final(self) -> bool:
+    def final(self) -> dict | bool:
         prices = self.gold("agregats_arrondissements")
         if prices is None:
             return False
         s = self.silver
-        sinks.reload_table(
-            gold.final_table(prices, self.spine, s("logements_sociaux"), s("revenus"), s("loyers"),
-                             s("qualite_air"), self.gold("indicateurs_custom")),
-            self.gold_path("gold_final"),
-        )
-        return True
+        table = gold.final_table(prices, self.spine, s("logements_sociaux"), s("revenus"), s("loyers"),
+                                 s("qualite_air"), self.gold("indicateurs_custom"))
+        return self._gold(table, "gold_final", {
+            "cle": F.col(self.spine.key).isNotNull() & F.col(C.YEAR).isNotNull(), "variation": F.col("prix_m2_variation_pct").between(-50, 100)})
 
     def steps(self) -> list[tuple[str, str, Callable[[], bool]]]:
         return [
@@ -194,17 +229,24 @@ class Lake:
     def run(self, dry_run: bool = False, load: Callable[[DataFrame], dict] | None = None) -> dict:
         """Run every step, then report status, statistics, anomalies and the load."""
         started, begun = time.time(), datetime.now(timezone.utc)
+        batch_id = begun.strftime("%Y%m%d_%H%M%S_%f")
         results = run_steps(self.steps())
         table = self.gold("gold_final")
-        found, stats = [], {}
+        found, n_found, stats = [], 0, self.file_counts()
         if table is not None:
-            found = [r.asDict() for r in anomalies(table, self.spine).toLocalIterator()]
-            stats = lake_statistics(table, self.spine.key).first().asDict()
+            place = f"{self.root}/gold/anomalies"
+            # Every run's anomalies are a partition of their own.
+            n_found = sinks.observed(anomalies(table, self.spine).withColumn("batch_id", F.lit(batch_id)),
+                                     lambda rows: sinks.write_batch(rows, place))["rows"]
+            if n_found:
+                kept = self.spark.read.parquet(place).where(F.col("batch_id") == batch_id).drop("batch_id")
+                found = [r.asDict() for r in kept.orderBy("severity", "type", "detail").limit(REPORTED).collect()]
+            stats |= lake_statistics(table, self.spine.key).first().asDict()
         loaded = {"status": "skipped_dry_run", "rows_updated": {}}
         if not dry_run:
             loaded = self._load(table, load)
         report = {
-            "batch_id": begun.strftime("%Y%m%d_%H%M%S_%f"),
+            "batch_id": batch_id,
             "start_time": begun.isoformat(),
             "end_time": datetime.now(timezone.utc).isoformat(),
             "duration_seconds": round(time.time() - started, 2),
@@ -214,12 +256,47 @@ class Lake:
             "stats": stats,
             "load": loaded,
             "anomalies": found,
-            "anomalies_count": len(found),
+            "anomalies_count": n_found,
             "errors_count": sum(r["status"] == "error" for r in results.values()),
         }
+        sinks.append_events(step_rows(self.spark, batch_id, results).coalesce(1), f"{self.root}/gold/batch_steps")
         self._write_report(report)
         return report
 
+    def file_counts(self) -> dict:
+        return {"dvf_bronze_files": counted(self.spark, self.bronze("dvf/*.csv.gz")),
+                "dvf_silver_files": counted(self.spark, f"{self.silver_path('dvf')}/{C.YEAR}=*")}
+
+    # Care of the lake, beside the nightly run.
+
+    def load_inventory(self, as_of=None) -> DataFrame:
+        """List what has landed, one row a file, replacing the rows of files listed before."""
+        files = inventory(self.spark, f"{self.root}/bronze", as_of)
+        return sinks.upsert_partitions(files, f"{self.root}/gold/inventaire", ["source", "path"], "source")
+
+    def load_catalog(self, as_of) -> DataFrame:
+        """One row per source of the inventory with its label and freshness."""
+        files = self.spark.read.parquet(f"{self.root}/gold/inventaire")
+        entries = K.catalog(files, K.catalog_entries(self.spark), F.lit(as_of).cast("timestamp"))
+        sinks.reload_table(entries, f"{self.root}/gold/catalogue")
+        return self.spark.read.parquet(f"{self.root}/gold/catalogue")
+
+    def health(self) -> DataFrame:
+        """State of every table that the run should leave."""
+        silver_names = ["transports", "education", "parcs", "securite_urbaine", "criminalite", "logements_sociaux", "loyers", "revenus",
+                        "qualite_air", "commerces_sante", "bruit", "circulation", "dvf"]
+        gold_names = ["agregats_arrondissements", "indicateurs_custom", "gold_final"]
+        bronze_names = [source for source, *_ in C.CATALOG_ENTRIES]
+        return lake_health(self.spark, [("bronze", n, self.bronze(n)) for n in bronze_names]
+                           + [("silver", n, self.silver_path(n)) for n in silver_names] + [("gold", n, self.gold_path(n)) for n in gold_names])
+
+    def retire_events(self, as_of, days: int = C.RETENTION_DAYS) -> list[str]:
+        """Drop stored events of days past the retention."""
+        return sinks.drop_expired(self.spark, f"{self.root}/gold/evenements", as_of, days)
+
+    def steps_of(self, batch_id: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/gold/batch_steps").where(F.col("batch_id") == batch_id)
+
     def _load(self, table: DataFrame | None, load) -> dict:
         if table is None:
             return {"status": "error: gold_final missing", "rows_updated": {}}
@@ -238,18 +315,22 @@ class Lake:
         base = f"{self.root}/gold/relational"
         counts = {}
 
-        def put(name: str, df: DataFrame, pk: list[str]) -> None:
-            counts[name] = sinks.upsert_table(df, f"{base}/{name}", pk).count()
+        def put(name: str, df: DataFrame, pk: list[str], by: str | None = None) -> None:
+            counts[name] = sinks.upsert_partitions(df, f"{base}/{name}", pk, by).count()
 
         put("arrondissement", documents.region_dimension(self.polygons(), self.spine, key), ["code"])
-        put("prix_median", table.select(key, year, *PRICE_COLUMNS), [key, year])
+        put("prix_median", table.select(key, year, *PRICE_COLUMNS), [key, year], year)
         social = [c for c in ("nb_logements_sociaux", "part_logements_sociaux_pct") if c in table.columns]
         if social:
             rows = table.select(key, year, *social).where(F.col(key).isNotNull() & F.col(year).isNotNull())
-            put("logement_social", keep_first(rows, [key, year], social), [key, year])
+            put("logement_social", keep_first(rows, [key, year], social), [key, year], year)
         scores = self.gold("indicateurs_custom")
         if scores is not None:
             put("indicateur", long_indicators(scores, key), [key, "nom", year])
+        sales = self.silver("dvf")
+        if sales is not None:
+            rows = transactions(sales, self.spine)
+            counts["transaction"] = sinks.observed(rows, lambda r: sinks.reload_table(r, f"{base}/transaction"))["rows"]
         return counts
 
     def _write_report(self, report: dict) -> None:

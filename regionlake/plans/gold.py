@@ -1,12 +1,12 @@
 """Silver -> gold: yearly prices, composite scores, final table.
 
-Each score first reduces its sources to one row per region and stores that table, so
-every source is read once and the scoring itself runs on a few rows.
+Each score first reduces its sources to one row per region. Bounds, counts and medians over the regions are
+windows over these few rows, so a score is one lazy plan that reads every source once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from regionlake import config as C
 from regionlake.functions import cleaning as X
@@ -14,11 +14,15 @@ from regionlake.operators.aggregates import count_by, median_by, price_stats, su
 from regionlake.operators.joins import attach_all, with_region_values
 from regionlake.operators.sizing import Spine
 from regionlake.operators.windows import keep_first, with_variation
-from regionlake.session import durable
 
 WEIGHTS = C.ScoreWeights()
 
 
+def over_regions(value: Column) -> Column:
+    """An aggregate of a table that has one row per region, beside each row."""
+    return value.over(Window.partitionBy())
+
+
 def yearly_prices(sales: DataFrame, kinds=C.SaleRules().kinds, exact: bool = True,
                   digits: int | None = 0) -> DataFrame:
     """Median price, volume, kinds and change per (region, year)."""
@@ -26,12 +30,12 @@ def yearly_prices(sales: DataFrame, kinds=C.SaleRules().kinds, exact: bool = Tru
     return with_variation(stats, digits=None if digits is None else 1)
 
 
-def bounds_of(base: DataFrame, columns: list[str]) -> Column:
-    """Minimum and maximum of every score input in one aggregate, as a scalar struct."""
+def bounds_of(columns: list[str]) -> Column:
+    """Minimum and maximum over the regions of every score input."""
     parts = []
     for c in columns:
-        parts += [F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi")]
-    return base.agg(F.struct(*parts).alias("b")).scalar()
+        parts += [over_regions(F.min(c)).alias(f"{c}_lo"), over_regions(F.max(c)).alias(f"{c}_hi")]
+    return F.struct(*parts)
 
 
 def scaled(c: str, inverse: bool = False) -> Column:
@@ -56,14 +60,14 @@ def access_scores(stops: DataFrame | None, schools: DataFrame | None, shops_heal
         sums = [X.row_sum(*cols).alias(out) for cols, out in ((shop, "nb_commerces"), (care, "nb_sante")) if cols]
         base = base.join(shops_health.select(key, *sums), key, "left")
     counts = ["nb_arrets", "nb_ecoles", "nb_commerces", "nb_sante"]
-    base = durable(base.select(key, *[
+    base = base.select(key, *[
         (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in base.columns else F.lit(0.0)).alias(c)
         for c in counts
-    ]))
+    ])
     parts = {"transport": scaled("nb_arrets"), "schools": scaled("nb_ecoles"), "shops": scaled("nb_commerces"),
              "health": scaled("nb_sante"), "centrality": spine.literal(C.by_region(centrality))}
     score = X.round_half_even(X.weighted(weights.access, parts), 2)
-    return base.withColumn("_b", bounds_of(base, counts)).select(
+    return base.withColumn("_b", bounds_of(counts)).select(
         key, score.alias("score_accessibilite"), *counts
     )
 
@@ -83,16 +87,16 @@ def life_scores(parks: DataFrame | None, air: DataFrame | None, noise: DataFrame
             base = base.join(keep_first(t.select(key, c), [key], [c]), key, "left")
 
     have = base.columns
-    base = durable(base.select(
+    base = base.select(
         key,
         (F.coalesce(F.col("nb_parcs").cast("double"), F.lit(0.0)) if "nb_parcs" in have else F.lit(0.0)).alias("nb_parcs"),
         (F.coalesce(X.clip(F.col("score_air") / 10.0, 0, 10), F.lit(0.0)) if "score_air" in have else neutral).alias("s_air"),
         (F.coalesce("score_bruit", neutral) if "score_bruit" in have else neutral).alias("s_bruit"),
         (F.coalesce("score_circulation", neutral) if "score_circulation" in have else neutral).alias("s_circ"),
-    ))
+    )
     parts = {"parks": scaled("nb_parcs"), "air": F.col("s_air"), "noise": F.col("s_bruit"), "traffic": F.col("s_circ")}
     score = X.round_half_even(X.weighted(weights.life, parts), 2)
-    return base.withColumn("_b", bounds_of(base, ["nb_parcs"])).select(
+    return base.withColumn("_b", bounds_of(["nb_parcs"])).select(
         key, score.alias("score_qualite_vie"), "nb_parcs"
     )
 
@@ -101,11 +105,11 @@ def filled(base: DataFrame, specs: dict[str, tuple[Column, Column | None]]) -> D
     """Fill gaps of several columns: ``{column: (default, fill)}``.
 
     A column without any value takes its default table; otherwise each gap takes
-    ``fill``, or the column's median when that is None. One aggregate serves all columns.
+    ``fill``, or the column's median when that is None. The table has one row per region.
     """
-    stats = base.agg(F.struct(*[
-        F.struct(F.count(c).alias("n"), F.median(c).alias("med")).alias(c) for c in specs
-    ]).alias("f")).scalar()
+    stats = F.struct(*[
+        F.struct(over_regions(F.count(c)).alias("n"), over_regions(F.median(c)).alias("med")).alias(c) for c in specs
+    ])
     out = base.withColumn("_f", stats)
     for c, (default, fill) in specs.items():
         gap = F.col(f"_f.{c}.med") if fill is None else fill
@@ -128,7 +132,7 @@ def safety_scores(crime: DataFrame | None, security: DataFrame | None, spine: Sp
     for c in ("nb_faits", "nb_commissariats", "nb_casernes"):
         if c not in base.columns:
             base = base.withColumn(c, F.lit(None).cast("double"))
-    base = filled(durable(base), {
+    base = filled(base, {
         "nb_faits": (spine.literal(C.by_region(offences)), None),
         "nb_commissariats": (spine.literal(C.by_region(police)), F.lit(1.0)),
         "nb_casernes": (spine.literal(C.by_region(fire)), F.lit(0.0)),
@@ -136,7 +140,7 @@ def safety_scores(crime: DataFrame | None, security: DataFrame | None, spine: Sp
     inputs = ["nb_faits", "nb_commissariats", "nb_casernes"]
     parts = {"crime": scaled("nb_faits", inverse=True), "police": scaled("nb_commissariats"), "fire": scaled("nb_casernes")}
     score = X.round_half_even(X.weighted(weights.safety, parts), 2)
-    return base.withColumn("_b", bounds_of(base, inputs)).select(key, score.alias("score_securite"), *inputs)
+    return base.withColumn("_b", bounds_of(inputs)).select(key, score.alias("score_securite"), *inputs)
 
 
 def rent_column(columns: list[str]) -> str | None:
@@ -158,9 +162,8 @@ def housing_scores(prices: DataFrame | None, income: DataFrame | None, rents: Da
     rent = rent_column([c for c in rents.columns if c != key]) if rents is not None and key in rents.columns else None
     if rent:
         base = base.join(median_by(rents, [key], rent, "loyer_ref_m2"), key, "left")
-    base = durable(base)
-    stats = base.agg(F.struct(F.median("revenu_median").alias("inc"), F.median("prix_m2_median").alias("price"),
-                              F.count("prix_m2_median").alias("n")).alias("f")).scalar()
+    stats = F.struct(over_regions(F.median("revenu_median")).alias("inc"), over_regions(F.median("prix_m2_median")).alias("price"),
+                     over_regions(F.count("prix_m2_median")).alias("n"))
     required = F.when(F.col("_f.inc").isNull(), F.raise_error(F.lit("no median income for any region")).cast("double"))
     base = base.withColumn("_f", stats).select(
         key,
@@ -183,7 +186,7 @@ def housing_scores(prices: DataFrame | None, income: DataFrame | None, rents: Da
     parts = {"purchase": scaled("m2_par_revenu"),
              "effort": scaled("effort_locatif", inverse=True) if rent else F.lit(weights.neutral)}
     score = X.round_half_even(X.weighted(weights.housing, parts), 2)
-    return base.withColumn("_b", bounds_of(base, inputs)).select(
+    return base.withColumn("_b", bounds_of(inputs)).select(
         key, score.alias("score_accessibilite_immo"), "revenu_median", "m2_par_revenu"
     )
 

@@ -142,21 +142,14 @@ def air_summary(table: DataFrame, as_of, hours: int = 24, alert_only: bool = Fal
         & (F.col("ingested_at") >= moment - F.expr(f"INTERVAL {int(hours)} HOURS"))
         & F.col(key).between(1, n_regions)
     )
-    newest_row = F.max_by(
-        F.struct("iqa", "no2_µg_m3", "pm25_µg_m3", "alert_level", "source", "ingested_at"),
-        F.struct("ingested_at", "iqa", "source"),
-    )
     mean = F.avg("iqa")
-    latest = inside.groupBy(key).agg(
-        newest_row.alias("l"),
-        (mean if digits is None else round_half_even(mean, digits)).alias("iqa_mean"),
-        F.count(F.lit(1)).alias("n_mesures"),
-    )
+    means = inside.groupBy(key).agg(
+        (mean if digits is None else round_half_even(mean, digits)).alias("iqa_mean"), F.count(F.lit(1)).alias("n_mesures"))
+    columns = ["iqa", "no2_µg_m3", "pm25_µg_m3", "alert_level", "source", "ingested_at"]
+    latest = latest_per_key(inside.select(key, *columns), [key], ["ingested_at", "iqa", "source"]).join(means, key)
     readings = latest.select(
-        key, F.col("l.iqa").alias("iqa_latest"), "iqa_mean",
-        F.col("l.`no2_µg_m3`").alias("no2_latest"), F.col("l.`pm25_µg_m3`").alias("pm25_latest"),
-        F.col("l.alert_level").alias("alert_level"), F.coalesce("l.source", F.lit("unknown")).alias("source"),
-        F.col("l.ingested_at").alias("last_update"), "n_mesures",
+        key, F.col("iqa").alias("iqa_latest"), "iqa_mean", F.col("no2_µg_m3").alias("no2_latest"), F.col("pm25_µg_m3").alias("pm25_latest"),
+        "alert_level", F.coalesce("source", F.lit("unknown")).alias("source"), F.col("ingested_at").alias("last_update"), "n_mesures",
     )
     alarmed = F.col("alert_level").isin(C.LEVEL_ORANGE, C.LEVEL_RED)
     alerts = readings.where(alarmed).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from regionlake import config as C
 from regionlake.functions import cleaning as X
@@ -10,7 +10,6 @@ from regionlake.functions.geo import grid_region
 from regionlake.operators.aggregates import class_counts, mean_by
 from regionlake.operators.sizing import Spine
 from regionlake.operators.spatial import with_region
-from regionlake.session import durable
 from regionlake.sources import documents as D
 from regionlake.sources.delimited import renamed, resolve_aliases
 
@@ -212,11 +211,9 @@ def noise(raw: DataFrame, spine: Spine) -> DataFrame:
 
 def noise_scores(means: DataFrame, spine: Spine) -> DataFrame:
     """Score from the level; from the delivered raw score when no level is known at all."""
-    means = durable(means)
-    of = means.agg(
-        F.struct(F.avg("lden_moyen").alias("avg"), F.min("lden_moyen").alias("lo"),
-                 F.max("lden_moyen").alias("hi"), F.count("score_bruit_raw").alias("raw")).alias("s")
-    ).scalar()
+    over = Window.partitionBy()  # one row per region
+    of = F.struct(F.avg("lden_moyen").over(over).alias("avg"), F.min("lden_moyen").over(over).alias("lo"),
+                  F.max("lden_moyen").over(over).alias("hi"), F.count("score_bruit_raw").over(over).alias("raw"))
     filled = F.coalesce("lden_moyen", F.col("_s.avg"))
     score = (
         F.when(F.col("_s.avg").isNotNull(),
@@ -247,11 +244,9 @@ def traffic(raw: DataFrame, spine: Spine) -> DataFrame:
 
 def traffic_scores(rows: DataFrame, spine: Spine, defaults=C.DEFAULT_TRAFFIC_SCORES) -> DataFrame:
     """Delivered score, else from the flow, else the default table; then neutral."""
-    base = durable(spine.attach(rows))
-    of = base.agg(
-        F.struct(F.count("score_circulation").alias("n"), F.median("tmja_moyen").alias("med"),
-                 F.min("tmja_moyen").alias("lo"), F.max("tmja_moyen").alias("hi")).alias("s")
-    ).scalar()
+    base, over = spine.attach(rows), Window.partitionBy()  # one row per region
+    of = F.struct(F.count("score_circulation").over(over).alias("n"), F.median("tmja_moyen").over(over).alias("med"),
+                  F.min("tmja_moyen").over(over).alias("lo"), F.max("tmja_moyen").over(over).alias("hi"))
     by_flow = X.round_half_even(
         X.min_max_score(F.coalesce("tmja_moyen", F.col("_s.med")), F.col("_s.lo"), F.col("_s.hi"), inverse=True), 2
     )

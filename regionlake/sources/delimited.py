@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from regionlake import config as C
 from regionlake.schemas import SALES_COLUMNS
@@ -26,6 +28,19 @@ def header_of(spark: SparkSession, path: str, encoding: str = "utf-8") -> str:
     return (first["line"] if first else "").lstrip("﻿")
 
 
+def names_of(header: str, sep: str) -> list[str]:
+    """Column names of a header line; a separator inside quotes belongs to the name."""
+    return next(csv.reader([header], delimiter=sep), [])
+
+
+def texts(names: list[str]) -> StructType:
+    """A schema of strings, whatever characters the names hold."""
+    out = StructType()
+    for n in names:
+        out.add(n, StringType())
+    return out
+
+
 def decodes(spark: SparkSession, path: str, encoding: str) -> bool:
     """Does the whole file decode without replacement characters?"""
     return raw_lines(spark, path, encoding).where(F.col("line").contains("�")).limit(1).count() == 0
@@ -43,7 +58,7 @@ def dialect(
     encoding = next((e for e in encodings if decodes(spark, path, e)), encodings[-1])
     header = header_of(spark, path, encoding)
     for sep in separators:
-        if len(header.split(sep)) >= min_columns:
+        if len(names_of(header, sep)) >= min_columns:
             return sep, encoding
     if strict:
         raise ValueError(f"no separator gives {min_columns} columns in {path}")
@@ -70,9 +85,9 @@ def read_delimited(
 ) -> DataFrame:
     """All columns as strings under normalised header names."""
     sep, encoding = dialect(spark, path, min_columns, strict=strict)
-    names = unique_names([normalized(n, underscores) for n in header_of(spark, path, encoding).split(sep)])
-    schema = ", ".join(f"`{n}` string" for n in names)
-    return spark.read.option("sep", sep).option("encoding", encoding).option("header", "true").schema(schema).csv(path)
+    names = unique_names([normalized(n, underscores) for n in names_of(header_of(spark, path, encoding), sep)])
+    reader = spark.read.option("sep", sep).option("encoding", encoding).option("header", "true").option("escape", '"')
+    return reader.schema(texts(names)).csv(path)
 
 
 def resolve_aliases(columns: list[str], rules, first_alias_wins: bool = False) -> dict[str, str]:
@@ -111,9 +126,8 @@ def read_sales(
         path = f"{folder}/{pattern.format(year=year)}"
         if not exists(spark, path):
             continue
-        names = [n.strip().strip('"') for n in header_of(spark, path).split(",")]
-        schema = ", ".join(f"`{n}` string" for n in names)
-        df = spark.read.option("header", "true").schema(schema).csv(path)
+        names = [n.strip() for n in names_of(header_of(spark, path), ",")]
+        df = spark.read.option("header", "true").schema(texts(names)).csv(path)
         wanted = [F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in SALES_COLUMNS]
         frames.append(df.select(*wanted, F.lit(int(year)).alias(C.YEAR)))
     if not frames:

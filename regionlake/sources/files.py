@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from regionlake.session import durable
+
 
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -22,6 +26,12 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(target).getLength())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; one that is not there is no error."""
+    target, fs = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def optional_parquet(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None when it was never produced, so that a run can go on without it."""
     return spark.read.parquet(path) if exists(spark, path) else None
@@ -49,71 +59,90 @@ def inventory(spark: SparkSession, root: str, as_of=None) -> DataFrame:
 
 
 def described(files: DataFrame, payload_limit: int | None = None, sample_rows: int | None = None) -> DataFrame:
-    """Checksum, kind, columns and sample of files given as (path, format, size_bytes, content, ingested_at).
+    """Checksum, kind, columns, sample and error of files given as (path, format, size_bytes, content, ingested_at).
 
-    Payloads are kept and rows counted in full unless the caller sets a limit.
+    JSON is parsed once, into a VARIANT, whatever its shape. A file that does not parse is listed with ``error`` and without
+    payload or sample. Payloads are kept and rows counted in full unless the caller sets a limit.
     """
     kept = F.lit(True) if payload_limit is None else F.col("size_bytes") < payload_limit
     rows = F.size("_lines") - 1
     rows = rows if sample_rows is None else F.least(rows, F.lit(sample_rows))
     text = F.make_valid_utf8(F.col("content").cast("string"))
-    is_json = F.col("format").isin("json", "geojson")
-    features = F.from_json("_text", "struct<features: array<string>>")["features"]
-    elements = F.from_json("_text", "array<string>")
-    is_list = F.startswith(F.ltrim("_text"), F.lit("["))
+    is_json, is_csv = F.col("format").isin("json", "geojson"), F.col("format") == "csv"
     lines = F.filter(F.split(F.regexp_replace("_text", "\r", ""), "\n"), lambda x: x != "")
     header = F.get("_lines", F.lit(0))
     comma = F.size(F.split(header, ",")) > F.size(F.split(header, ";"))
     columns = F.when(comma, F.split(header, ",")).otherwise(F.split(header, ";"))
+    as_list = lambda path: F.try_variant_get("_json", path, "array<variant>")
     checked = (
         files.withColumn("checksum", F.sha2("content", 256))
         .withColumn("_text", text)
-        .withColumn("_features", F.when(is_json & ~is_list, features))
-        .withColumn("_items", F.when(is_json & is_list, elements))
-        .withColumn("_lines", F.when(F.col("format") == "csv", lines))
-    )
-    kind = (
-        F.when(F.col("_features").isNotNull(), F.lit("geojson"))
-        .when(is_json, F.lit("json"))
-        .when(F.col("format") == "csv", F.lit("csv"))
+        .withColumn("_json", F.when(is_json, F.try_parse_json("_text")))
+        .withColumn("_features", as_list("$.features"))
+        .withColumn("_items", as_list("$"))
+        .withColumn("_lines", F.when(is_csv, lines))
     )
+    readable = F.col("_json").isNotNull()
+    sample = lambda c, n: F.transform(F.slice(c, 1, n), lambda v: F.to_json(v))
     return checked.select(
         F.regexp_extract("path", r"^([^/]+)", 1).alias("source"),
         "path", "format", "size_bytes", "checksum", "ingested_at",
-        kind.alias("payload_kind"),
+        F.when(F.col("_features").isNotNull(), F.lit("geojson")).when(readable, F.lit("json")).when(is_csv, F.lit("csv")).alias("payload_kind"),
         F.size("_features").alias("nb_features"),
-        F.when(is_json & F.col("_features").isNull() & kept,
-               F.col("_text")).alias("payload"),
+        F.when(readable & F.col("_features").isNull() & kept, F.col("_text")).alias("payload"),
         F.when(F.col("_lines").isNotNull(), columns).alias("columns"),
         F.when(F.col("_lines").isNotNull(),
                rows).alias("nb_rows_sample"),
-        F.when(F.col("_features").isNotNull(), F.slice("_features", 1, 3))
-        .when(F.col("_items").isNotNull(), F.slice("_items", 1, 5))
-        .when(is_json, F.array("_text"))
+        F.when(F.col("_features").isNotNull(), sample("_features", 3))
+        .when(F.col("_items").isNotNull(), sample("_items", 5))
+        .when(readable, F.array("_text"))
         .when(F.col("_lines").isNotNull(), F.slice("_lines", 2, 5)).alias("sample"),
+        F.when(is_json & ~readable, F.lit("unreadable JSON")).when(is_csv & (F.size("_lines") == 0), F.lit("no columns")).alias("error"),
     )
 
 
+def counted(spark: SparkSession, pattern: str) -> int:
+    """Files or folders that match a pattern; nothing is opened."""
+    target, fs = _hadoop_path(spark, pattern)
+    return len(fs.globStatus(target) or [])
+
+
 def lake_health(spark: SparkSession, datasets: list[tuple[str, str, str]]) -> DataFrame:
     """(layer, label, path) -> status ABSENT, VIDE, CORROMPU or OK with size and rows.
 
-    The list of datasets is short; the row count of a Parquet table comes from its footers.
+    The driver looks at folders and at one footer a table; all row counts come from one union, which counts in the footers.
     """
-    rows = []
+    shape = "couche string, jeu string, statut string, taille_bytes bigint, lignes bigint"
+    rows, counts = [], []
     for layer, label, path in datasets:
         if not exists(spark, path):
             rows.append((layer, label, "ABSENT", None, None))
             continue
-        size, status, count = size_bytes(spark, path), "OK", None
-        if path.rstrip("/").endswith(".parquet"):
-            try:
-                count = spark.read.parquet(path).count()
-                status = "OK" if count else "VIDE"
-            except Exception:  # an unreadable table is a finding, not a failure of the report
-                status = "CORROMPU"
-        elif size == 0:
-            status = "VIDE"
-        rows.append((layer, label, status, size, count))
-    return spark.createDataFrame(
-        rows, "couche string, jeu string, statut string, taille_bytes bigint, lignes bigint"
-    )
+        size = size_bytes(spark, path)
+        if not path.rstrip("/").endswith(".parquet"):
+            rows.append((layer, label, "OK" if size else "VIDE", size, None))
+            continue
+        try:
+            table = spark.read.parquet(path)
+        except Exception:  # an unreadable table is a finding, not a failure of the report
+            rows.append((layer, label, "CORROMPU", size, None))
+            continue
+        n = F.count(F.lit(1))
+        counts.append((layer, label, size, table.agg(n.alias("lignes")).select(
+            F.lit(layer).alias("couche"), F.lit(label).alias("jeu"), F.when(F.col("lignes") > 0, F.lit("OK")).otherwise(F.lit("VIDE")).alias("statut"),
+            F.lit(size).cast("bigint").alias("taille_bytes"), "lignes")))
+    looked = spark.createDataFrame(rows, shape)
+    if not counts:
+        return looked
+    try:
+        return durable(reduce(DataFrame.union, [c[-1] for c in counts], looked))
+    except Exception:  # some later file of a table does not read: find out which
+        return reduce(DataFrame.union, [_counted_alone(spark, c, shape) for c in counts], looked)
+
+
+def _counted_alone(spark: SparkSession, one: tuple, shape: str) -> DataFrame:
+    layer, label, size, count = one
+    try:
+        return durable(count)
+    except Exception:
+        return spark.createDataFrame([(layer, label, "CORROMPU", size, None)], shape)

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from regionlake import config as C
 from regionlake.functions.cleaning import alert_level, first_truthy, region_of_code, round_half_even
 from regionlake.operators.sizing import Spine
-from regionlake.operators.windows import rolling_mean
-from regionlake.sources.files import optional_parquet
-from regionlake.sources.sinks import write_batch
-from regionlake.streaming.sales import start
+from regionlake.session import durable
+from regionlake.streaming.sales import append_to
+from regionlake.streaming.state import late_rows, rolling_stream
 
 LIVE, FALLBACK = "airparif_live", "bronze_fallback"
 
@@ -114,44 +111,59 @@ def sliding_means(stream: DataFrame, ts: str = "ingested_at", width: str = "24 h
     )
 
 
-def event_writer(table: str, alerts: str | None = None, hours: int = 24, key: str = C.REGION,
-                 ts: str = "ingested_at", digits: int | None = 1):
-    """Handler that stores a batch's events with their exact rolling mean, and its alerts.
+def run_air_stream(events: DataFrame, table: str, checkpoint: str, interval: str | None = None, hours: int = 24, key: str = C.REGION,
+                   ts: str = "ingested_at", digits: int | None = 1, delay: str = "1 hour", unique: list[str] | None = None):
+    """Store events with the rolling mean of their region, partitioned by day.
+
+    The mean comes from keyed state, so nothing stored is read again. The file sink lists a batch's
+    files once, so a repeated batch adds nothing.
+    """
+    means = rolling_stream(events, key, ts, "iqa", "iqa_24h_mean", hours, delay, unique)
+    if digits is not None:
+        means = means.withColumn("iqa_24h_mean", round_half_even("iqa_24h_mean", digits))
+    return append_to(means.withColumn("jour", F.col(ts).cast("date")), table, checkpoint, interval, "jour")
+
+
+def run_alert_stream(spark: SparkSession, table: str, alerts: str, checkpoint: str, interval: str | None = None, key: str = C.REGION,
+                     ts: str = "ingested_at"):
+    """Side output: the stored events above a threshold, followed as a stream of their own."""
+    events = spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
+    return append_to(alerts_of(events, key).withColumn("jour", F.col(ts).cast("date")), alerts, checkpoint, interval, "jour")
+
+
+def run_late_stream(events: DataFrame, table: str, checkpoint: str, interval: str | None = None, ts: str = "ingested_at", delay: str = "1 hour"):
+    """Side table of the events that came too late for ``run_air_stream`` with the same source and ``delay``."""
+    return append_to(late_rows(events, ts, delay), table, checkpoint, interval)
+
+
+def live_cycles(raw: DataFrame) -> DataFrame:
+    """(timestamp, iqa, no2, pm25) of each landed response: the feature with the newest date, the first on a tie; 0 where a measure misses."""
+    place = lambda f, i: F.struct(F.coalesce(f["properties"]["date_ech"], F.lit("")).alias("at"), (-i).alias("i"), f["properties"].alias("p"))
+    newest = F.array_max(F.transform(F.coalesce("features", F.array().cast(raw.schema["features"].dataType)), place))["p"]
+    number = lambda c: F.coalesce(newest[c].try_cast("double"), F.lit(0.0))
+    return raw.select("timestamp", number("valeur").alias("iqa"), number("val_no2").alias("no2"), number("val_pm25").alias("pm25"))
+
+
+def live_events(raw: DataFrame, spine: Spine, fallback: DataFrame | None = None) -> DataFrame:
+    """Responses as one reading per region: spread by the regions' base values where the index is positive, else the fallback's.
 
-    The mean needs the last ``hours`` of stored events of earlier batches. The table is
-    partitioned by day and batch, so that range is a partition filter. Nothing is held in
-    memory between batches: a restart loses nothing, and a repeated batch replaces its
-    own partitions.
+    Stateless: each response meets the spine's regions, then the base and fallback table (one row a region) through an equi join.
+    ``fallback`` has the region, ``iqa_moyen``, ``no2_µg_m3`` and ``pm25_µg_m3``; what it lacks takes the base value.
     """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
-        try:
-            oldest = batch.agg(F.min(ts).alias("t")).first()["t"]
-            stored = optional_parquet(spark, table)
-            rows = batch.withColumn("_new", F.lit(True))
-            if stored is not None and oldest is not None:
-                since = F.lit(oldest - timedelta(hours=hours))
-                past = stored.where(
-                    (F.col("jour") >= since.cast("date")) & (F.col("batch_id") < batch_id) & (F.col(ts) >= since)
-                )
-                rows = rows.unionByName(past.select(*batch.columns).withColumn("_new", F.lit(False)))
-            fresh = rolling_mean(rows, key, ts, "iqa", "iqa_24h_mean", hours).where("_new").drop("_new")
-            if digits is not None:
-                fresh = fresh.withColumn("iqa_24h_mean", round_half_even("iqa_24h_mean", digits))
-            write_batch(_dated(fresh, ts, batch_id), table, "jour", "batch_id")
-            if alerts:
-                write_batch(_dated(alerts_of(batch, key), ts, batch_id), alerts, "jour", "batch_id")
-        finally:
-            batch.unpersist()
-
-    return handle
-
-
-def _dated(df: DataFrame, ts: str, batch_id: int) -> DataFrame:
-    return df.withColumn("jour", F.col(ts).cast("date")).withColumn("batch_id", F.lit(batch_id))
-
-
-def run_air_stream(events: DataFrame, table: str, checkpoint: str, alerts: str | None = None,
-                   interval: str | None = None, hours: int = 24, key: str = C.REGION, digits: int | None = 1):
-    return start(events, event_writer(table, alerts, hours, key, digits=digits), checkpoint, interval)
+    key, measures = spine.key, {"iqa": "iqa_moyen", "no2": "no2_µg_m3", "pm25": "pm25_µg_m3"}
+    base = base_table(spine)
+    means = base.agg(F.struct(*[F.avg(f"{m}_base").alias(m) for m in measures]).alias("m")).scalar()
+    known = base if fallback is None else base.join(fallback.select(key, *measures.values()), key, "left")
+    static = durable(known.withColumn("_m", means).select(key, *[F.struct(
+        (F.col(f"{m}_base") / F.col(f"_m.{m}")).alias("share"), F.col(f"{m}_base").alias("base"),
+        F.coalesce(F.col(c).cast("double") if fallback is not None else F.lit(None).cast("double"), F.col(f"{m}_base")).alias("other"),
+    ).alias(f"_{m}") for m, c in measures.items()]))
+    regions = F.array(*[F.lit(r[0]) for r in spine.df.orderBy(key).collect()])  # one entry a region
+    rows = live_cycles(raw).withColumn(key, F.explode(regions)).join(spine.hinted(static), key)
+    live = F.col("iqa") > 0
+
+    def reading(m: str) -> Column:
+        spread = F.nullif(round_half_even(F.col(m) * F.col(f"_{m}.share"), 1), F.lit(0.0))
+        return F.when(live, F.coalesce(spread, F.col(f"_{m}.base"))).otherwise(F.col(f"_{m}.other")).alias(m)
+
+    return rows.select("timestamp", key, *[reading(m) for m in measures], F.when(live, F.lit(LIVE)).otherwise(F.lit(FALLBACK)).alias("source"))

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-import time
+import threading
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from regionlake import config as C
 from regionlake.operators.aggregates import batch_stats, consolidated
 from regionlake.schemas import STREAM_BATCH
 from regionlake.sources.files import optional_parquet
-from regionlake.sources.sinks import write_batch
+from regionlake.sources.sinks import append_events, write_batch
 
 
 def read_stream(spark: SparkSession, path: str, schema: str = STREAM_BATCH, fmt: str = "parquet",
-                files_per_batch: int | None = None, pattern: str | None = None) -> DataFrame:
-    """A stream of landed files."""
+                files_per_batch: int | None = 1000, pattern: str | None = None) -> DataFrame:
+    """A stream of landed files, so many a micro-batch at most."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -24,44 +26,88 @@ def read_stream(spark: SparkSession, path: str, schema: str = STREAM_BATCH, fmt:
     return reader.format(fmt).load(path)
 
 
-def start(stream: DataFrame, handler, checkpoint: str, interval: str | None = None):
+def start(stream: DataFrame, handler, checkpoint: str, interval: str | None = None, name: str | None = None):
     """Run a batch handler until the landed data is used up, or every ``interval``.
 
     ``interval=None`` processes everything available and stops (the bounded run).
     """
     writer = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     if interval is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
 
 
-def batch_writer(out: str, log: str, key: str = C.REGION, ts: str = "timestamp"):
-    """Handler that stores a batch's regional statistics and one log row (rows, output folder, milliseconds).
+def batch_writer(out: str, key: str = C.REGION, ts: str = "timestamp"):
+    """Handler that stores a batch's regional statistics with its first time.
 
-    Both are partitions named by the batch id, so a batch repeated after a failure
-    replaces its own output.
+    They are a partition named by the batch id, so a batch repeated after a failure replaces its own output.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        started = time.monotonic()
-        batch.persist()
+        stats = batch_stats(batch, key, F.min(ts).alias("_first"))
+        # One row a region reaches this window.
+        stamped = stats.withColumn("timestamp", F.min("_first").over(Window.partitionBy())).drop("_first")
+        write_batch(stamped.withColumn("batch_id", F.lit(batch_id)), out)
+
+    return handle
+
+
+class BatchLog(StreamingQueryListener):
+    """Log table of a stream's batches, made from the progress that Spark reports for each.
+
+    One row a batch with data: rows, output, milliseconds, rows in keyed state and rows dropped behind the watermark. Rows are
+    appended ``every`` so many batches and when the query ends. Rows of a batch that ran again after a failure come again; the last one counts.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, output: str, every: int = 100):
+        self.spark, self.path, self.output, self.every = spark, path, output, every
+        self.name, self.run, self.rows, self.ended = f"batches-{uuid.uuid4().hex}", None, [], threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.runId == self.run and p.numInputRows > 0:
+            held = sum(s.numRowsTotal for s in p.stateOperators)
+            late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+            self.rows.append((p.batchId, p.timestamp, p.numInputRows, self.output, p.durationMs.get("triggerExecution", 0), held, late))
+            if len(self.rows) >= self.every:
+                self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.run:
+            self.ended.set()
+
+    def flush(self) -> None:
+        rows, self.rows = self.rows, []
+        if rows:
+            log = self.spark.createDataFrame(rows, "batch_id bigint, ts string, n_records bigint, output string, elapsed_ms bigint, "
+                                                   "state_rows bigint, late_rows bigint")
+            append_events(log.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1), self.path)
+
+    def finish(self, query) -> None:
+        """Wait for the query's end and store what it reported last; its failure is raised."""
         try:
-            stamp = batch.agg(F.min(ts).alias("t")).scalar()
-            stats = batch_stats(batch, key)
-            write_batch(stats.withColumn("timestamp", stamp).withColumn("batch_id", F.lit(batch_id)), out)
-            entry = batch.agg(F.count(F.lit(1)).alias("n_records")).select(
-                F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("ts"), "n_records",
-                F.lit(out).alias("output"), F.lit(round((time.monotonic() - started) * 1000)).cast("bigint").alias("elapsed_ms"),
-            )
-            write_batch(entry, log)
+            query.awaitTermination()
         finally:
-            batch.unpersist()
+            self.ended.wait(60)
+            self.spark.streams.removeListener(self)
+            self.flush()
 
-    return handle
+
+def logged(spark: SparkSession, path: str, output: str) -> BatchLog:
+    """A log to start a query with (``name=log.name``); ``finish`` ends it."""
+    log = BatchLog(spark, path, output)
+    spark.streams.addListener(log)
+    return log
 
 
-def run_sales_stream(stream: DataFrame, out: str, log: str, checkpoint: str, interval: str | None = None,
-                     key: str = C.REGION, ts: str = "timestamp"):
-    return start(stream, batch_writer(out, log, key, ts), checkpoint, interval)
+def run_sales_stream(stream: DataFrame, out: str, checkpoint: str, interval: str | None = None,
+                     key: str = C.REGION, ts: str = "timestamp", log: BatchLog | None = None):
+    return start(stream, batch_writer(out, key, ts), checkpoint, interval, log.name if log else None)
 
 
 def consolidate(spark: SparkSession, out: str, key: str = C.REGION) -> DataFrame | None:
@@ -93,9 +139,13 @@ def windowed_stats(stream: DataFrame, ts: str = "timestamp", width: str = "1 hou
     )
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None):
+def append_to(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None, *partitions: str, name: str | None = None):
     """Append a stream to a Parquet table with the exactly-once file sink."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    if name:
+        writer = writer.queryName(name)
     if interval is None:
         return writer.outputMode("append").trigger(availableNow=True).start()
     return writer.outputMode("append").trigger(processingTime=interval).start()

@@ -192,6 +192,16 @@ def colour_classes(spark, sf):
     return A.colour_classes(table, "v")
 
 
+@query("a18_price_rollup", with_("priced") + """
+    SELECT CASE grouping_id(arrondissement, annee) WHEN 0 THEN 'arrondissement_annee' WHEN 1 THEN 'arrondissement' ELSE 'ville' END AS niveau,
+           arrondissement, annee, count(prix_m2) AS nb_transactions, round(avg(prix_m2), 6) AS prix_m2_moyen, round(sum(valeur_fonciere), 2) AS valeur_totale,
+           min(prix_m2) AS prix_m2_min, max(prix_m2) AS prix_m2_max
+    FROM priced GROUP BY ROLLUP (arrondissement, annee)""")
+def price_rollup(spark, sf):
+    df = A.price_rollup(D.priced_sales(spark, sf))
+    return df.withColumn("prix_m2_moyen", F.round("prix_m2_moyen", 6)).withColumn("valeur_totale", F.round("valeur_totale", 2))
+
+
 # Windows.
 
 

@@ -30,8 +30,8 @@ def pois(spark, sf):
     return A.class_counts(D.customers(spark, sf), "c_mktsegment", SEGMENTS)
 
 
-def income(spark, sf):
-    return D.customers(spark, sf).groupBy(C.REGION).agg(
+def income(spark, sf, view=lambda df: df):
+    return view(D.customers(spark, sf)).groupBy(C.REGION).agg(
         F.expr("sum(cast(round(c_acctbal * 100) as bigint)) div count(*)").cast("double").alias("revenu_median"))
 
 
@@ -81,11 +81,14 @@ def access(spark, sf):
     return gold.access_scores(D.suppliers(spark, sf), schools, pois(spark, sf), D.spine(spark), CENTRALITY)
 
 
-FRAGMENTS["noise"] = (("spine", "income"), f"""
+FRAGMENTS["gapped_income"] = ((), """
+    SELECT c_nationkey % 23 + 1 AS arrondissement, CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) // count(*) AS DOUBLE) AS revenu_median
+    FROM customer GROUP BY 1""")
+FRAGMENTS["noise"] = (("spine", "gapped_income"), f"""
     SELECT s.arrondissement, i.revenu_median / 1e4 AS lden_moyen, coalesce({min_max('i.revenu_median / 1e4',
-        "(SELECT min(revenu_median / 1e4) FROM income WHERE arrondissement <= 22)",
-        "(SELECT max(revenu_median / 1e4) FROM income WHERE arrondissement <= 22)", True)}, 5e0) AS score_bruit
-    FROM spine s LEFT JOIN income i ON i.arrondissement = s.arrondissement AND i.arrondissement <= 22""")
+        "(SELECT min(revenu_median / 1e4) FROM gapped_income)",
+        "(SELECT max(revenu_median / 1e4) FROM gapped_income)", True)}, 5e0) AS score_bruit
+    FROM spine s LEFT JOIN gapped_income i ON i.arrondissement = s.arrondissement""")
 FRAGMENTS["flow"] = (("spine", "raw_sales"), """
     SELECT s.arrondissement, CAST(t.n AS DOUBLE) AS tmja_moyen FROM spine s
     LEFT JOIN (SELECT (arrondissement - 1) % 23 + 1 AS arrondissement, count(*) AS n FROM raw_sales GROUP BY 1) t USING (arrondissement)""")
@@ -95,7 +98,7 @@ FRAGMENTS["traffic"] = (("flow",), f"""
 
 
 def noise(spark, sf):
-    means = income(spark, sf).where(F.col(C.REGION) <= 22).select(
+    means = income(spark, sf, D.gapped).select(
         C.REGION, (F.col("revenu_median") / 1e4).alias("lden_moyen"), F.lit(None).cast("double").alias("lnight"),
         F.lit(None).cast("double").alias("score_bruit_raw"))
     return silver.noise_scores(means, D.spine(spark))
@@ -179,7 +182,7 @@ def indicators(spark, sf, prices=None):
            {min_max('nb_hopitaux', *bound('poi', 'nb_hopitaux'), True)} AS inverse, 5e0 AS constante FROM poi""")
 def min_max_scores(spark, sf):
     base = pois(spark, sf).withColumn("fixe", F.lit(3.0))
-    return base.withColumn("_b", gold.bounds_of(base, ["nb_pharmacies", "nb_hopitaux", "fixe"])).select(
+    return base.withColumn("_b", gold.bounds_of(["nb_pharmacies", "nb_hopitaux", "fixe"])).select(
         C.REGION, gold.scaled("nb_pharmacies").alias("direct"), gold.scaled("nb_hopitaux", inverse=True).alias("inverse"),
         gold.scaled("fixe").alias("constante"))
 
@@ -246,10 +249,13 @@ def alerts(spark, sf):
 FRAGMENTS["social"] = ((), """
     SELECT s_nationkey + 1 AS arrondissement, CAST(count(*) AS INT) AS nb_logements_sociaux,
            CAST(min(s_suppkey) % 100 AS DOUBLE) AS part_logements_sociaux_pct FROM supplier GROUP BY 1""")
+FRAGMENTS["gapped_social"] = ((), """
+    SELECT s_nationkey % 23 + 1 AS arrondissement, CAST(count(*) AS INT) AS nb_logements_sociaux,
+           CAST(min(s_suppkey) % 100 AS DOUBLE) AS part_logements_sociaux_pct FROM supplier GROUP BY 1""")
 
 
-def social(spark, sf):
-    return D.suppliers(spark, sf).groupBy(C.REGION).agg(
+def social(spark, sf, view=lambda df: df):
+    return view(D.suppliers(spark, sf)).groupBy(C.REGION).agg(
         F.count(F.lit(1)).cast("int").alias("nb_logements_sociaux"),
         (F.min("s_suppkey") % 100).cast("double").alias("part_logements_sociaux_pct"))
 

@@ -17,7 +17,7 @@ PRICE = "prix_m2_median, prix_m2_moyen, nb_transactions, prix_m2_variation_pct"
 
 
 def social_gold(spark, sf):
-    return yearly(spark, sf).join(scores.social(spark, sf).where(F.col(C.REGION) <= 22), C.REGION, "left")
+    return yearly(spark, sf).join(scores.social(spark, sf, D.gapped), C.REGION, "left")
 
 
 @query("route_region_detail", with_("prices") + """
@@ -43,9 +43,9 @@ def indicators(spark, sf):
     return V.indicators(scores.safety(spark, sf), 9)
 
 
-@query("route_compare_prices", with_("prices", "social") + """
+@query("route_compare_prices", with_("prices", "gapped_social") + """
     SELECT arrondissement, annee, prix_m2_median, nb_transactions, nb_logements_sociaux, part_logements_sociaux_pct FROM prices
-    LEFT JOIN (SELECT * FROM social WHERE arrondissement <= 22) USING (arrondissement) WHERE arrondissement IN (3, 8) AND annee = 1999""")
+    LEFT JOIN gapped_social USING (arrondissement) WHERE arrondissement IN (3, 8) AND annee = 1999""")
 def compare_prices(spark, sf):
     return V.compare(social_gold(spark, sf), scores.safety(spark, sf), 3, 8, 1999).prices
 
@@ -64,9 +64,9 @@ def compare_measures(spark, sf):
     return m.where(F.col("mesure").isin("prix_m2_median", "score_securite", "nb_faits")).drop("ordre")
 
 
-@query("route_social_housing", with_("prices", "social") + """
+@query("route_social_housing", with_("prices", "gapped_social") + """
     SELECT arrondissement, annee, nb_logements_sociaux, part_logements_sociaux_pct FROM prices
-    JOIN social USING (arrondissement) WHERE arrondissement <= 22""")
+    JOIN gapped_social USING (arrondissement)""")
 def social_housing(spark, sf):
     return V.social_housing(social_gold(spark, sf))
 
@@ -134,10 +134,10 @@ def air_overview(spark, sf):
     return summary(spark, sf, alert_only=True).overview
 
 
-@query("j09_feature_table", with_("prices", "safety", "social") + f"""
+@query("j09_feature_table", with_("prices", "safety", "gapped_social") + f"""
     SELECT n_nationkey + 1 AS arrondissement, {PRICE}, score_securite, part_logements_sociaux_pct, score_securite AS valeur
     FROM nation LEFT JOIN (SELECT * FROM prices WHERE annee = 1999) p ON p.arrondissement = n_nationkey + 1
     LEFT JOIN safety s ON s.arrondissement = n_nationkey + 1
-    LEFT JOIN (SELECT * FROM social WHERE arrondissement <= 22) c ON c.arrondissement = n_nationkey + 1""")
+    LEFT JOIN gapped_social c ON c.arrondissement = n_nationkey + 1""")
 def feature_table(spark, sf):
     return V.feature_table(D.spine(spark).df, social_gold(spark, sf), scores.safety(spark, sf), 1999, "score_securite")

@@ -1,14 +1,16 @@
 """Readers and writers over files that Spark derives from the given tables (S rows)."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from regionlake import config as C
 from regionlake.operators.reshape import first_rows
 from regionlake.operators.spatial import polygon_edges
 from regionlake.plans import gold, silver
-from regionlake.plans.batch import overall_status, run_steps
+from regionlake.plans.batch import Lake, overall_status, run_steps, step_rows, transactions
 from regionlake.schemas import AIR, ELEMENTS, NOISE, SCHOOL, SHOPS, STOP, TRAFFIC, envelope
-from regionlake.session import scratch_path
+from regionlake.session import durable, scratch_path
 from regionlake.sources import delimited, documents, files, sinks
 from suite import domain as D
 from suite.aggregation import yearly
@@ -44,6 +46,20 @@ def unknown_dialect(spark, sf):
                      F.col("arr").cast("int").alias(C.REGION))
 
 
+@query("s02_quoted_semicolons", """
+    SELECT c_custkey, 'a;' || c_mktsegment || '"b' AS nom, c_acctbal AS solde, c_nationkey + 1 AS arrondissement FROM customer""")
+def quoted_semicolons(spark, sf):
+    """Semicolons, with separators and quotes inside a header name and inside values."""
+    path = scratch_path(spark, "quoted")
+    D.customers(spark, sf).select(
+        F.col("c_custkey").alias("Cle"), F.concat(F.lit("a;"), "c_mktsegment", F.lit('"b')).alias("Nom; prénom"),
+        F.col("c_acctbal").alias("Solde"), F.col(C.REGION).alias("Arr/code"),
+    ).write.option("header", "true").option("sep", ";").option("escape", '"').csv(path)
+    df = delimited.read_delimited(spark, path, underscores=True)
+    return df.select(F.col("cle").cast("bigint").alias("c_custkey"), F.col("`nom;_prénom`").alias("nom"), F.col("solde").cast("double").alias("solde"),
+                     F.col("arr_code").cast("int").alias(C.REGION))
+
+
 def bundled(df, size, record, wrap):
     """One JSON document per ``size`` consecutive keys; ``wrap`` turns the list into an envelope."""
     docs = df.select(F.floor(F.col("k") / size).alias("b"), record.alias("r"))
@@ -292,21 +308,159 @@ def lake_health(spark, sf):
     return df.drop("taille_bytes")
 
 
-@query("q06_run_report", """
-    SELECT 'prix' AS etape, 'ok' AS statut, 'error' AS bilan UNION ALL SELECT 'absente', 'partial', 'error'
-    UNION ALL SELECT 'revenus', 'error', 'error' UNION ALL SELECT 'evenements', 'ok', 'error'""")
+@query("q06_run_report", with_("prices", "readings", "raw_sales") + """
+    SELECT 'prix' AS etape, 'ok' AS statut, count(*) AS lignes, count(*) FILTER (WHERE nb_transactions < 10) AS v1, count(*) FILTER (WHERE prix_m2_median <= 0) AS v2,
+           'error' AS bilan FROM prices
+    UNION ALL SELECT 'evenements', 'ok', count(*), count(*) FILTER (WHERE NOT iqa BETWEEN 0 AND 200), count(*) FILTER (WHERE alert_level = 'rouge'), 'error' FROM readings
+    UNION ALL SELECT 'ventes', 'ok', count(*), count(*) FILTER (WHERE nature_mutation = 'Vente'), 0, 'error' FROM raw_sales
+    UNION ALL SELECT 'absente', 'partial', NULL, NULL, NULL, 'error' UNION ALL SELECT 'revenus', 'error', NULL, NULL, NULL, 'error'""")
 def run_report(spark, sf):
-    """Four steps over the tables: one is missing its source, one fails, the later one still runs."""
-    path = scratch_path(spark, "report")
+    """The run's step table: rows and violations come out of the writes; one step misses its source, one fails, later ones still run."""
+    path = lambda name: f"{root}/{name}"
+    root = scratch_path(spark, "report")
 
-    def prices():
-        sinks.reload_table(yearly(spark, sf), path)
-        return spark.read.parquet(path).count() > 0
+    def store(name, df, **rules):
+        return lambda: sinks.observed(df(spark, sf), lambda rows: sinks.reload_table(rows, path(name)), rules)
 
     results = run_steps([
-        ("prix", "yearly prices", prices),
+        ("prix", "yearly prices", store("prix", yearly, v1=F.col("nb_transactions") >= 10, v2=F.col("prix_m2_median") > 0)),
         ("absente", "missing table", lambda: files.optional_parquet(spark, f"{sf}/absent.parquet") is not None),
-        ("revenus", "housing without income", lambda: gold.housing_scores(spark.read.parquet(path), None, None, D.spine(spark)) is not None),
-        ("evenements", "events", lambda: D.table(spark, sf, "events").count() > 0)])
-    rows = [(name, r["status"], overall_status(results)) for name, r in results.items()]
-    return spark.createDataFrame(rows, "etape string, statut string, bilan string")
+        ("revenus", "housing without income", lambda: gold.housing_scores(spark.read.parquet(path("prix")), None, None, D.spine(spark)) is not None),
+        ("evenements", "events", store("evenements", D.readings, v1=F.col("iqa").between(0, 200), v2=F.col("alert_level") != C.LEVEL_RED)),
+        ("ventes", "sales", store("ventes", D.raw_sales, v1=F.col("nature_mutation") != "Vente", v2=F.col("id").isNotNull()))])
+    sinks.append_events(step_rows(spark, "run", results), path("etapes"))
+    return spark.read.parquet(path("etapes")).select(
+        "etape", "statut", "lignes", F.col("violations")["v1"].alias("v1"), F.col("violations")["v2"].alias("v2"),
+        F.lit(overall_status(results)).alias("bilan"))
+
+
+@query("s12_upsert_partitions", with_("prices") + """
+    SELECT arrondissement, annee, CASE WHEN annee = 1996 THEN -1e0 ELSE prix_m2_median END AS prix_m2_median, nb_transactions, annee = 1996 AS reecrit FROM prices
+    UNION ALL SELECT arrondissement + 100, 1996, 5e0, NULL, true FROM prices WHERE annee = 1996""")
+def upsert_partitions(spark, sf):
+    """One year is upserted twice with fewer columns and new keys; only its partition gets new files."""
+    path = scratch_path(spark, "years")
+    prices = yearly(spark, sf).select(C.REGION, C.YEAR, "prix_m2_median", "nb_transactions")
+    sinks.upsert_partitions(prices, path, [C.REGION, C.YEAR], C.YEAR)
+    seen = lambda: spark.read.parquet(path).select(C.YEAR, F.input_file_name().alias("_file")).distinct()
+    before = durable(seen())
+    one = spark.read.parquet(path).where(F.col(C.YEAR) == 1996).select(C.REGION, C.YEAR)
+    change = one.withColumn("prix_m2_median", F.lit(-1.0)).unionByName(
+        one.withColumn(C.REGION, F.col(C.REGION) + 100).withColumn("prix_m2_median", F.lit(5.0)))
+    change = durable(change)
+    for _ in range(2):
+        out = sinks.upsert_partitions(change, path, [C.REGION, C.YEAR], C.YEAR)
+    fresh = seen().join(before, ["_file"], "left_anti").select(C.YEAR).distinct().withColumn("reecrit", F.lit(True))
+    return out.join(fresh, C.YEAR, "left").withColumn("reecrit", F.coalesce("reecrit", F.lit(False)))
+
+
+@query("s12_upsert_hashed", """
+    SELECT s_suppkey, s_name, CASE WHEN s_acctbal < 0 THEN 0e0 ELSE s_acctbal END AS s_acctbal FROM supplier""")
+def upsert_hashed(spark, sf):
+    """Without a natural partition the key's hash places a row; names that the change lacks stay."""
+    path = scratch_path(spark, "hashed")
+    rows = D.table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    sinks.upsert_partitions(rows, path, ["s_suppkey"])
+    change = rows.where(F.col("s_acctbal") < 0).select("s_suppkey", F.lit(0.0).alias("s_acctbal"))
+    sinks.upsert_partitions(change, path, ["s_suppkey"])
+    return sinks.upsert_partitions(change, path, ["s_suppkey"])
+
+
+@query("s13_sales_load", with_("sales") + """
+    SELECT arrondissement AS arrondissement_code, date_mutation, annee, valeur_fonciere, surface_reelle_bati, prix_m2, type_local,
+           CAST(l_linenumber AS INT) AS nb_pieces, NULL::VARCHAR AS adresse, l_linenumber IS NOT NULL AS placed FROM sales WHERE arrondissement <= 20""")
+def sales_load(spark, sf):
+    """Cleaned yearly files to the relational sales table, reloaded twice."""
+    folder, path = scratch_path(spark, "ventes"), scratch_path(spark, "transaction")
+    sinks.write_yearly(silver.sales(D.landed_sales(spark, sf)), folder)
+    for _ in range(2):
+        sinks.reload_table(transactions(spark.read.parquet(folder), D.spine(spark, 20)), path)
+    out = spark.read.parquet(path)
+    return out.withColumn("placed", F.col("geom_point").rlike(r"^SRID=4326;POINT\([0-9.]+ [0-9.]+\)$")).drop("geom_point")
+
+
+@query("s15_drop_days", """
+    SELECT event_id, value FROM events WHERE CAST(ts AS DATE) >= DATE '2024-02-15' - INTERVAL 30 DAYS""")
+def drop_days(spark, sf):
+    """Whole day partitions past the retention go; the rows of the others are not touched."""
+    path = scratch_path(spark, "jours")
+    sinks.write_batch(D.table(spark, sf, "events").select("event_id", "value", F.col("ts").cast("date").alias("jour")), path, "jour")
+    sinks.drop_expired(spark, path, date(2024, 2, 15))
+    return spark.read.parquet(path).select("event_id", "value")
+
+
+@query("a12_file_counts", with_("sales") + """
+    SELECT count(DISTINCT annee) AS bronze, count(DISTINCT annee) FILTER (WHERE arrondissement <= 20) AS silver FROM sales""")
+def file_counts(spark, sf):
+    """Landed yearly files and yearly partitions of the cleaned table."""
+    lake = Lake(spark, scratch_path(spark, "lac"))
+    D.landed_sales(spark, sf).repartition(C.YEAR).write.partitionBy(C.YEAR).option("header", "true").option("compression", "gzip").csv(lake.bronze("dvf"))
+    raw = delimited.read_sales(spark, lake.bronze("dvf"), range(1990, 2025), "annee={year}", partitions=8)
+    sinks.write_yearly(silver.sales(raw), lake.silver_path("dvf"))
+    counts = {"bronze": files.counted(spark, lake.bronze("dvf/annee=*/*.csv.gz")), "silver": lake.file_counts()["dvf_silver_files"]}
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(k) for k, n in counts.items()])
+
+
+FRAGMENTS["landed_json"] = ((), """
+    SELECT source, doc_id // 200 AS bloc, count(*) AS n, max(lang = 'de' AND doc_id % 200 < 20) AS abime,
+           '[' || string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) || CASE WHEN max(lang = 'de' AND doc_id % 200 < 20) THEN '' ELSE ']' END || chr(10) AS body
+    FROM documents GROUP BY 1, 2""")
+
+
+@query("q02_inventory_errors", with_("landed_json") + """
+    SELECT 'source=' || source AS source, bloc, 'json' AS format, CAST(strlen(body) AS BIGINT) AS size_bytes, sha256(body) AS checksum,
+           CASE WHEN NOT abime THEN 'json' END AS payload_kind, CASE WHEN abime THEN 'unreadable JSON' END AS error,
+           CASE WHEN NOT abime THEN least(n, 5) END AS echantillon, true AS recent FROM landed_json""")
+def inventory_errors(spark, sf):
+    """Landed files read, listed twice and upserted by path; a truncated file is listed with its error."""
+    lake = land_json(spark, sf)
+    lake.load_inventory("2024-01-01 00:00:00")
+    found = lake.load_inventory("2024-01-02 00:00:00")
+    return found.select(
+        "source", F.regexp_extract("path", "bloc=([0-9]+)", 1).cast("bigint").alias("bloc"), "format", "size_bytes", "checksum", "payload_kind", "error",
+        F.size("sample").cast("bigint").alias("echantillon"), (F.to_date("ingested_at") == F.lit("2024-01-02").cast("date")).alias("recent"))
+
+
+def land_json(spark, sf):
+    """One JSON list of document ids per source and 200 ids; lists whose first ids hold a German text are cut short."""
+    docs = D.table(spark, sf, "documents").select(
+        "source", F.floor(F.col("doc_id") / 200).alias("bloc"), "doc_id", ((F.col("lang") == "de") & (F.col("doc_id") % 200 < 20)).alias("cut"))
+    lists = docs.groupBy("source", "bloc").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"), F.max("cut").alias("cut"))
+    text = F.concat(F.lit("["), F.array_join(F.col("ids").cast("array<string>"), ","), F.when(F.col("cut"), F.lit("")).otherwise(F.lit("]")))
+    lake = Lake(spark, scratch_path(spark, "lac"))
+    raw = lists.select("source", "bloc", text.alias("line")).repartition("source", "bloc")
+    raw.write.partitionBy("source", "bloc").option("extension", "json").option("sep", "\u0001").csv(f"{lake.root}/bronze")
+    return lake
+
+
+@query("q03_catalog_chain", with_("landed_json") + """
+    SELECT 'source=' || source AS source, 'source=' || source AS libelle, 'inconnu' AS fournisseur, count(*) AS nb_fichiers,
+           CAST(sum(strlen(body)) AS BIGINT) AS taille_totale_bytes, 'json' AS formats, 31 AS fraicheur_jours, true AS complet FROM landed_json GROUP BY 1""")
+def catalog_chain(spark, sf):
+    """Files to inventory to stored catalog."""
+    lake = land_json(spark, sf)
+    lake.load_inventory("2024-01-01 00:00:00")
+    df = lake.load_catalog("2024-02-01 00:00:00")
+    return df.select("source", "libelle", "fournisseur", "nb_fichiers", "taille_totale_bytes", F.array_join("formats", ",").alias("formats"),
+                     "fraicheur_jours", "complet")
+
+
+@query("route_batch_status", with_("prices", "sales") + """
+    SELECT 'error' AS status, 12 AS etapes, (SELECT count(*) FROM sales WHERE arrondissement <= 20) AS ventes,
+           (SELECT count(*) FROM prices WHERE arrondissement <= 20) AS prix, 1 AS erreurs, 'gold_indicateurs' AS echec""")
+def batch_status(spark, sf):
+    """The last report of a nightly run over landed yearly files; the other sources are missing, and the scores need the income."""
+    years = range(1995, 2002)
+    lake = Lake(spark, scratch_path(spark, "lac"), years=years)
+    landed = D.landed_sales(spark, sf)
+    for year in years:
+        landed.where(F.col(C.YEAR) == year).drop(C.YEAR).write.option("header", "true").option("compression", "gzip").csv(
+            lake.bronze(f"dvf/dvf_75_{year}.csv.gz"))
+    lake.run(dry_run=True)
+    report = lake.last_run()
+    failed = F.col("statut") == "error"
+    return lake.steps_of(report["batch_id"]).agg(
+        F.lit(report["status"]).alias("status"), F.count(F.lit(1)).alias("etapes"),
+        F.max(F.when(F.col("etape") == "silver_dvf", F.col("lignes"))).alias("ventes"),
+        F.max(F.when(F.col("etape") == "gold_agregats", F.col("lignes"))).alias("prix"),
+        F.count_if(failed).alias("erreurs"), F.max(F.when(failed, F.col("etape"))).alias("echec"))

@@ -81,6 +81,30 @@ def test_report(lake):
     assert r["stats"]["gold_rows"] == 59 and r["stats"]["arrondissements_covered"] == 20 and r["stats"]["years_covered"] == [2021, 2022, 2023]
     assert sorted({a["type"] for a in r["anomalies"]}) == ["arrondissement_manquant", "volume_faible"]
     assert lake.last_run()["batch_id"] == r["batch_id"]
+    assert r["stats"]["dvf_bronze_files"] == r["stats"]["dvf_silver_files"] == 3
+    steps = {s["etape"]: s for s in lake.steps_of(r["batch_id"]).collect()}
+    assert steps["silver_dvf"]["lignes"] == lake.silver("dvf").count() and steps["silver_dvf"]["violations"] == {"prix_positifs": 0, "dates": 0}
+    assert steps["gold_final"]["lignes"] == 59 and steps["silver_circulation"]["lignes"] is None and len(steps) == 12
+    assert r["load"]["rows_updated"]["transaction"] == lake.silver("dvf").count()
+    kept = lake.spark.read.parquet(f"{lake.root}/gold/anomalies")
+    assert kept.count() == r["anomalies_count"] == len(r["anomalies"])
+
+
+def test_care_of_the_lake(spark, lake):
+    from datetime import date
+
+    files = lake.load_inventory("2024-01-01 00:00:00")
+    assert files.count() == 14 and files.where("error IS NOT NULL").count() == 0
+    again = lake.load_inventory("2024-01-03 00:00:00")
+    assert again.count() == 14 and again.select("ingested_at").distinct().count() == 1
+    entries = {r["source"]: r for r in lake.load_catalog("2024-01-10 00:00:00").collect()}
+    assert entries["bruit_paris.json"]["libelle"] == "Bruit" and entries["bruit_paris.json"]["fraicheur_jours"] == 7
+    states = {(r["couche"], r["jeu"]): r["statut"] for r in lake.health().collect()}
+    assert states["gold", "gold_final"] == "OK" and states["silver", "circulation"] == "ABSENT" and states["bronze", "sante_paris.json"] == "ABSENT"
+    events = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 1, 31)), (3, date(2024, 2, 1))], "k int, jour date")
+    events.write.partitionBy("jour").parquet(f"{lake.root}/gold/evenements")
+    assert lake.retire_events(date(2024, 3, 1)) == ["jour=2024-01-01", "jour=2024-01-30"][:1]
+    assert spark.read.parquet(f"{lake.root}/gold/evenements").count() == 2
 
 
 def test_second_run_adds_no_rows(lake):
@@ -150,9 +174,7 @@ def test_public_queries(lake):
 
 
 def test_upserted_indicators_keep_one_row_per_null_year(spark, lake):
-    from regionlake.sources.sinks import read_snapshot
-
-    table = read_snapshot(spark, f"{lake.root}/gold/relational/indicateur")
+    table = spark.read.parquet(f"{lake.root}/gold/relational/indicateur")
     assert table.groupBy("arrondissement", "nom", "annee").count().where("count > 1").count() == 0
 
 

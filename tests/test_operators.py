@@ -62,6 +62,32 @@ def test_bracket_holds_the_median_of_a_large_group(spark):
     assert (got["m"], got["w"]) == (float(want), 1.0)
 
 
+@pytest.mark.parametrize("order", ["up", "down", "mixed", "few"])
+def test_medians_around_the_sketch_limit(spark, order):
+    """Groups just below, at and above the size up to which the sketch's ranks are taken as exact, merged from many partitions."""
+    rng, rows = random.Random(order), []
+    for n in (1, 2, 3, 4998, 4999, 5000, 5001, 9999, 10_000, 10_001):
+        values = [float(rng.randint(0, 7)) if order == "few" else rng.uniform(-1e9, 1e9) for _ in range(n)]
+        values.sort(reverse=order == "down")
+        if order in ("mixed", "few"):
+            rng.shuffle(values)
+        rows += [(str(n), v) for v in values]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(13)
+    assert {r["k"]: r["m"] for r in group_medians(df, ["k"], {"m": "v"}).collect()} == medians_of(rows)
+
+
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
+    """With no width at all, a compressed sketch brackets some other value."""
+    monkeypatch.setattr(quantiles, "BRACKET_HALF_WIDTH", 0.0)
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 20)
+    calls, bracketed = [], quantiles.bracketed
+    monkeypatch.setattr(quantiles, "bracketed", lambda *a: calls.append(1) or bracketed(*a))
+    df = spark.range(0, 60_000, 1, 9).select((F.col("id") % 2).alias("k"), ((F.col("id") * 7919) % 60_013).cast("double").alias("v"))
+    got = {r["k"]: r["m"] for r in group_medians(df, ["k"], {"m": "v"}, [F.count("v").alias("n")]).collect()}
+    rows = [(i % 2, float(i * 7919 % 60_013)) for i in range(60_000)]
+    assert got == medians_of(rows) and len(calls) == 2
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(-50, 50)), min_size=1, max_size=60))
 def test_bracketed_median_property(spark, pairs):

@@ -1,14 +1,17 @@
 """Plan shapes: what must be pushed down, shared or pruned (products and Python workers are refused in ``suite.check``)."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from regionlake.operators.quantiles import group_medians
-from regionlake.operators.spatial import within_radius
-from regionlake.operators.windows import rolling_mean
+from regionlake.operators import quantiles
+from regionlake.operators.spatial import cell_index, within_radius
+from regionlake.operators.windows import latest_per_key, rolling_mean
 from regionlake.plans import silver
 from suite import domain as D
+from suite.joins import shapes
 
 SF = "/root/testdata/sf0.001"
 def plan(df, executed=False):
@@ -31,10 +34,37 @@ def final_plan(df):
 
 def test_second_median_pass_scans_once(spark):
     df = spark.read.parquet(f"{SF}/lineitem.parquet")
-    text = final_plan(group_medians(df, ["l_returnflag"], {"m": "l_extendedprice", "q": "l_quantity"}, group_rows=10))
+    medians = {"m": "l_extendedprice", "q": "l_quantity"}
+    bounds = spark.createDataFrame([("A", (9, 1.0, 1e6), (9, 0.0, 60.0))], "l_returnflag string, _b_m struct<n: long, lo: double, hi: double>, _b_q struct<n: long, lo: double, hi: double>")
+    text = final_plan(quantiles.bracketed(df, bounds, ["l_returnflag"], medians, 4))
     assert "ReusedExchange" in text and text.count("FileScan") == 1
 
 
+def test_medians_evaluate_their_rows_once_or_twice(spark):
+    """No count before, one pass for small groups, one more for large ones."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.sparkContext.parallelize([(i % 2, float(i)) for i in range(2000)], 2).map(lambda r: (seen.add(1), r)[1])
+    df = spark.createDataFrame(rows, "k int, v double")
+    for group_rows, passes in ((quantiles.EXACT_ROWS, 1), (10, 2)):
+        before = seen.value
+        assert sorted(tuple(r) for r in quantiles.group_medians(df, ["k"], {"m": "v"}, group_rows=group_rows).collect()) == [(0, 999.0), (1, 1000.0)]
+        assert seen.value - before == passes * 2000
+
+
+def test_latest_rows_are_not_sorted(spark):
+    text = final_plan(latest_per_key(D.readings(spark, SF), ["arrondissement"], ["ingested_at", "event_id"]))
+    assert "SortAggregate" not in text
+    for name in ("w03_latest_reading", "route_air_readings", "route_air_alerts"):
+        if name in entry.queries():
+            assert "SortAggregate" not in final_plan(entry.queries()[name](spark, SF)), name
+
+
+def test_no_polygon_is_grouped_whole(spark):
+    index, _ = cell_index(shapes(spark, SF))
+    assert re.findall(r"hashpartitioning\((\w+)#\w+, (\w+)#", plan(index)) == [("_cx", "_cy"), ("arrondissement", "_cy")]
+
+
+
 def test_rolling_changes_are_shared(spark):
     df = D.readings(spark, SF).select("event_id", "arrondissement", "iqa", "ingested_at")
     text = final_plan(rolling_mean(df, "arrondissement", "ingested_at", "iqa", "m"))

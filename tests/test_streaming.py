@@ -10,7 +10,7 @@ from regionlake.operators.aggregates import batch_stats
 from regionlake.operators.sizing import Spine
 from regionlake.operators.windows import rolling_mean
 from regionlake.plans.serving import air_summary, events
-from regionlake.streaming import air, sales
+from regionlake.streaming import air, sales, state
 
 START = datetime(2024, 1, 1)
 
@@ -44,22 +44,40 @@ def test_micro_batches(spark, tmp_path, rows):
     source = landed(spark, tmp_path, parts, SALES)
     out, log, mark = (str(tmp_path / x) for x in ("out", "log", "mark"))
     stream = lambda: sales.read_stream(spark, source, SALES, files_per_batch=1)
-    wait(sales.run_sales_stream(stream(), out, log, mark))
+    record = sales.logged(spark, log, out)
+    record.finish(sales.run_sales_stream(stream(), out, mark, log=record))
     table = spark.read.parquet(out)
     for i, part in enumerate(parts):
         want = batch_stats(spark.createDataFrame(part, SALES))
         assert rows(table.where(F.col("batch_id") == i).select(want.columns)) == rows(want)
-    assert rows(spark.read.parquet(log).select("batch_id", "n_records")) == [(i, 7) for i in range(4)]
+    entries = spark.read.parquet(log)
+    assert rows(entries.select("batch_id", "n_records", "output", "state_rows", "late_rows")) == [(i, 7, out, 0, 0) for i in range(4)]
+    assert entries.where("elapsed_ms > 0 AND ts IS NOT NULL").count() == 4
     assert {r["timestamp"] for r in table.collect()} == {START + timedelta(hours=i) for i in range(4)}
     done = sales.consolidate(spark, out)
     assert {r["arrondissement"]: (r["nb_transactions_total"], r["nb_batchs"]) for r in done.collect()} == {1: (12, 4), 2: (8, 4), 3: (8, 4)}
-    wait(sales.run_sales_stream(stream(), out, log, mark))  # nothing new, nothing added
-    assert spark.read.parquet(out).count() == 12
+    record = sales.logged(spark, log, out)
+    record.finish(sales.run_sales_stream(stream(), out, mark, log=record))  # nothing new, nothing added
+    assert spark.read.parquet(out).count() == 12 and spark.read.parquet(log).count() == 4
     assert sales.consolidate(spark, str(tmp_path / "never")) is None
 
 
+def test_log_of_a_failing_stream_holds_what_was_done(spark, tmp_path):
+    source = landed(spark, tmp_path, [[(1, 5.0, START)], [(1, 6.0, START)]], SALES)
+    log = sales.logged(spark, str(tmp_path / "log"), "none")
+
+    def handle(batch, batch_id):
+        batch.count()
+        if batch_id == 1:
+            raise ValueError("second batch")
+
+    with pytest.raises(Exception, match="second batch"):
+        log.finish(sales.start(sales.read_stream(spark, source, SALES, files_per_batch=1), handle, str(tmp_path / "mark"), name=log.name))
+    assert [r["batch_id"] for r in spark.read.parquet(str(tmp_path / "log")).collect()] == [0]
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
-    handle = sales.batch_writer(str(tmp_path / "o"), str(tmp_path / "l"))
+    handle = sales.batch_writer(str(tmp_path / "o"))
     batch = spark.createDataFrame([(1, 5.0, START)], SALES)
     handle(batch, 0)
     handle(batch, 1)
@@ -78,17 +96,20 @@ def readings():
 
 
 def test_rolling_mean_over_batches_equals_batch(spark, tmp_path):
+    import os
+
     data = readings()
     source = landed(spark, tmp_path, [data[:20], data[20:50], data[50:51], data[51:]], AIR)
     table, alerts, mark = (str(tmp_path / x) for x in ("table", "alerts", "mark"))
     stream = air.events_of(sales.read_stream(spark, source, AIR, files_per_batch=1))
-    wait(air.run_air_stream(stream, table, mark, alerts))
+    wait(air.run_air_stream(stream, table, mark))
     whole = rolling_mean(air.events_of(spark.createDataFrame(data, AIR)), "arrondissement", "ingested_at", "iqa", "m")
     want = {(r["arrondissement"], r["ingested_at"]): r["m"] for r in whole.collect()}
     got = spark.read.parquet(table)
-    assert got.count() == 90 and got.select("batch_id").distinct().count() == 4
+    assert got.count() == 90 and {x.split("=")[0] for x in os.listdir(table) if "=" in x} == {"jour"}
     for r in got.collect():
         assert r["iqa_24h_mean"] == pytest.approx(want[r["arrondissement"], r["ingested_at"]], abs=0.051)
+    wait(air.run_alert_stream(spark, table, alerts, str(tmp_path / "mark2")))
     red = spark.read.parquet(alerts)
     assert red.count() == sum(d[4] > 75 for d in data)
     assert {r["level"] for r in red.collect()} == {"orange", "rouge"}
@@ -96,6 +117,90 @@ def test_rolling_mean_over_batches_equals_batch(spark, tmp_path):
     assert text["message"] == f"POLLUTION FORTE — Arr.{text['arrondissement']} IQA={text['iqa']:.0f} > 100"
 
 
+KEYED = "id int, k string, at timestamp, v double"
+
+
+def brute_means(rows, hours):
+    def mean(row):
+        _, k, t, _ = row
+        near = [v for _, k2, t2, v in rows if k2 == k and k is not None and v is not None and v == v and t - timedelta(hours=hours) <= t2 <= t]
+        return sum(near) / len(near) if near else None
+
+    return {r[0]: mean(r) for r in rows}
+
+
+def test_state_of_slices_equals_brute_force(spark, tmp_path):
+    """Random times on and around slice edges, values that miss, a key that misses, rows of one batch out of order, a restart."""
+    import random
+
+    random.seed(8)
+    hour = timedelta(hours=1)
+    rows = []
+    for i in range(400):
+        t = START + hour * random.randint(0, 90) + random.choice([timedelta(0), timedelta(microseconds=1), timedelta(minutes=59, seconds=59, microseconds=999999),
+                                                                   timedelta(minutes=random.randint(0, 59))])
+        rows.append((i, random.choice(["a", "a", "b", None]), t, random.choice([None, float("nan"), *[random.uniform(-50, 150) for _ in range(8)]])))
+    rows.sort(key=lambda r: r[2])
+    # Rows of one time arrive together: a mean counts what has arrived.
+    cuts = [next(i for i in range(n, 400) if rows[i - 1][2] < rows[i][2]) for n in (150, 160, 330)]
+    parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, 400])]
+    for p in parts:
+        random.shuffle(p)
+    source = landed(spark, tmp_path, parts[:2], KEYED)
+    means = lambda: state.rolling_stream(sales.read_stream(spark, source, KEYED, files_per_batch=1), "k", "at", "v", "m", hours=6, slice_minutes=30)
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    wait(sales.append_to(means(), out, mark))
+    (tmp_path / "more").mkdir()
+    later = landed(spark, tmp_path / "more", parts[2:], KEYED)
+    import os
+
+    for i, name in enumerate(sorted(os.listdir(later))):
+        os.link(os.path.join(later, name), os.path.join(source, f"9{i}.parquet"))
+    wait(sales.append_to(means(), out, mark))
+    got = {r["id"]: r["m"] for r in spark.read.parquet(out).collect()}
+    want = brute_means(rows, 6)
+    assert got.keys() == want.keys()
+    for i, m in want.items():
+        assert got[i] is None if m is None else got[i] == pytest.approx(m, abs=1e-9), i
+    held = spark.read.format("statestore").option("path", mark).option("stateVarName", "totals").load()
+    kept = {(r["key"][0], r["user_map_key"] if "user_map_key" in held.columns else r[1]) for r in held.collect()}
+    assert 0 < len(kept) < 60  # far fewer than the slices that got rows: the timers let old ones go
+
+
+def test_repeats_and_late_rows(spark, tmp_path, rows):
+    hour = timedelta(hours=1)
+    first = [(i, "a", START + hour * i, float(i)) for i in range(10)]
+    second = [(3, "a", START + hour * 3, 3.0), (9, "a", START + hour * 9, 9.0), (10, "a", START + hour * 10, 10.0), (10, "a", START + hour * 10, 10.0),
+              (77, "a", START - 400 * 24 * hour, 1e6), (78, "a", None, 1e6)]
+    source = landed(spark, tmp_path, [first, second], KEYED)
+    stream = lambda: sales.read_stream(spark, source, KEYED, files_per_batch=1)
+    wait(sales.append_to(state.rolling_stream(stream(), "k", "at", "v", "m", hours=2, unique=["id"]), str(tmp_path / "o"), str(tmp_path / "m")))
+    got = {r["id"]: r["m"] for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {i: m for i, m in brute_means(first + [second[2]], 2).items()}
+    wait(sales.append_to(state.late_rows(stream(), "at"), str(tmp_path / "late"), str(tmp_path / "m2")))
+    late = spark.read.parquet(str(tmp_path / "late"))
+    assert late.columns == ["id", "k", "at", "v"]
+    assert rows(late.select("id", "at")) == [(3, START + hour * 3), (77, START - 400 * 24 * hour)]
+    with pytest.raises(ValueError):
+        state.rolling_stream(stream(), "k", "at", "v", "m", hours=1, slice_minutes=45)
+
+
+def test_live_responses(spark):
+    schema = ("timestamp timestamp, features array<struct<properties: struct<date_ech: string, valeur: string, val_no2: string, val_pm25: string>>>")
+    one = lambda *p: (p,)
+    raw = spark.createDataFrame([
+        (START, [one("2024-01-01", "10", "1", "1"), one("2024-01-02", "52.35", "38.35", None), one("2024-01-02", "99", "1", "1")]),
+        (START + timedelta(hours=1), []), (START + timedelta(hours=2), None), (START + timedelta(hours=3), [one(None, "x", "1", "1")]),
+    ], schema)
+    fallback = spark.createDataFrame([(1, 11.0, None, 2.0)], "arrondissement int, iqa_moyen double, `no2_µg_m3` double, `pm25_µg_m3` double")
+    out = air.live_events(raw, Spine.numbered(spark), fallback)
+    got = {(r["timestamp"].hour, r["arrondissement"]): (r["iqa"], r["no2"], r["pm25"], r["source"]) for r in out.collect()}
+    assert len(got) == 80
+    assert got[0, 1] == (52.0, 38.0, 12.0, air.LIVE) and got[0, 19] == (64.0, 50.0, 17.0, air.LIVE)
+    for hour in (1, 2, 3):
+        assert got[hour, 1] == (11.0, 38.0, 2.0, air.FALLBACK) and got[hour, 2] == (54.0, 40.0, 13.0, air.FALLBACK)
+
+
 def test_windowed_stream_equals_batch(spark, tmp_path):
     parts = [[(1, float(j), START + timedelta(minutes=30 * i + j)) for j in range(9)] for i in range(6)]
     source = landed(spark, tmp_path, parts, SALES)
