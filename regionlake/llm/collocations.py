@@ -8,9 +8,9 @@ remainders and their counts in one byte each, with larger counts aside. Filters
 Remainders that reach the least count get numbers, each block hears which of its own did, and its positions become the numbers of the next level.
 Words go the same way, by a hash of the word in place of the permutation and with the word itself as remainder.
 
-At scale: everything moves as a few filters a block; a block holds each n-gram once, however often it occurs, so a hot phrase, source or group of
+At scale: everything moves as a few filters a block, of 8 MB of text or one longer text; a block holds each n-gram once, however often it occurs, so a hot phrase, source or group of
 copies is one entry a block. Quotients follow the number of shuffle partitions. The driver sees one offset a quotient. Each level is written to the shared folder, so that
-a lost executor costs only the tasks that it held. Numbers of a level take 32 bits: more than 4 294 967 295 frequent phrases of one length end in an error,
+a lost executor costs only the tasks that it held, and removed when the next one is there. Numbers of a level take 32 bits: more than 4 294 967 295 frequent phrases of one length end in an error,
 not in wrong counts.
 
 Nulls: a null text has no words, a null language is ``und``. Very long texts are one block of their own; very long words are words. Ties of a cut go to the
@@ -21,6 +21,7 @@ without frequent phrases, gives an empty table. Other columns are not read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,11 +29,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from regionlake.llm.base import binary, map_batches, partitions, stored, table
+from regionlake.llm.base import discard, map_batches, partitions, stored, table
 from regionlake.llm.spans import LOWER, ranges, runs
-from regionlake.llm.words import slices
+from regionlake.llm.words import SLICE_BYTES, slices
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 
 _CUT = np.zeros(256, bool)
 _CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -45,24 +46,53 @@ MERGED = "quotient int, block bigint, at binary, nth binary, size int, keys bina
 
 
 def packed(a: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(a).tobytes(), "zstd", asbytes=True) if len(a) else b""
+    """Whole numbers from 0 on, compressed byte by byte of equal weight; numbers in order as differences."""
+    if not len(a):
+        return b""
+    a = a.astype(np.uint64)
+    ordered = bool((a[1:] >= a[:-1]).all())
+    a = np.diff(a, prepend=np.uint64(0)) if ordered else a
+    width = next(w for w in (1, 2, 4, 8) if int(a.max()) < 1 << 8 * w)
+    planes = a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return bytes([width | (16 if ordered else 0)]) + pa.compress(planes, "zstd", asbytes=True)
 
 
-def unpacked(raw: bytes, dtype, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(raw, n * np.dtype(dtype).itemsize, "zstd", asbytes=True) if n else b"", dtype)
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint64)
+    width, ordered = raw[0] & 15, raw[0] & 16
+    planes = np.frombuffer(pa.decompress(raw[1:], n * width, "zstd", asbytes=True), np.uint8)
+    a = np.ascontiguousarray(planes.reshape(width, n).T).view(f"<u{width}").ravel().astype(np.uint64)
+    return np.cumsum(a, dtype=np.uint64) if ordered else a
+
+
+def whole_numbers(raw: bytes, n: int) -> np.ndarray:
+    return unpacked(raw, n).astype(np.int64)
 
 
 def small_large(counts: np.ndarray) -> tuple[bytes, bytes]:
     """One byte a count; 255 refers to the next of the large ones."""
-    return packed(np.minimum(counts, 255).astype(np.uint8)), counts[counts >= 255].astype("<i8").tobytes()
+    return packed(np.minimum(counts, 255)), counts[counts >= 255].astype("<i8").tobytes()
 
 
 def counts_of(small: bytes, large: bytes, n: int) -> np.ndarray:
-    out = unpacked(small, np.uint8, n).astype(np.int64)
+    out = whole_numbers(small, n)
     out[out == 255] = np.frombuffer(large, "<i8")
     return out
 
 
+def packed_words(words: list[bytes]) -> bytes:
+    sizes, joined = packed(np.array([len(w) for w in words])), b"".join(words)
+    return len(sizes).to_bytes(4, "big") + sizes + pa.compress(joined, "zstd", asbytes=True)
+
+
+def unpacked_words(raw: bytes, n: int) -> pa.Array:
+    cut = 4 + int.from_bytes(raw[:4], "big")
+    ends = np.concatenate(([0], np.cumsum(whole_numbers(raw[4:cut], n))))
+    data = pa.decompress(raw[cut:], int(ends[-1]), "zstd") if ends[-1] else pa.py_buffer(b"")
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), data])
+
+
 class Permutation:
     """Invertible map of pairs of ``half``-bit numbers onto keys of twice as many bits: a Feistel network of four rounds."""
 
@@ -101,57 +131,73 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in _ARROW.items()], names=list(_ARROW))
 
 
-def _word_rows(block: int, langs: np.ndarray, names: list[str], data: np.ndarray, offsets: np.ndarray, quotients: int) -> Iterator[dict]:
-    """The block's body, with the words of each language, and its words by quotient: each after its language and that one's length."""
-    low = LOWER[data]
-    start, end, row = runs(_INSIDE[low], offsets)
-    size = end - start
-    edge = np.concatenate(([0], np.cumsum(size)))
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(edge), pa.py_buffer(low[ranges(start, size)])])
-    coded = words.dictionary_encode()
-    pair = coded.indices.to_numpy().astype(np.int64) * len(names) + langs[row]
-    known, at, counts = np.unique(pair, return_inverse=True, return_counts=True)
-    # One zero between words that a mark, a line or a text's end separates.
-    pieces = np.cumsum(_CUT[low])[start] if len(start) else start
-    after = np.zeros(len(start), np.int64)
-    after[1:] = np.cumsum((np.diff(row) > 0) | (np.diff(pieces) > 0))
-    body = np.zeros(len(start) + (int(after[-1]) if len(after) else 0), np.uint32)
-    body[np.arange(len(start)) + after] = at + 1
-    spoken = np.bincount(langs[row], minlength=len(names)).astype("<i8")
-    yield _row(block, packed(body), size=len(body), remainders=_strings(pa.array([n.encode() for n in names], pa.binary())), large=spoken.tobytes())
-    heads = [len(n.encode()).to_bytes(4, "big") + n.encode() for n in names]
-    full = [heads[k % len(names)] + w for k, w in zip(known.tolist(), coded.dictionary.take(pa.array(known // len(names))).to_pylist())]
-    quotient = np.fromiter((zlib.crc32(w) % quotients for w in full), np.int64, len(full))
-    order = np.argsort(quotient, kind="stable")
-    cuts = np.flatnonzero(np.diff(quotient[order], prepend=-1, append=-1))
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        own = order[a:b]
-        remainders = pa.array([full[i] for i in own], pa.binary())
-        yield _row(block, packed(own + 1), int(quotient[own[0]]), b - a, _strings(remainders), *small_large(counts[own]))
-
-
-def _strings(words: pa.Array) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, pa.schema([("w", pa.binary())]), options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(pa.record_batch([words], names=["w"]))
-    return sink.getvalue().to_pybytes()
+class Words:
+    """A block of texts: its words with their languages numbered, and the texts as numbers.
 
+    A word stands behind its language and that one's length in bytes.
+    """
 
-def _words(raw: bytes) -> pa.Array:
-    return pa.ipc.open_stream(raw).read_all().column("w").combine_chunks()
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+        self.bodies: list[np.ndarray] = []
+        self.spoken: Counter[str] = Counter()
+        self.bytes = 0
+
+    def add(self, langs: np.ndarray, names: list[str], data: np.ndarray, offsets: np.ndarray) -> None:
+        low = LOWER[data]
+        start, end, row = runs(_INSIDE[low], offsets)
+        edge = np.concatenate(([0], np.cumsum(end - start)))
+        letters = pa.py_buffer(low[ranges(start, end - start)])
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(edge), letters]).dictionary_encode()
+        pair = coded.indices.to_numpy().astype(np.int64) * len(names) + langs[row]
+        own, at = np.unique(pair, return_inverse=True)
+        heads = [len(n.encode()).to_bytes(4, "big") + n.encode() for n in names]
+        full = (heads[k % len(names)] + w for k, w in zip(own.tolist(), coded.dictionary.take(pa.array(own // len(names))).to_pylist()))
+        known = self.known
+        number = np.fromiter((known.setdefault(w, len(known) + 1) for w in full), np.int64, len(own))
+        # One zero between words that a mark, a line or a text's end separates, and one behind the last.
+        after = np.zeros(len(start), np.int64)
+        if len(start):
+            pieces = np.cumsum(_CUT[low])[start]
+            after[1:] = np.cumsum((np.diff(row) > 0) | (np.diff(pieces) > 0))
+            body = np.zeros(len(start) + int(after[-1]) + 1, np.uint32)
+            body[np.arange(len(start)) + after] = number[at]
+            self.bodies.append(body)
+        for name, n in zip(names, np.bincount(langs[row], minlength=len(names)).tolist()):
+            self.spoken[name] += n
+        self.bytes += len(data)
+
+    def rows(self, block: int, quotients: int) -> Iterator[dict]:
+        """The body with the words of each language, and the words by quotient; ``body`` then has their numbers."""
+        body = np.concatenate(self.bodies) if self.bodies else np.zeros(0, np.uint32)
+        langs = [(n.encode(), c) for n, c in self.spoken.items() if c]
+        yield _row(block, packed(body), size=len(body), remainders=packed_words([n for n, _ in langs]),
+                   large=np.array([c for _, c in langs], "<i8").tobytes())
+        counts = np.bincount(body, minlength=len(self.known) + 1)
+        full = list(self.known)
+        quotient = np.fromiter((zlib.crc32(w) % quotients for w in full), np.int64, len(full))
+        order = np.argsort(quotient, kind="stable")
+        cuts = np.flatnonzero(np.diff(quotient[order], prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = np.array(sorted(order[a:b].tolist(), key=full.__getitem__))
+            yield _row(block, packed(own + 1), int(quotient[own[0]]), b - a, packed_words([full[i] for i in own.tolist()]), *small_large(counts[own + 1]))
 
 
 def word_filters(docs: DataFrame, quotients: int, block_bytes: int, lang: str, text: str) -> DataFrame:
     """Blocks of word numbers, and the words of each block by quotient. In a word row ``body`` holds the words' numbers."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+        number, block = TaskContext.get().partitionId() << 32, Words()
         for batch in batches:
             coded = batch.column("lang").dictionary_encode()
             names, langs = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            for lo, hi, data, offsets in slices(batch.column("text"), block_bytes):
-                yield _batch(list(_word_rows(block, langs[lo:hi], names, data, offsets, quotients)))
-                block += 1
+            for lo, hi, data, offsets in slices(batch.column("text"), min(block_bytes, SLICE_BYTES)):
+                block.add(langs[lo:hi], names, data, offsets)
+                if block.bytes >= block_bytes:
+                    yield _batch(list(block.rows(number, quotients)))
+                    number, block = number + 1, Words()
+        if block.bytes:
+            yield _batch(list(block.rows(number, quotients)))
 
     of = docs.select(F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang"), docs[text].cast("string").alias("text"))
     return stored(map_batches(of, cut, FILTER), "word-filters")
@@ -188,8 +234,8 @@ def _merged(filters: DataFrame, quotients: int, union: Callable, least: int, lab
                 mine = np.flatnonzero(frequent[entry[a:b]] > 0)
                 if len(mine):
                     nth = frequent[entry[a:b][mine]] - 1
-                    at = unpacked(r["body"], np.int64, b - a)[mine] if r["body"] else mine
-                    out.append((quotient, r["block"], packed(at.astype(np.int64)), packed(nth.astype(np.int64)), len(mine), b"", b""))
+                    at = unpacked(r["body"], b - a)[mine] if r["body"] else mine
+                    out.append((quotient, r["block"], packed(at), packed(nth), len(mine), b"", b""))
             names = [c.split()[0] for c in MERGED.split(", ")]
             types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
@@ -199,21 +245,21 @@ def _merged(filters: DataFrame, quotients: int, union: Callable, least: int, lab
 
 
 def _union_words(rows: list[dict], sizes: np.ndarray, least: int):
-    coded = pa.chunked_array([_words(r["remainders"]) for r in rows]).combine_chunks().dictionary_encode()
+    coded = pa.concat_arrays([unpacked_words(r["remainders"], n) for r, n in zip(rows, sizes.tolist())]).dictionary_encode()
     entry = coded.indices.to_numpy()
     total = np.zeros(len(coded.dictionary), np.int64)
-    np.add.at(total, entry, np.concatenate([counts_of(r["small"], r["large"], n) for r, n in zip(rows, sizes)]))
+    np.add.at(total, entry, np.concatenate([counts_of(r["small"], r["large"], n) for r, n in zip(rows, sizes.tolist())]))
     kept = np.flatnonzero(total >= least)
     frequent = np.zeros(len(total), np.int64)
     frequent[kept] = np.arange(1, len(kept) + 1)
-    return entry, frequent, total[kept], _strings(coded.dictionary.take(pa.array(kept)))
+    return entry, frequent, total[kept], packed_words(coded.dictionary.take(pa.array(kept)).to_pylist())
 
 
 def _union_keys(rows: list[dict], sizes: np.ndarray, least: int):
-    keys = np.concatenate([unpacked(r["remainders"], np.uint64, n) for r, n in zip(rows, sizes)])
+    keys = np.concatenate([unpacked(r["remainders"], n) for r, n in zip(rows, sizes.tolist())])
     known, entry = np.unique(keys, return_inverse=True)
     total = np.zeros(len(known), np.int64)
-    np.add.at(total, entry, np.concatenate([counts_of(r["small"], r["large"], n) for r, n in zip(rows, sizes)]))
+    np.add.at(total, entry, np.concatenate([counts_of(r["small"], r["large"], n) for r, n in zip(rows, sizes.tolist())]))
     kept = np.flatnonzero(total >= least)
     frequent = np.zeros(len(total), np.int64)
     frequent[kept] = np.arange(1, len(kept) + 1)
@@ -249,7 +295,7 @@ def _pair_rows(block: int, body: np.ndarray, half: int, bits: int) -> Iterator[d
     body = _dense(body)
     if not len(body):
         return
-    yield _row(block, packed(body.astype(np.uint32)), size=len(body))
+    yield _row(block, packed(body), size=len(body))
     here = np.flatnonzero((body[:-1] > 0) & (body[1:] > 0))
     keys, counts = np.unique(Permutation(half).keys(body[here], body[here + 1]), return_counts=True)
     shift = np.uint64(2 * half - bits)
@@ -280,11 +326,11 @@ def _next(filters: DataFrame, merged: DataFrame, offsets: np.ndarray, bits: int,
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                body = unpacked(r["body"], np.uint32, r["size"]).astype(np.int64)
+                body = whole_numbers(r["body"], r["size"])
                 if half is None:
                     number = np.zeros(int(body.max(initial=0)) + 1, np.int64)
                     for t in r["told"]:
-                        number[unpacked(t["at"], np.int64, t["size"])] = offsets[t["quotient"]] + 1 + unpacked(t["nth"], np.int64, t["size"])
+                        number[whole_numbers(t["at"], t["size"])] = offsets[t["quotient"]] + 1 + whole_numbers(t["nth"], t["size"])
                     new = number[body]
                 else:
                     new = np.zeros(len(body), np.int64)
@@ -294,8 +340,8 @@ def _next(filters: DataFrame, merged: DataFrame, offsets: np.ndarray, bits: int,
                     first = np.searchsorted(known >> np.uint64(2 * half - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
                     number = np.zeros(len(known), np.int64)
                     for t in r["told"]:
-                        at = first[t["quotient"]] + unpacked(t["at"], np.int64, t["size"])
-                        number[at] = offsets[t["quotient"]] + 1 + unpacked(t["nth"], np.int64, t["size"])
+                        at = first[t["quotient"]] + whole_numbers(t["at"], t["size"])
+                        number[at] = offsets[t["quotient"]] + 1 + whole_numbers(t["nth"], t["size"])
                     new[here] = number[entry]
                 found = list(_pair_rows(r["block"], new, wide, bits))
                 if found:
@@ -315,13 +361,13 @@ def _entries(merged: DataFrame, offsets: np.ndarray, decode: Callable, schema: s
                 n = r["size"]
                 if n:
                     number = offsets[r["quotient"]] + 1 + np.arange(n)
-                    yield table({"number": number, "f": unpacked(r["counts"], np.int64, n)} | decode(r["quotient"], r["keys"], n))
+                    yield table({"number": number, "f": whole_numbers(r["counts"], n)} | decode(r["quotient"], r["keys"], n))
 
     return map_batches(merged.where(F.col("block").isNull()), rows, "number bigint, f bigint, " + schema)
 
 
 def _word_of(quotient: int, raw: bytes, n: int) -> dict:
-    both = _words(raw).to_pylist()
+    both = unpacked_words(raw, n).to_pylist()
     after = [4 + int.from_bytes(x[:4], "big") for x in both]
     return {"lang": pa.array([x[4:i].decode() for x, i in zip(both, after)], pa.string()),
             "word": pa.array([x[i:].decode("utf-8", "replace") for x, i in zip(both, after)], pa.string())}
@@ -335,7 +381,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, lang:
     last i + 1 words and ``longer`` is the highest count of a phrase one word longer that holds it, and (lang, n) with all word occurrences.
     """
     spark = docs.sparkSession
-    bits = max(4, (2 * partitions(spark)).bit_length())
+    bits = max(4, partitions(spark).bit_length())
     quotients = 1 << bits
     filters = word_filters(docs, quotients, block_bytes, lang, text)
     n = _occurrences(filters)
@@ -346,13 +392,16 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, lang:
                    "phrases-1")
     levels, half = [], None
     for k in range(2, longest + 1):
+        before = (filters, merged)
         filters = _next(filters, merged, offsets, bits, half, f"filters-{k}")
+        for done in before:  # the next level is written, nothing reads these again
+            discard(done)
         half = _half_bits(offsets[-1], bits)
         merged = _merged(filters, quotients, _union_keys, least, f"merged-{k}")
         offsets = _offsets(merged, quotients)
 
         def pair_of(quotient: int, raw: bytes, n: int, half=half) -> dict:
-            first, rest = Permutation(half).pairs(unpacked(raw, np.uint64, n) | np.uint64(quotient) << np.uint64(2 * half - bits))
+            first, rest = Permutation(half).pairs(unpacked(raw, n) | np.uint64(quotient) << np.uint64(2 * half - bits))
             return {"first": first, "rest": rest}
 
         pairs = _entries(merged, offsets, pair_of, "first bigint, rest bigint")
@@ -377,10 +426,11 @@ def _occurrences(filters: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for names, n in zip(batch.column("remainders").to_pylist(), batch.column("large").to_pylist()):
-                yield table({"lang": _words(names).cast(pa.string()), "n": np.frombuffer(n, "<i8")})
+                counts = np.frombuffer(n, "<i8")
+                yield table({"lang": unpacked_words(names, len(counts)).cast(pa.large_string()).cast(pa.string()), "n": counts})
 
     rows = map_batches(filters.where(F.col("quotient").isNull()).select("remainders", "large"), count, "lang string, n bigint")
-    return rows.where("n > 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    return stored(rows.groupBy("lang").agg(F.sum("n").alias("n")), "occurrences")
 
 
 def collocations(docs: DataFrame, least: int = 100, longest: int = 5, factor: int = 1000, inside_percent: int = 100, top: int = 2000,
