@@ -7,7 +7,7 @@ word's ends; their weights are trained from document labels alone, through the n
 offending ones are located.
 
 The model is fitted on at most ``per_class`` labelled rows of each class, those whose key hashes lowest;
-all counts for the choice of n-grams are over these rows. Scoring covers whole texts of all rows, with the
+all counts for the choice of n-grams are over these rows, whatever tasks they lie in, so the same rows give the same model. Scoring covers whole texts of all rows, with the
 ``features`` n-grams broadcast.
 
 Nulls: a null text is empty and has one empty sentence; rows without a label train nothing; a null key is scored like
@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from regionlake.llm.base import map_batches, stored, table
 
 LENGTHS = (4, 5, 6, 7)
+MOST_GRAMS = 2_000_000  # that a task counts before it hands them on
+ROWS = 256  # texts scored at a time
 END = re.compile(r"[.!?\n]+")
 _SPACES = {i: " " for i in range(0x10000) if not chr(i).isalpha()}
 
@@ -51,19 +53,27 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 class Grams:
-    """Distinct n-grams of a task's texts with the toxic and clean texts that have them, from two texts on."""
+    """Distinct n-grams of a task's texts with the toxic and clean texts that have them."""
 
     schema = "gram string, toxic long, clean long"
 
     def __call__(self, batches):
         count = {0: Counter(), 1: Counter()}
         for batch in batches:
-            for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-                words = {f" {w} " for w in plain(text or "").split()}
+            for text, label in zip(batch["text"], batch["toxic"].to_pylist()):
+                words = {f" {w} " for w in plain(text.as_py() or "").split()}
                 count[label].update({w[i : i + n] for w in words for n in LENGTHS for i in range(len(w) - n + 1)})
-        grams = [g for g in count[1] if count[1][g] > 1]
-        yield table({"gram": pa.array(grams, pa.string()), "toxic": pa.array([count[1][g] for g in grams], pa.int64()),
-                     "clean": pa.array([count[0][g] for g in grams], pa.int64())})
+                if len(count[0]) + len(count[1]) > MOST_GRAMS:
+                    yield from self._rows(count)
+                    count = {0: Counter(), 1: Counter()}
+        yield from self._rows(count)
+
+    def _rows(self, count):
+        grams = list(count[0] | count[1])
+        for lo in range(0, len(grams), 50_000):
+            part = grams[lo : lo + 50_000]
+            yield table({"gram": pa.array(part, pa.string()), "toxic": pa.array([count[1][g] for g in part], pa.int64()),
+                         "clean": pa.array([count[0][g] for g in part], pa.int64())})
 
 
 class Model:
@@ -120,7 +130,7 @@ class Instances:
     def __call__(self, batches):
         model = self.model.value
         for batch in batches:
-            bags = [model.instances(t or "") for t in batch["text"].to_pylist()]
+            bags = [model.instances(t.as_py() or "") for t in batch["text"]]
             yield table({
                 "bag": batch["bag"], "toxic": batch["toxic"],
                 "sentences": pa.array([sorted({tuple(sorted(f)) for f in r.values()}) for r in bags], pa.list_(pa.list_(pa.int32()))),
@@ -165,11 +175,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     sample = stored(sample, "sample")  # at most 2 * per_class rows
     rows = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("text")).join(F.broadcast(sample), "k")
     rows = rows.groupBy("k", "toxic").agg(F.min("text").alias("text"))
-    rows = stored(rows.select(F.monotonically_increasing_id().alias("bag"), "text", "toxic").repartition(12, "bag"), "sample-texts")
+    rows = stored(rows.select(F.xxhash64("k").alias("bag"), "text", "toxic").repartition(12, "bag"), "sample-texts")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Model([], np.zeros(0), 0.0, -8.0 if 1 not in sizes else 0.0)
-    counts = map_batches(rows.coalesce(3).select("text", "toxic"), Grams(), Grams.schema).groupBy("gram").agg(
+    counts = map_batches(rows.select("text", "toxic"), Grams(), Grams.schema).groupBy("gram").agg(
         F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     more = F.col("t") / sizes[1] - F.col("c") / sizes[0]
     ratio = (F.col("t") + 0.5) / (sizes[1] + 1) / ((F.col("c") + 0.5) / (sizes[0] + 1))
@@ -190,9 +200,9 @@ class Score:
         model = self.model.value
         spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                found = [model.score(t or "") for t in part["text"].to_pylist()]
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                found = [model.score(t.as_py() or "") for t in part["text"]]
                 offending = [[{"start": a, "end": b, "score": p} for a, b, p in rows] for _, rows in found]
                 yield table({"key": part["key"], "score": pa.array([s for s, _ in found], pa.float64()), "sentences": pa.array(offending, spans)})
 
@@ -216,9 +226,12 @@ class Keep:
         self.model, self.text, self.reject = model, text, reject
 
     def __call__(self, batches):
+        model = self.model.value
         for batch in batches:
-            scores = [self.model.value.score(t or "")[0] for t in batch[self.text].to_pylist()]
-            yield batch.filter(pa.array([s < self.reject for s in scores], pa.bool_()))
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                scores = [model.score(t.as_py() or "")[0] for t in part[self.text]]
+                yield part.filter(pa.array([s < self.reject for s in scores], pa.bool_()))
 
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", reject: float = 0.5) -> DataFrame:
