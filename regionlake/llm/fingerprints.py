@@ -233,7 +233,8 @@ def edit_stability(docs: DataFrame, words: np.ndarray, key: str = "doc_id", text
     # The first row of a block by key, then text; rows without a key have a block of their own.
     heads = heads.join(visits, F.col("key") == F.col("head")).groupBy("before", "key").agg(F.min("text").alias("text"))
     bare = rows.where("key is null").select(F.min("text").alias("text"), F.count(F.lit(1)).alias("n")).where("n > 0")
-    bare = bare.withColumn("home", F.lit(none)).join(visits, "home").select("before", F.lit(None).cast("long").alias("key"), "text")
+    before = visits.where(F.col("home") == none).agg(F.max("before").alias("before")).scalar()
+    bare = bare.select(before.alias("before"), F.lit(None).cast("long").alias("key"), "text")
     own = rows.select(block.alias("block"), F.lit(False).alias("visitor"), "key", "text")
     guests = heads.union(bare).select(F.col("before").alias("block"), F.lit(True).alias("visitor"), "key", "text")
     dealt = own.union(guests).repartition(partitions(spark), "block").sortWithinPartitions("block", "visitor", "key", "text")
