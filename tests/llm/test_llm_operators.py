@@ -307,3 +307,37 @@ def test_leaks_are_the_planted_ones(spark):
     found = {r.doc_id for r in templates.leaks(docs, items).collect()}
     item = [r.text for r in items.collect()]
     assert found == {r.doc_id for r in docs.collect() if any(t in r.text for t in item)}
+
+
+@pytest.mark.parametrize("name", ["op8_template_decontamination", "op9_line_dedup"])
+def test_native_queries_run_no_python(spark, name):
+    df = queries.QUERIES[name](spark, SF)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert not [w for w in ("MapInArrow", "MapInPandas", "Python", "ArrowEval", "FlatMapGroups") if w in text]
+
+
+def test_toxicity_does_not_depend_on_the_layout(spark):
+    """The same rows over one, three and eight partitions give the same model and the same scores."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    found = []
+    for n in (1, 3, 8):
+        rows = docs.repartition(n)
+        model = toxicity.train(rows, labels, per_class=60)
+        found.append((model.grams, {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}))
+    assert found[0] == found[1] == found[2] and len(found[0][0]) > 3
+
+
+def test_toxicity_keeps_columns_of_many_rows(spark, docs):
+    """More rows than are scored at a time, all columns kept in their order."""
+    model = toxicity.Model([" vile "], np.array([9.0]), -4.0, -8.0)
+    rows = [(i, "a vile thing" if i % 5 == 0 else "a fine thing") for i in range(3 * toxicity.ROWS)]
+    kept = toxicity.without_toxic(docs(rows).withColumn("score", F.lit("clash")), model)
+    assert kept.columns == [*docs([]).columns, "score"]
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, _ in rows if i % 5]
+
+
+def test_fingerprints_plan_no_nested_loop(spark):
+    df = queries.QUERIES["op2_imatch_fingerprints"](spark, SF)
+    df.collect()
+    assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
