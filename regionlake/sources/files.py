@@ -40,7 +40,8 @@ def optional_parquet(spark: SparkSession, path: str) -> DataFrame | None:
 def inventory(spark: SparkSession, root: str, as_of=None) -> DataFrame:
     """One row per landed .json, .geojson or .csv file: size, SHA-256, kind and a sample.
 
-    Each file is read and hashed inside the task that lists it; JSON payloads are kept.
+    Each file is read and hashed inside the task that lists it; JSON payloads are kept. Spark's scan leaves out files of
+    zero bytes.
     """
     target, fs = _hadoop_path(spark, root)
     base = fs.getFileStatus(target).getPath().toString().rstrip("/")

@@ -295,6 +295,14 @@ def sample_cap(spark, sf):
     return R.first_rows(df, ["id", "l_partkey", "valeur_fonciere"])
 
 
+@query("l03_row_cap", with_("priced") + """
+    SELECT id, l_partkey, valeur_fonciere FROM priced ORDER BY valeur_fonciere, id, l_partkey LIMIT 50000""")
+def row_cap(spark, sf):
+    """The cap that a caller of the relational load asks for."""
+    df = D.priced_sales(spark, sf).select("id", "l_partkey", "valeur_fonciere")
+    return R.first_rows(df, ["valeur_fonciere", "id", "l_partkey"], 50_000)
+
+
 @query("l04_union_all", """
     SELECT kind, count(*) AS n, CAST(sum(k) AS BIGINT) AS cles FROM (
       SELECT 'commissariats' AS kind, s_suppkey AS k FROM supplier

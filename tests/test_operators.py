@@ -311,3 +311,33 @@ def test_rolling_mean_keeps_small_values(spark):
     df = df.withColumn("ts", F.timestamp_seconds("s"))
     got = [r["m"] for r in W.rolling_mean(df, "k", "ts", "v", "m").orderBy("ts").collect()]
     assert got == pytest.approx([1e-7, 2e-7, (1e9 + 4e-7) / 3], rel=1e-12)
+
+
+def test_rollup_levels(spark):
+    rows = [(1, 2021, 10.0, 100.0), (1, 2022, 20.0, 200.0), (2, 2021, 30.0, 300.0), (None, 2021, 40.0, 400.0)]
+    df = spark.createDataFrame(rows, "arrondissement int, annee int, prix_m2 double, valeur_fonciere double")
+    out = {(r["niveau"], r["arrondissement"], r["annee"]): (r["nb_transactions"], r["prix_m2_moyen"]) for r in A.price_rollup(df).collect()}
+    assert out["ville", None, None] == (4, 25.0) and out["arrondissement", 1, None] == (2, 15.0)
+    assert out["arrondissement", None, None] == (1, 40.0) and out["arrondissement_annee", None, 2021] == (1, 40.0) and len(out) == 8
+
+
+def test_latest_row_of_ties_and_missing_times(spark):
+    rows = [("a", 2, 1, "x"), ("a", 2, 5, "y"), ("a", 2, 5, "z"), ("a", None, 9, "q"), (None, 1, 1, "n"), ("b", None, 3, "b"), ("b", None, 4, "c")]
+    df = spark.createDataFrame(rows, "k string, t int, i int, v string").repartition(3)
+    got = {(r["k"], r["t"], r["i"], r["v"]) for r in W.latest_per_key(df, ["k"], ["t", "i"]).collect()}
+    assert got == {("a", 2, 5, "z"), (None, 1, 1, "n"), ("b", None, 4, "c")}
+    only = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "k string, t int")
+    assert sorted(tuple(r) for r in W.latest_per_key(only, ["k"], ["t"]).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_upsert_with_fewer_columns_keeps_the_others(spark):
+    target = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (None, "c", 3.0)], "k int, name string, v double")
+    source = spark.createDataFrame([(2, 9.0), (None, 8.0), (4, 7.0)], "k int, v double")
+    got = {tuple(r) for r in M.upserted(target, source, ["k"]).collect()}
+    assert got == {(1, "a", 1.0), (2, "b", 9.0), (None, "c", 8.0), (4, None, 7.0)}
+
+
+def test_index_too_wide_to_broadcast(spark):
+    rows = spark.createDataFrame([([1] * 1000,), ([2] * 1000,)], "a array<int>")
+    size = F.size("a") * 8
+    assert sized(rows, 10, size, 100_000).small and not sized(rows, 10, size, 10_000).small and not sized(rows, 1, size, 100_000).small

@@ -195,3 +195,74 @@ def test_snapshots_and_partitions(spark, tmp_path):
     sinks.write_yearly(years, str(tmp_path / "y"))
     sinks.write_yearly(years.where("annee = 2022").withColumn("k", F.lit(7)), str(tmp_path / "y"))
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "y")).select("k", "annee").collect()} == {(1, 2021), (7, 2022)}
+
+
+def test_unreadable_files_are_listed_with_their_error(spark, tmp_path):
+    put(tmp_path / "cut.json", '{"features": [{"id": 1}')
+    put(tmp_path / "bad.geojson", "{")
+    put(tmp_path / "void.csv", "\n\n")
+    put(tmp_path / "fine.json", '{"features": 3}')
+    got = {r["path"]: r for r in files.inventory(spark, str(tmp_path), "2024-01-01").collect()}
+    assert {p: r["error"] for p, r in got.items()} == {
+        "cut.json": "unreadable JSON", "bad.geojson": "unreadable JSON", "void.csv": "no columns", "fine.json": None}
+    assert got["cut.json"]["payload"] is None and got["cut.json"]["payload_kind"] is None and got["cut.json"]["size_bytes"] == 23
+    assert got["fine.json"]["payload_kind"] == "json"
+
+
+def test_names_of_a_header():
+    assert delimited.names_of('a;"b;c";"d ""e"""', ";") == ["a", "b;c", 'd "e"'] and delimited.names_of("", ";") == []
+
+
+def part_files(path):
+    import os
+
+    return {(d, f) for d in os.listdir(path) if "=" in d for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")}
+
+
+def test_upsert_rewrites_only_what_it_touches(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, annee int, v double, w string"
+    first = spark.createDataFrame([(1, 2021, 1.0, "a"), (2, 2021, 2.0, "b"), (1, 2022, 3.0, "c"), (3, None, 4.0, "d")], schema)
+    sinks.upsert_partitions(first, path, ["k", "annee"], "annee")
+    before = part_files(path)
+    change = spark.createDataFrame([(1, 2022, 9.0), (7, 2022, 8.0), (3, None, 5.0)], "k int, annee int, v double")
+    for _ in range(2):
+        out = sinks.upsert_partitions(change, path, ["k", "annee"], "annee")
+    assert {tuple(r) for r in out.select("k", "annee", "v", "w").collect()} == {
+        (1, 2021, 1.0, "a"), (2, 2021, 2.0, "b"), (1, 2022, 9.0, "c"), (7, 2022, 8.0, None), (3, None, 5.0, "d")}
+    after = part_files(path)
+    assert {f for f in before if f[0] == "annee=2021"} <= after and not {f for f in before if f[0] != "annee=2021"} & after
+    with pytest.raises(ValueError):
+        sinks.upsert_partitions(change, path, ["k"], "annee")
+
+
+def test_upsert_by_hash_keeps_types_and_the_newest_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("01", 1, 5.0), ("01", 2, 6.0), ("x", 1, 7.0)], "k string, at int, v double")
+    out = sinks.upsert_partitions(rows, path, ["k"], version=["at"])
+    assert {tuple(r) for r in out.collect()} == {("01", 2, 6.0), ("x", 1, 7.0)}
+    named = str(tmp_path / "n")
+    sinks.upsert_partitions(rows, named, ["k", "at"], "k")
+    out = sinks.upsert_partitions(rows.where("at = 2").withColumn("v", F.lit(0.0)), named, ["k", "at"], "k")
+    assert {tuple(r) for r in out.select("k", "at", "v").collect()} == {("01", 1, 5.0), ("01", 2, 0.0), ("x", 1, 7.0)}
+
+
+def test_counts_observed_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (-2,), (None,), (4,)], "v int").repartition(3)
+    found = sinks.observed(df, lambda rows: sinks.reload_table(rows, str(tmp_path / "t")), {"positive": F.col("v") > 0, "known": F.col("v").isNotNull()})
+    assert found == {"rows": 4, "violations": {"positive": 1, "known": 1}}
+    assert sinks.observed(df.limit(0), lambda rows: sinks.reload_table(rows, str(tmp_path / "u"))) == {"rows": 0, "violations": {}}
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+
+
+def test_health_counts_all_tables_at_once(spark, tmp_path):
+    good, later = str(tmp_path / "good.parquet"), tmp_path / "later.parquet"
+    spark.range(5).repartition(2).write.parquet(good)
+    spark.range(5).repartition(2).write.parquet(str(later))
+    broken = sorted(later.glob("part-*.parquet"))[-1]
+    broken.write_bytes(b"not a table")
+    crc = broken.with_name(f".{broken.name}.crc")
+    crc.write_bytes(b"")
+    crc.unlink()
+    sets = [("a", "good", good), ("b", "later", str(later)), ("c", "none", str(tmp_path / "none.parquet"))]
+    got = {r["jeu"]: (r["statut"], r["lignes"]) for r in files.lake_health(spark, sets).collect()}
+    assert got == {"good": ("OK", 5), "later": ("CORROMPU", None), "none": ("ABSENT", None)}

@@ -174,7 +174,7 @@ def test_repeats_and_late_rows(spark, tmp_path, rows):
               (77, "a", START - 400 * 24 * hour, 1e6), (78, "a", None, 1e6)]
     source = landed(spark, tmp_path, [first, second], KEYED)
     stream = lambda: sales.read_stream(spark, source, KEYED, files_per_batch=1)
-    wait(sales.append_to(state.rolling_stream(stream(), "k", "at", "v", "m", hours=2, unique=["id"]), str(tmp_path / "o"), str(tmp_path / "m")))
+    wait(sales.append_to(state.rolling_stream(stream(), "k", "at", "v", "m", hours=2, unique=["id"], slice_minutes=60), str(tmp_path / "o"), str(tmp_path / "m")))
     got = {r["id"]: r["m"] for r in spark.read.parquet(str(tmp_path / "o")).collect()}
     assert got == {i: m for i, m in brute_means(first + [second[2]], 2).items()}
     wait(sales.append_to(state.late_rows(stream(), "at"), str(tmp_path / "late"), str(tmp_path / "m2")))
