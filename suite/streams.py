@@ -217,6 +217,7 @@ BASES = {"iqa": C.AIR_INDEX_BASE, "no2": C.AIR_NO2_BASE, "pm25": C.AIR_PM25_BASE
 SPREAD = {m: half_even(f"{m} * ({list(map(float, v))}[r] / {sum(v) / len(v)!r}::DOUBLE)", 1) for m, v in BASES.items()}
 
 
+# Means over 32 readings lie on halves of the sixth decimal, where the sides' roundings differ: both cut at 0.7 there.
 @query("t07_live_stream", f"""
     WITH cycles AS (
       SELECT ts, event_id % 4 <> 1 AND value > 0 AS live, CASE WHEN event_id % 4 = 1 THEN 0e0 ELSE value END AS iqa,
@@ -227,7 +228,7 @@ SPREAD = {m: half_even(f"{m} * ({list(map(float, v))}[r] / {sum(v) / len(v)!r}::
              CASE WHEN live THEN coalesce(nullif({SPREAD['no2']}, 0), {list(map(float, C.AIR_NO2_BASE))}[r]) ELSE {list(map(float, C.AIR_NO2_BASE))}[r] END AS no2,
              CASE WHEN live THEN 'airparif_live' ELSE 'bronze_fallback' END AS source
       FROM cycles, range(1, 21) t(r) JOIN (SELECT c_nationkey + 1 AS region, max(c_acctbal) AS known FROM customer GROUP BY 1) k ON k.region = r)
-    SELECT ingested_at, arrondissement, iqa, no2, source, round(avg(iqa) OVER w, 6) AS iqa_24h_mean FROM readings {ROLLING_WINDOW}""")
+    SELECT ingested_at, arrondissement, iqa, no2, source, floor((avg(iqa) OVER w) * 1e6 + 0.3::DOUBLE) / 1e6 AS iqa_24h_mean FROM readings {ROLLING_WINDOW}""")
 def live_stream(spark, sf):
     """Raw responses to stored events: newest feature, spread over the regions, fallback where a response has no index, rolling mean."""
     events, folder = in_parts(D.table(spark, sf, "events")), scratch_path(spark, "responses")
@@ -247,4 +248,4 @@ def live_stream(spark, sf):
     finish(air.run_air_stream(air.events_of(live), table, mark, digits=None))
     return spark.read.parquet(table).select(
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), C.REGION, "iqa", F.col("no2_µg_m3").alias("no2"), "source",
-        F.round("iqa_24h_mean", 6).alias("iqa_24h_mean"))
+        (F.floor(F.col("iqa_24h_mean") * 1e6 + F.lit(0.3)) / 1e6).alias("iqa_24h_mean"))
