@@ -6,7 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regionlake.session import durable
+from regionlake.session import durable, settings
+
+LISTERS = 2  # tasks of a folder listing for each core
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -45,9 +47,13 @@ def inventory(spark: SparkSession, root: str, as_of=None) -> DataFrame:
     """
     target, fs = _hadoop_path(spark, root)
     base = fs.getFileStatus(target).getPath().toString().rstrip("/")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.{[jJ][sS][oO][nN],[cC][sS][vV],[gG][eE][oO][jJ][sS][oO][nN]}")
+    # A task lists many folders: by default each folder is a task of its own.
+    with settings(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=LISTERS * spark.sparkContext.defaultParallelism):
+        landed = reader.load(root)
     files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{[jJ][sS][oO][nN],[cC][sS][vV],[gG][eE][oO][jJ][sS][oO][nN]}").load(root)
+        landed
         .withColumn("path", F.substr(F.col("path"), F.lit(len(base) + 2)))
         .withColumn("format", F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)))
         .where(F.col("format").isin("json", "csv", "geojson"))

@@ -428,8 +428,12 @@ def land_json(spark, sf):
     lists = docs.groupBy("source", "bloc").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"), F.max("cut").alias("cut"))
     text = F.concat(F.lit("["), F.array_join(F.col("ids").cast("array<string>"), ","), F.when(F.col("cut"), F.lit("")).otherwise(F.lit("]")))
     lake = Lake(spark, scratch_path(spark, "lac"))
-    raw = lists.select("source", "bloc", text.alias("line")).repartition("source", "bloc")
-    raw.write.partitionBy("source", "bloc").option("extension", "json").option("sep", "\u0001").csv(f"{lake.root}/bronze")
+    # A file costs milliseconds whatever it holds, so the tasks are a given number, not as many as the bytes ask for, and each commits its own.
+    # By a hash of the keys: by the keys themselves Spark would keep the grouping's partitions, which it merges by their bytes.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    raw = lists.select("source", "bloc", text.alias("line")).repartition(spread, F.xxhash64("source", "bloc"))
+    writer = raw.write.partitionBy("source", "bloc").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.option("extension", "json").option("sep", "\u0001").csv(f"{lake.root}/bronze")
     return lake
 
 
