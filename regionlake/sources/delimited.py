@@ -135,7 +135,8 @@ def read_sales(
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.repartition(partitions) if partitions else out
+    # By a hash of the row: dealing rows out in turn would first sort every whole file.
+    return out.repartition(partitions, F.xxhash64(*out.columns)) if partitions else out
 
 
 def region_lines(df: DataFrame, code: str, prefix: str = C.COMMUNE_PREFIX) -> DataFrame:

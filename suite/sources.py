@@ -10,7 +10,7 @@ from regionlake.operators.spatial import polygon_edges
 from regionlake.plans import gold, silver
 from regionlake.plans.batch import Lake, overall_status, run_steps, step_rows, transactions
 from regionlake.schemas import AIR, ELEMENTS, NOISE, SCHOOL, SHOPS, STOP, TRAFFIC, envelope
-from regionlake.session import durable, scratch_path
+from regionlake.session import durable, scratch_path, settings
 from regionlake.sources import delimited, documents, files, sinks
 from suite import domain as D
 from suite.aggregation import yearly
@@ -19,6 +19,9 @@ from suite.joins import shapes
 from suite.registry import FRAGMENTS, half_even, query, with_
 
 
+WRITERS = 64  # years a task writes side by side, before it sorts its rows by year
+
+
 @query("s01_yearly_csv_gz", with_("sales") + """
     SELECT annee, count(*) AS n, count(DISTINCT arrondissement) AS regions, CAST(sum(l_linenumber) AS DOUBLE) AS pieces
     FROM sales WHERE arrondissement <= 20 GROUP BY 1""")
@@ -394,7 +397,9 @@ def drop_days(spark, sf):
 def file_counts(spark, sf):
     """Landed yearly files and yearly partitions of the cleaned table."""
     lake = Lake(spark, scratch_path(spark, "lac"))
-    D.landed_sales(spark, sf).repartition(C.YEAR).write.partitionBy(C.YEAR).option("header", "true").option("compression", "gzip").csv(lake.bronze("dvf"))
+    # One file a year, so one task a year; with a writer for each of its years it need not sort them.
+    with settings(spark, spark__sql__maxConcurrentOutputFileWriters=WRITERS):
+        D.landed_sales(spark, sf).repartition(C.YEAR).write.partitionBy(C.YEAR).option("header", "true").option("compression", "gzip").csv(lake.bronze("dvf"))
     raw = delimited.read_sales(spark, lake.bronze("dvf"), range(1990, 2025), "annee={year}", partitions=8)
     sinks.write_yearly(silver.sales(raw), lake.silver_path("dvf"))
     counts = {"bronze": files.counted(spark, lake.bronze("dvf/annee=*/*.csv.gz")), "silver": lake.file_counts()["dvf_silver_files"]}

@@ -24,3 +24,29 @@ def test_json_lists_are_written_by_many_tasks(spark, tmp_path):
     assert len({re.search(r"part-(\d+)-", f)[1] for f in found}) > 1
     listed = inventory(spark, f"{lake.root}/bronze", "2024-01-01")
     assert listed.count() == 30 and listed.where("error is null").count() == 30
+
+
+def test_settings_are_put_back(spark):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    with pytest.raises(ValueError), settings(spark, spark__sql__maxConcurrentOutputFileWriters=7):
+        assert spark.conf.get(key) == "7"
+        raise ValueError
+    assert spark.conf.get(key, None) == before
+
+
+def test_yearly_files_are_spread_without_a_sort(spark, tmp_path, rows):
+    sold = [(f"2020-01-{d:02d}", str(1000 * d)) for d in range(1, 29)] * 2
+    spark.createDataFrame(sold, "date_mutation string, valeur_fonciere string").coalesce(1).write.option("header", "true").option(
+        "compression", "gzip").csv(f"{tmp_path}/dvf_75_2020.csv.gz")
+    df = delimited.read_sales(spark, str(tmp_path), [2020], partitions=5)
+    plan = df._jdf.queryExecution().toString()
+    assert "hashpartitioning" in plan and "RoundRobinPartitioning" not in plan
+    assert rows(df.select("date_mutation", "valeur_fonciere")) == sorted(sold, key=repr)
+
+
+def test_file_counts_writes_its_years_unsorted(spark, monkeypatch):
+    real, seen = D.landed_sales, []
+    monkeypatch.setattr(sources.D, "landed_sales", lambda *a: seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) or real(*a))
+    assert sources.file_counts(spark, SF).first()["bronze"] == 7
+    assert seen == [str(sources.WRITERS)]
