@@ -461,9 +461,13 @@ def batch_status(spark, sf):
     """The last report of a nightly run over landed yearly files; the other sources are missing, and the scores need the income."""
     years = range(1995, 2002)
     lake = Lake(spark, scratch_path(spark, "lac"), years=years)
-    landed = D.landed_sales(spark, sf)
+    landed, stage = D.landed_sales(spark, sf).where(F.col(C.YEAR).isin(*years)), scratch_path(spark, "annees")
+    # The tables are joined once for all years.
+    with settings(spark, spark__sql__maxConcurrentOutputFileWriters=WRITERS):
+        landed.write.partitionBy(C.YEAR).parquet(stage)
+    staged = spark.read.schema(landed.schema).parquet(stage)
     for year in years:
-        landed.where(F.col(C.YEAR) == year).drop(C.YEAR).write.option("header", "true").option("compression", "gzip").csv(
+        staged.where(F.col(C.YEAR) == year).drop(C.YEAR).write.option("header", "true").option("compression", "gzip").csv(
             lake.bronze(f"dvf/dvf_75_{year}.csv.gz"))
     lake.run(dry_run=True)
     report = lake.last_run()

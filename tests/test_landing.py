@@ -50,3 +50,21 @@ def test_file_counts_writes_its_years_unsorted(spark, monkeypatch):
     monkeypatch.setattr(sources.D, "landed_sales", lambda *a: seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) or real(*a))
     assert sources.file_counts(spark, SF).first()["bronze"] == 7
     assert seen == [str(sources.WRITERS)]
+
+
+def test_batch_status_joins_the_tables_once(spark, monkeypatch):
+    real, passed = D.landed_sales, spark.sparkContext.accumulator(0)
+
+    def counted(*a):
+        df = real(*a)
+
+        def through(batches):
+            for b in batches:
+                passed.add(b.num_rows)
+                yield b
+
+        return df.mapInArrow(through, df.schema)
+
+    monkeypatch.setattr(sources.D, "landed_sales", counted)
+    sources.batch_status(spark, SF).collect()
+    assert passed.value == real(spark, SF).count()
