@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 from regionlake import config as C
 from regionlake.plans.serving import latest_readings
 from regionlake.session import scratch_path
+from regionlake.sources.files import counted
 from regionlake.sources.sinks import append_events
 from regionlake.streaming import air, sales
 from suite import domain as D
 from suite.registry import FRAGMENTS, ROLLING, ROLLING_WINDOW, half_even, query, with_
 
 
-BATCHES, FILES = 4, 1  # micro-batches of a stream, and landed files of each
+BATCHES, FILES = 4, 16  # micro-batches of a stream, and landed files of each
 
 
 def in_parts(events):
@@ -22,9 +23,15 @@ def in_parts(events):
 
 
 def land(parts, folder):
-    """One part after the other as files, so that each becomes a micro-batch."""
+    """One part after the other as ``FILES`` files, so that each becomes a micro-batch.
+
+    Spark writes no file for a task without rows, so a part of few rows gets files without rows for those that lack.
+    """
     for part in range(BATCHES):
-        parts.where(F.col("_part") == part).drop("_part").coalesce(FILES).write.mode("append").parquet(folder)
+        rows = parts.where(F.col("_part") == part).drop("_part")
+        rows.repartition(FILES).write.mode("append").parquet(folder)
+        for _ in range((part + 1) * FILES - counted(parts.sparkSession, f"{folder}/part-*.parquet")):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
 
 
 def event_stream(spark, sf):

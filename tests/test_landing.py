@@ -35,6 +35,19 @@ def test_settings_are_put_back(spark):
     assert spark.conf.get(key, None) == before
 
 
+@pytest.mark.parametrize("counts", [(200, 3, 0, 40)])
+def test_each_part_lands_as_as_many_files(spark, tmp_path, rows, counts):
+    folder = str(tmp_path / "landed")
+    ids = [(i, p) for p, n in enumerate(counts) for i in range(p * 1000, p * 1000 + n)]
+    streams.land(spark.createDataFrame(ids, "id bigint, _part bigint"), folder)
+    assert len(glob.glob(f"{folder}/part-*.parquet")) == streams.BATCHES * streams.FILES
+    assert spark.read.parquet(folder).groupBy(F.input_file_name()).count().count() > len(counts)
+    seen = []
+    stream = streams.sales.read_stream(spark, folder, "id bigint", files_per_batch=streams.FILES)
+    streams.finish(streams.sales.start(stream, lambda batch, i: seen.append((i, sorted(r[0] for r in batch.collect()))), str(tmp_path / "mark")))
+    assert [s for s in seen if s[1]] == [(p, [i for i, q in ids if q == p]) for p, n in enumerate(counts) if n]
+
+
 def test_yearly_files_are_spread_without_a_sort(spark, tmp_path, rows):
     sold = [(f"2020-01-{d:02d}", str(1000 * d)) for d in range(1, 29)] * 2
     spark.createDataFrame(sold, "date_mutation string, valeur_fonciere string").coalesce(1).write.option("header", "true").option(
