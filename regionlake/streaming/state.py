@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -116,7 +116,8 @@ def rolling_stream(stream: DataFrame, key: str, ts: str, value: str, out: str, h
 
     Rows more than ``delay`` behind the newest time are left out (``late_rows`` has them), and so are rows
     without a time. ``unique`` names columns that tell rows apart: of rows that agree in them one stays, if they arrive within ``delay``.
-    A missing, NaN or infinite value adds nothing; a row without a key has no mean.
+    A missing, NaN or infinite value adds nothing; a row without a key of text has no mean, rows without a key of another type are
+    a group of their own, as in SQL.
 
     A micro-batch's rows of one key are held by one task (the source's ``files_per_batch`` bounds them). Of a key's state a task holds the
     slices that the batch's windows begin in or its rows fall in: ``slice_minutes`` is to be short where a key has many readings.
@@ -127,10 +128,14 @@ def rolling_stream(stream: DataFrame, key: str, ts: str, value: str, out: str, h
         rows = rows.dropDuplicatesWithinWatermark(unique)
     if hours * 60 % slice_minutes:
         raise ValueError("a window must be a whole number of slices")
+    group = F.col(key)
+    if not isinstance(stream.schema[key].dataType, StringType):
+        # Workers would see a missing number as NaN, which equals no other, so that each row were a group in the order it came.
+        group = F.coalesce(group.cast("string"), F.lit(""))
     # Workers see plain column names (theirs must be Python identifiers), and the time as a number that no time zone touches.
     payload = {c: f"c{i}" for i, c in enumerate(stream.columns) if c != ts}
     timed = rows.select(ts, F.unix_micros(F.col(ts).cast("timestamp")).alias(AT), F.col(value).cast("double").alias("rolled"),
-                        *[F.col(f"`{c}`").alias(n) for c, n in payload.items()], F.col(key).alias("key"))
+                        *[F.col(f"`{c}`").alias(n) for c, n in payload.items()], group.alias("key"))
     shape = StructType([timed.schema[c] for c in (AT, *payload.values())]).add("mean", DoubleType())
     processor = RollingMean(hours * HOUR_US, slice_minutes * 60_000_000, shape.names)
     means = timed.groupBy("key").transformWithStateInPandas(processor, shape, "append", "EventTime")

@@ -252,3 +252,17 @@ def test_spread_keeps_the_mean(spark):
     out = air.spread_reading(city, base, {"iqa": "iqa_base", "no2": "no2_base"}, digits=None)
     assert out.count() == 20 and out.agg(F.avg("iqa")).first()[0] == pytest.approx(60.0)
     assert out.where("arrondissement = 19").first()["iqa"] == pytest.approx(60 * 64 / 52.35)
+
+
+def test_rows_without_a_numeric_key_are_a_group_of_their_own(spark, tmp_path):
+    at = lambda minute: START + timedelta(minutes=minute)
+    part = [(i, None if i % 3 == 0 else i % 3, at(i), float(i)) for i in range(12)]
+    part = part[::-1]  # whatever the order they come in
+    shape = "id int, k int, at timestamp, v double"
+    source = landed(spark, tmp_path, [part], shape)
+    stream = sales.read_stream(spark, source, shape, files_per_batch=1)
+    wait(sales.append_to(state.rolling_stream(stream, "k", "at", "v", "m", hours=4), str(tmp_path / "o"), str(tmp_path / "m")))
+    got = {r["id"]: (r["k"], r["m"]) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    for i, k, _, _ in part:
+        near = [v for j, k2, _, v in part if k2 == k and j <= i]
+        assert got[i] == (k, pytest.approx(sum(near) / len(near))), i
