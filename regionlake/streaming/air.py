@@ -77,12 +77,12 @@ def with_fallback(live: DataFrame, fallback: DataFrame, keys: list[str]) -> Data
     return tagged.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*").select(*tagged.columns)
 
 
-def events_of(readings: DataFrame, ts: str = "timestamp", key: str = C.REGION) -> DataFrame:
-    """Readings as event rows with their alert level; stateless, so it runs on streams."""
+def events_of(readings: DataFrame, ts: str = "timestamp", key: str = C.REGION, more: tuple[str, ...] = ()) -> DataFrame:
+    """Readings as event rows with their alert level, and ``more`` of their columns; stateless, so it runs on streams."""
     return readings.select(
         F.lit("air_quality").alias("type"), "source", F.col(ts).cast("timestamp").alias("ingested_at"),
         F.col(ts).cast("timestamp").alias("timestamp"), key, "iqa",
-        F.col("no2").alias("no2_µg_m3"), F.col("pm25").alias("pm25_µg_m3"), alert_level("iqa").alias("alert_level"),
+        F.col("no2").alias("no2_µg_m3"), F.col("pm25").alias("pm25_µg_m3"), alert_level("iqa").alias("alert_level"), *more,
     )
 
 
@@ -119,6 +119,18 @@ def run_air_stream(events: DataFrame, table: str, checkpoint: str, interval: str
     files once, so a repeated batch adds nothing.
     """
     means = rolling_stream(events, key, ts, "iqa", "iqa_24h_mean", hours, delay, unique)
+    return _stored(means, table, checkpoint, interval, ts, digits)
+
+
+def run_reading_stream(readings: DataFrame, table: str, checkpoint: str, interval: str | None = None, hours: int = 24, key: str = C.REGION,
+                       ts: str = "timestamp", digits: int | None = 1, delay: str = "1 hour", unique: list[str] | None = None):
+    """``run_air_stream`` of the events of readings; what follows from a reading alone is added after the keyed state."""
+    rows = readings.select(F.col(ts).cast("timestamp").alias(ts), key, "source", "iqa", "no2", "pm25")
+    means = rolling_stream(rows, key, ts, "iqa", "iqa_24h_mean", hours, delay, unique)
+    return _stored(events_of(means, ts, key, ("iqa_24h_mean",)), table, checkpoint, interval, "ingested_at", digits)
+
+
+def _stored(means: DataFrame, table: str, checkpoint: str, interval: str | None, ts: str, digits: int | None):
     if digits is not None:
         means = means.withColumn("iqa_24h_mean", round_half_even("iqa_24h_mean", digits))
     return append_to(means.withColumn("jour", F.col(ts).cast("date")), table, checkpoint, interval, "jour")

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, StringType, StructType
@@ -15,6 +17,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 HOUR_US = 3_600_000_000
 AT = "micros"
+PACK = 1 << 16  # rows a task packs at a time
 
 
 def keep_state(spark: SparkSession) -> None:
@@ -30,16 +33,82 @@ def keep_state(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
 
 
+class Pack:
+    """Rows of a task packed by key: their numbers as arrays, the other columns as a compressed Arrow stream.
+
+    Keyed state gets its rows one by one from Spark, which costs more than any work on them; so it gets packs.
+    """
+
+    def __init__(self, *numbers: str):
+        self.numbers = numbers
+        self.schema = ", ".join(["key string", *[f"{c} binary" for c in numbers], "rest binary"])
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= PACK:
+                yield self._packs(held)
+                held = []
+        if any(b.num_rows for b in held):
+            yield self._packs(held)
+
+    def _packs(self, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        place = pc.dictionary_encode(rows["key"].combine_chunks(), null_encoding="encode").indices.to_numpy()
+        order = np.argsort(place, kind="stable")
+        rows = rows.take(pa.array(order)).combine_chunks()
+        cuts = np.flatnonzero(np.diff(place[order], prepend=-1, append=-1))
+        rest = rows.drop_columns(["key", *self.numbers])
+        numbers = {c: rows[c].to_numpy() for c in self.numbers}
+        packs = {"key": rows["key"].combine_chunks().take(pa.array(cuts[:-1]))}
+        for c, values in numbers.items():
+            packs[c] = pa.array([values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
+        packs["rest"] = pa.array([_stream(rest.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])], pa.binary())
+        return pa.RecordBatch.from_pydict(packs)
+
+
+def _stream(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+class Unpack:
+    """The rows of packs that are kept, with their times and, where the packs have them, their means."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pack = {c: batch[c][i].as_buffer() for c in batch.schema.names}
+                kept = np.frombuffer(pack["kept"], bool)
+                rows = pa.ipc.open_stream(pack["rest"]).read_all().add_column(0, AT, pa.array(np.frombuffer(pack[AT], np.int64)))
+                if "mean" in pack:
+                    rows = rows.append_column("mean", pa.array(np.frombuffer(pack["mean"], float), mask=np.frombuffer(pack["missing"], bool)))
+                yield from (rows if kept.all() else rows.filter(pa.array(kept))).to_batches()
+
+
+def _joined(parts: pd.Series, kind: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, kind) for x in parts])
+
+
+def _cut(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    return [x.tobytes() for x in np.split(values, np.cumsum(sizes)[:-1])]
+
+
 class RollingMean(StatefulProcessor):
-    """Mean of a key's values over [time - width, time], for every row of a micro-batch.
+    """Mean of a key's values over [time - width, time], for every row of a micro-batch; rows come and go in packs.
 
     State per key and time slice: the slice's total, and its distinct times with their sums and counts. A batch reads totals
     of the slices its windows span, and times only of the slices that windows begin in or rows fall in; it writes the
     slices that got rows. A timer lets a slice go when the watermark has passed the last window that can reach it.
     """
 
-    def __init__(self, width_us: int, slice_us: int, columns: list[str]):
-        self.width, self.slice, self.columns = width_us, slice_us, columns
+    schema = f"{AT} binary, rest binary, kept binary, mean binary, missing binary"
+
+    def __init__(self, width_us: int, slice_us: int):
+        self.width, self.slice = width_us, slice_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -47,12 +116,21 @@ class RollingMean(StatefulProcessor):
         self.times = handle.getMapState("times", "slice bigint", "at binary, total binary, n binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        # Spark itself drops rows behind the watermark of the batch before; slices may be gone behind that of this one.
-        batch = batch[batch[AT].to_numpy(np.int64) >= timerValues.getCurrentWatermarkInMs() * 1000].reset_index(drop=True)
-        if not len(batch):
+        packs = pd.concat(list(rows), ignore_index=True)
+        at, values = _joined(packs[AT], np.int64), _joined(packs["rolled"], float)
+        # Slices may be gone behind the watermark.
+        kept = at >= timerValues.getCurrentWatermarkInMs() * 1000
+        if not kept.any():
             return
-        at, values = batch[AT].to_numpy(np.int64), batch["rolled"].to_numpy(float, na_value=np.nan)
+        mean, missing = np.zeros(len(at)), np.ones(len(at), bool)
+        mean[kept], missing[kept] = self._means(key, at[kept], values[kept])
+        sizes = packs[AT].str.len().to_numpy() // 8
+        done = zip(packs[AT], packs["rest"], _cut(kept, sizes), _cut(mean, sizes), _cut(missing, sizes))
+        for pack in done:
+            yield pd.DataFrame([pack], columns=[AT, "rest", "kept", "mean", "missing"])
+
+    def _means(self, key, at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The mean of each row and whether it is missing; the rows' slices are stored."""
         known = np.isfinite(values) & (key[0] is not None)
         new = _summed(at[known], values[known], np.ones(known.sum(), np.int64))
         new_slice = new[0] // self.slice
@@ -78,8 +156,7 @@ class RollingMean(StatefulProcessor):
         low, high = np.searchsorted(times, at - self.width, "left"), np.searchsorted(times, at, "right")
         n = counts[high] - counts[low]
         mean = ((totals[high] - totals[low]) / np.maximum(n, 1)).astype(float)
-        batch["mean"] = pd.arrays.FloatingArray(mean, n == 0)
-        yield batch[self.columns]
+        return mean, n == 0
 
     def _slice(self, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return tuple(np.frombuffer(x, t) for x, t in zip(self.times.getValue((number,)), (np.int64, float, np.int64)))
@@ -134,30 +211,38 @@ def rolling_stream(stream: DataFrame, key: str, ts: str, value: str, out: str, h
         group = F.coalesce(group.cast("string"), F.lit(""))
     # Workers see plain column names (theirs must be Python identifiers), and the time as a number that no time zone touches.
     payload = {c: f"c{i}" for i, c in enumerate(stream.columns) if c != ts}
-    timed = rows.select(ts, F.unix_micros(F.col(ts).cast("timestamp")).alias(AT), F.col(value).cast("double").alias("rolled"),
+    timed = rows.select(F.unix_micros(F.col(ts).cast("timestamp")).alias(AT), F.col(value).cast("double").alias("rolled"),
                         *[F.col(f"`{c}`").alias(n) for c, n in payload.items()], group.alias("key"))
     shape = StructType([timed.schema[c] for c in (AT, *payload.values())]).add("mean", DoubleType())
-    processor = RollingMean(hours * HOUR_US, slice_minutes * 60_000_000, shape.names)
-    means = timed.groupBy("key").transformWithStateInPandas(processor, shape, "append", "EventTime")
+    means = _by_key(timed, Pack(AT, "rolled"), RollingMean(hours * HOUR_US, slice_minutes * 60_000_000), shape)
     return means.select(*_named(stream.columns, ts, payload), F.col("mean").alias(out))
 
 
+def _by_key(rows: DataFrame, pack: Pack, processor: StatefulProcessor, shape: StructType) -> DataFrame:
+    """The rows through a processor of packs, by ``key``. What leaves it is dealt out again, as keys may be few."""
+    done = rows.mapInArrow(pack, pack.schema).groupBy("key").transformWithStateInPandas(processor, processor.schema, "append", "EventTime")
+    return done.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(Unpack(), shape)
+
+
 def _named(columns: list[str], ts: str, payload: dict[str, str]) -> list[Column]:
     return [F.timestamp_micros(AT).alias(c) if c == ts else F.col(payload[c]).alias(c) for c in columns]
 
 
 class Late(StatefulProcessor):
-    """Rows whose time lies behind the watermark of their micro-batch."""
+    """Rows whose time lies behind the watermark of their micro-batch; they come and go in packs."""
+
+    schema = f"{AT} binary, rest binary, kept binary"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         pass
 
     def handleInputRows(self, key, rows, timerValues):
         watermark = timerValues.getCurrentWatermarkInMs()
-        for frame in rows:
-            behind = frame[AT].to_numpy(np.int64) < watermark * 1000
-            if behind.any():
-                yield frame[behind]
+        for packs in rows:
+            kept = [np.frombuffer(x, np.int64) < watermark * 1000 for x in packs[AT]]
+            found = packs.assign(kept=[x.tobytes() for x in kept])[[x.any() for x in kept]]
+            if len(found):
+                yield found[[AT, "rest", "kept"]]
 
     def close(self) -> None:
         pass
@@ -173,8 +258,8 @@ def late_rows(stream: DataFrame, ts: str, delay: str = "1 hour", buckets: int =
     marked = stream.where(F.col(ts).isNotNull()).withWatermark(ts, delay)
     payload = {c: f"c{i}" for i, c in enumerate(stream.columns) if c != ts}
     at, own = F.unix_micros(F.col(ts).cast("timestamp")), [F.col(f"`{c}`").alias(n) for c, n in payload.items()]
-    bucket = F.pmod(F.xxhash64(at, *own), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(at, *own), F.lit(buckets)).cast("string")
     # Without the marked column Spark does not drop late rows before they are seen.
-    plain = marked.select(at.alias(AT), *own, bucket.alias("bucket"))
-    late = plain.groupBy("bucket").transformWithStateInPandas(Late(), plain.schema, "append", "EventTime")
-    return late.select(*_named(stream.columns, ts, payload))
+    plain = marked.select(at.alias(AT), *own, bucket.alias("key"))
+    shape = StructType([plain.schema[c] for c in (AT, *payload.values())])
+    return _by_key(plain, Pack(AT), Late(), shape).select(*_named(stream.columns, ts, payload))

@@ -111,7 +111,7 @@ def sliding(spark, sf):
 
 def air_stream(spark, sf):
     table, mark = scratch_path(spark, "events"), scratch_path(spark, "mark")
-    finish(air.run_air_stream(air.events_of(event_stream(spark, sf), "ingested_at"), table, mark, digits=None))
+    finish(air.run_reading_stream(event_stream(spark, sf), table, mark, ts="ingested_at", digits=None))
     return table
 
 
@@ -252,7 +252,7 @@ def live_stream(spark, sf):
     responses = sales.read_stream(spark, folder, raw.drop("_part").schema, files_per_batch=FILES)
     table, mark = scratch_path(spark, "events"), scratch_path(spark, "mark")
     live = air.live_events(responses, D.spine(spark, 20), regions)
-    finish(air.run_air_stream(air.events_of(live), table, mark, digits=None))
+    finish(air.run_reading_stream(live, table, mark, digits=None))
     return spark.read.parquet(table).select(
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), C.REGION, "iqa", F.col("no2_µg_m3").alias("no2"), "source",
         (F.floor(F.col("iqa_24h_mean") * 1e6 + F.lit(0.3)) / 1e6).alias("iqa_24h_mean"))

@@ -266,3 +266,41 @@ def test_rows_without_a_numeric_key_are_a_group_of_their_own(spark, tmp_path):
     for i, k, _, _ in part:
         near = [v for j, k2, _, v in part if k2 == k and j <= i]
         assert got[i] == (k, pytest.approx(sum(near) / len(near))), i
+
+
+def test_keyed_state_gets_packs_of_rows(spark, tmp_path, rows):
+    """Late rows and others of one pack, columns of several types, keys that come in turns."""
+    shape = "id int, k string, at timestamp, v double, note string, seen timestamp, tags array<string>"
+    row = lambda i, minute: (i, "ab"[i % 2], START + timedelta(minutes=minute), None if i % 5 == 0 else float(i),
+                             None if i % 3 else "ü" * i, START if i % 4 else None, ["x", None] if i % 7 else None)
+    first, second = [row(i, 10 * i) for i in range(60)], [row(i, 10 * (i if i % 3 else i - 60)) for i in range(60, 90)]
+    source = landed(spark, tmp_path, [first, second], shape)
+    stream = lambda: sales.read_stream(spark, source, shape, files_per_batch=1)
+    means = state.rolling_stream(stream(), "k", "at", "v", "m", hours=4)
+    plan = means._jdf.queryExecution().analyzed().toString()
+    assert [x for x in ("MapInArrow", "TransformWithState") if x in plan[plan.index("TransformWithState"):]] == ["MapInArrow", "TransformWithState"]
+    wait(sales.append_to(means, str(tmp_path / "o"), str(tmp_path / "m")))
+    mark = max(r[2] for r in first) - timedelta(hours=1)
+    kept = first + [r for r in second if r[2] >= mark]
+    late = [r for r in second if r[2] < mark]
+    assert late and len(kept) > 60
+    stored = spark.read.parquet(str(tmp_path / "o"))
+    assert rows(stored.drop("m")) == sorted([(*r[:6], r[6]) for r in kept], key=repr)
+    want = brute_means([r[:4] for r in kept], 4)
+    got = {r["id"]: r["m"] for r in stored.collect()}
+    assert {i: got[i] is None for i in got} == {i: m is None for i, m in want.items()}
+    assert [got[i] for i in got if got[i] is not None] == pytest.approx([want[i] for i in got if got[i] is not None])
+    wait(sales.append_to(state.late_rows(stream(), "at"), str(tmp_path / "late"), str(tmp_path / "m2")))
+    assert rows(spark.read.parquet(str(tmp_path / "late"))) == sorted(late, key=repr)
+
+
+def test_reading_stream_equals_air_stream(spark, tmp_path, rows):
+    data = readings()
+    source = landed(spark, tmp_path, [data[:20], data[20:50], data[50:]], AIR)
+    stream = lambda: sales.read_stream(spark, source, AIR, files_per_batch=1)
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    wait(air.run_air_stream(air.events_of(stream()), one, str(tmp_path / "m1")))
+    wait(air.run_reading_stream(stream(), two, str(tmp_path / "m2")))
+    a, b = spark.read.parquet(one), spark.read.parquet(two)
+    assert a.columns == b.columns and a.dtypes == b.dtypes
+    assert rows(a) == rows(b) and len(rows(a)) == 90
