@@ -1,10 +1,11 @@
 """Stupid-backoff scores of documents, computed from n-gram count tables partitioned by hash.
 
-Method. Texts are dealt to blocks: the input split they are read from and a few parts of it by key. Each block explodes
-its texts into n-grams of every order and asks for the count of each distinct one: the hashes, sorted, with the block's own
-counts, go to the partition of their leading bits. There the count tables are built (all blocks' counts summed) and joined to the
-requests, and the total of every n-gram asked for returns to its block, in the order asked. The texts of the block arrive
-beside the answers; positions look their counts up and the logarithms are summed per document.
+Method. Texts are dealt to blocks: the input split they are read from and a few parts of it by key. In rounds, one for words and
+pairs and one for each longer order, each block explodes its texts into n-grams and asks for the count of each distinct one: the
+hashes, sorted, with the block's own counts, go to the partition of their leading bits. There the count tables are built (all blocks'
+counts summed) and joined to the requests, and the total of every n-gram asked for is stored for its block, in the order asked. A
+round's requests, six bytes an n-gram, leave the disks before the next round; only the counts stay. Then the texts of a block meet
+its answers; positions look their counts up and the logarithms are summed per document.
 
 A word's score is count(n-gram) / count(context) for the longest n-gram whose count is at least ``least``, times ``penalty`` for
 each order given up; at order 1 it is count(word) / words. Counts cover all rows. Contexts do not
@@ -23,11 +24,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from regionlake.llm.base import binary, map_batches, partitions, table
+from regionlake.llm.base import binary, map_batches, partitions, stored, table
 from regionlake.llm.words import Words, joined, slices, words
+from regionlake.session import settings
 
 PARTS = 8  # blocks of an input split
-BUCKETS = 4  # of each shuffle partition
+BUCKETS = 2  # of each shuffle partition, in each round
+
+
+def rounds(order: int) -> list[range]:
+    """The orders asked for together: words with pairs, as words are few, and each longer order alone."""
+    return [range(1, min(order, 2) + 1), *(range(n, n + 1) for n in range(3, order + 1))]
 
 
 def placed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -40,8 +47,7 @@ def placed(docs: DataFrame, key: str, text: str) -> DataFrame:
 class Block:
     """The word hashes of some texts, and for each order the hashes and rows of their n-grams."""
 
-    def __init__(self, order: int):
-        self.order = order
+    def __init__(self):
         self.keys: list = []
         self.hashes: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
@@ -68,9 +74,9 @@ class Block:
             return at, self.word
         return at, joined(self.word, n)[at - n + 1] if len(self.word) >= n else np.zeros(0, np.uint64)
 
-    def types(self) -> tuple[np.ndarray, np.ndarray]:
-        """All distinct n-grams, sorted, and how often each occurs in the block."""
-        return np.unique(np.concatenate([self.grams(n)[1] for n in range(1, self.order + 1)]), return_counts=True)
+    def types(self, orders: range) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct n-grams of some orders, sorted, and how often each occurs in the block."""
+        return np.unique(np.concatenate([self.grams(n)[1] for n in orders]), return_counts=True)
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -114,19 +120,19 @@ class Requests:
 
     schema = "bucket int, block long, hashes binary, counts binary"
 
-    def __init__(self, order: int, buckets: int):
-        self.order, self.buckets = order, buckets
+    def __init__(self, orders: range, buckets: int):
+        self.orders, self.buckets = orders, buckets
 
     def __call__(self, batches):
         held: dict[int, Block] = {}
         for batch in batches:
             for block, rows in by_block(batch):
-                held.setdefault(block, Block(self.order)).add(rows["key"], rows["text"])
+                held.setdefault(block, Block()).add(rows["key"], rows["text"])
         for block in list(held):
             yield self._rows(block, held.pop(block).close())
 
     def _rows(self, block: int, texts: Block):
-        types, own = texts.types()
+        types, own = texts.types(self.orders)
         bucket = _bucket(types, self.buckets)
         cuts = np.searchsorted(bucket, np.arange(self.buckets + 1, dtype=np.uint64))
         used = np.flatnonzero(np.diff(cuts))
@@ -144,9 +150,12 @@ def by_block(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
 
 
 class Answers:
-    """The total count of every hash asked for: rows sorted by bucket."""
+    """The total count of every hash asked for in a round: rows sorted by bucket."""
 
-    schema = "block long, bucket int, counts binary"
+    schema = "block long, turn int, bucket int, counts binary"
+
+    def __init__(self, turn: int):
+        self.turn = turn
 
     def __call__(self, batches):
         held, now = [], None
@@ -168,13 +177,13 @@ class Answers:
         np.add.at(total, place, own)
         ends = np.cumsum([0, *map(len, asked)])
         return table({
-            "block": np.array([r[0] for r in held], np.int64), "bucket": np.array([r[1] for r in held], np.int32),
+            "block": np.array([r[0] for r in held], np.int64), "turn": np.full(len(held), self.turn, np.int32), "bucket": np.array([r[1] for r in held], np.int32),
             "counts": binary([small(total[place[a:b]]) for a, b in zip(ends, ends[1:])]),
         })
 
 
 class Scores:
-    """Scores of a block's texts from its answers: rows sorted by block, bucket; texts have none."""
+    """Scores of a block's texts from its answers: rows sorted by block, round, bucket; texts have neither of the last."""
 
     schema = "key long, n_words long, log_score double"
 
@@ -182,7 +191,7 @@ class Scores:
         self.order, self.words, self.least, self.penalty = order, words, least, penalty
 
     def __call__(self, batches):
-        now, texts, answers = None, Block(self.order), {}
+        now, texts, answers = None, Block(), {}
         for batch in batches:
             blocks = batch["block"].to_numpy()
             edges = np.flatnonzero(np.diff(blocks)) + 1
@@ -192,25 +201,26 @@ class Scores:
                 if blocks[lo] != now:
                     if texts.keys:
                         yield self._scored(texts.close(), answers)
-                    now, texts, answers = blocks[lo], Block(self.order), {}
+                    now, texts, answers = blocks[lo], Block(), {}
                 part = batch.slice(lo, hi - lo)
                 answered = part["bucket"].is_valid()
-                for bucket, counts in zip(part.filter(answered)["bucket"].to_pylist(), part.filter(answered)["counts"].to_pylist()):
-                    answers[bucket] = counts_of(counts)
+                for row in part.filter(answered).select(["turn", "bucket", "counts"]).to_pylist():
+                    answers[row["turn"], row["bucket"]] = row["counts"]
                 rows = part.filter(part["bucket"].is_null())
                 texts.add(rows["key"], rows["text"])
         if texts.keys:
             yield self._scored(texts.close(), answers)
 
     def _scored(self, b: Block, answers):
-        totals = np.concatenate([answers[k] for k in sorted(answers)]) if answers else np.zeros(0, np.uint64)
         logs = np.zeros(len(b.word))
         if len(b.word):
-            types = b.types()[0]
             found = [np.zeros(len(b.word), np.uint64) for _ in range(self.order + 1)]
-            for n in range(1, self.order + 1):
-                at, grams = b.grams(n)
-                found[n][at] = totals[np.searchsorted(types, grams)]
+            for turn, orders in enumerate(rounds(self.order)):
+                types = b.types(orders)[0]
+                totals = np.concatenate([np.zeros(0, np.uint64), *(counts_of(answers[k]) for k in sorted(answers) if k[0] == turn)])
+                for n in orders:
+                    at, grams = b.grams(n)
+                    found[n][at] = totals[np.searchsorted(types, grams)]
             logs = np.log(found[1].astype(float)) - np.log(self.words)
             for n in range(2, self.order + 1):
                 known = found[n] >= self.least
@@ -232,6 +242,15 @@ class WordCount:
         yield table({"n": np.array([total], np.int64)})
 
 
+def answered(rows: DataFrame, turn: int, orders: range) -> DataFrame:
+    """The answers of a round, stored; what it shuffled is removed with the write."""
+    spark = rows.sparkSession
+    asked = map_batches(rows, Requests(orders, BUCKETS * partitions(spark)), Requests.schema)
+    dealt = asked.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        return stored(map_batches(dealt, Answers(turn), Answers.schema), f"answers-{turn}")
+
+
 def stupid_backoff(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = 2, least: int = 2,
                    penalty: float = 0.4) -> DataFrame:
     """(``key``, ``n_words``, ``log_score``, ``mean_log_score``) of every row; ``docs`` is read from files.
@@ -239,15 +258,13 @@ def stupid_backoff(docs: DataFrame, key: str = "doc_id", text: str = "text", ord
     The context's count is that of the n-gram one word shorter that ends before the word.
     """
     spark = docs.sparkSession
-    buckets = BUCKETS * partitions(spark)
     rows = placed(docs, key, text)
-    asked = map_batches(rows, Requests(order, buckets), Requests.schema)
-    dealt = asked.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
-    answers = map_batches(dealt, Answers(), Answers.schema)
     total = map_batches(rows.select("text"), WordCount(), WordCount.schema).agg(F.sum("n")).first()[0] or 1
     none: Column = F.lit(None)
-    own = rows.select("block", none.cast("int").alias("bucket"), none.cast("binary").alias("counts"), "key", "text")
-    back = answers.select("block", "bucket", "counts", none.cast("long").alias("key"), none.cast("string").alias("text"))
-    blocks = own.union(back).repartition(partitions(spark), "block").sortWithinPartitions("block", "bucket")
+    blocks = rows.select("block", none.cast("int").alias("turn"), none.cast("int").alias("bucket"), none.cast("binary").alias("counts"), "key", "text")
+    for turn, orders in enumerate(rounds(order)):
+        back = answered(rows, turn, orders)
+        blocks = blocks.union(back.select("*", none.cast("long").alias("key"), none.cast("string").alias("text")))
+    blocks = blocks.repartition(partitions(spark), "block").sortWithinPartitions("block", "turn", "bucket")
     scored = map_batches(blocks, Scores(order, total, least, penalty), Scores.schema)
     return scored.select(F.col("key").alias(key), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log_score"))

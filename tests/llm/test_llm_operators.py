@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import Row, functions as F
 
-from regionlake.llm import backoff, fingerprints, line_dedup, passages, pieces, quotations, queries, templates, token_counts, toxicity
+from regionlake.llm import backoff, base, fingerprints, line_dedup, passages, pieces, quotations, queries, templates, token_counts, toxicity
 from regionlake.llm.components import components
 from regionlake.llm.ngram_join import ngram_jaccard
 from suite.check import compare, connect
@@ -203,6 +203,23 @@ def test_backoff_equals_brute_force(spark, edges, tmp_path):
     assert (backoff.unpacked(backoff.packed(hashes)) == hashes).all() and len(backoff.unpacked(b"")) == 0
 
 
+def test_backoff_keeps_only_counts_between_rounds(spark, edges, tmp_path, monkeypatch):
+    """Words with pairs, and triples, are asked for apart; a round's requests go with its write, the result shuffles no request."""
+    cleanup, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+
+    def stored(df, label):
+        seen.append((label, df.columns, spark.conf.get(cleanup)))
+        return base.stored(df, label)
+
+    monkeypatch.setattr(backoff, "stored", stored)
+    edges.write.parquet(str(tmp_path / "docs"))
+    before = spark.conf.get(cleanup)
+    plan = backoff.stupid_backoff(spark.read.parquet(str(tmp_path / "docs")), order=3)._jdf.queryExecution().executedPlan().toString()
+    assert seen == [(f"answers-{i}", ["block", "turn", "bucket", "counts"], "true") for i in (0, 1)]
+    assert spark.conf.get(cleanup) == before
+    assert plan.count("Exchange ") == 1 and "hashes" not in plan
+
+
 def test_backoff_query_scores_trigrams(spark):
     sf = "/root/testdata/sf0.001"
     scores = lambda df: {r.doc_id: round(r.log_score, 6) for r in df.collect()}
