@@ -1,4 +1,5 @@
 import collections
+import glob
 import hashlib
 import math
 import random
@@ -11,7 +12,8 @@ from pyspark.sql import Row, functions as F
 
 from regionlake.llm import backoff, base, fingerprints, line_dedup, passages, pieces, quotations, queries, templates, token_counts, toxicity
 from regionlake.llm.components import components
-from regionlake.llm.ngram_join import ngram_jaccard
+from regionlake.llm.ngram_join import Alike, AcrossPairs, Tiles, _bitmap, differing, ngram_jaccard
+from regionlake.session import shared_dir
 from suite.check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -73,6 +75,42 @@ def test_ngram_join_of_groups_whose_heads_are_common(docs):
     assert sorted((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == [(57, None), (58, None)]
 
 
+def test_tiles_with_the_same_members_are_one():
+    """Forty tokens shared by two sets, five of them by a third as well, dealt over four tasks."""
+    members = [(t, n, s) for t in range(40) for n, s in ((100, 7), (105, 9), (110, 8))[: 3 if t < 5 else 2]] + [(50, 90, 3)]
+    batch = lambda rows: base.table({c: np.array(x, np.int64) for c, x in zip(("token", "n", "set_id"), zip(*rows))})
+    alike = [r for task in range(4) for b in Alike(80)([batch([m for m in members if m[0] % 4 == task])]) for r in b.to_pylist()]
+    alike.sort(key=lambda r: (r["token"], r["n"], r["set_id"]))
+    held = base.table({c: np.array([r[c] for r in alike], np.int64) for c in ("token", "n", "set_id", "seen")})
+    tiles = [r for b in Tiles(80)([held]) for r in b.to_pylist()]
+    assert sorted((r["set_id"], r["members"], r["copies"]) for r in tiles) == [(7, 2, 35), (7, 3, 5), (8, 3, 5), (9, 2, 35), (9, 3, 5)]
+    placed = base.table({**{c: np.array([r[c] for r in tiles], np.int64) for c in ("token", "n", "set_id", "copies")},
+                         "component": np.array([r["set_id"] for r in tiles], np.int64), "bitmap": base.binary([None] * len(tiles))})
+    pairs = [r for b in AcrossPairs(80)([placed]) for r in b.to_pylist()]
+    assert {(r["a"], r["b"]): r["tiles"] for r in pairs} == {(7, 9): 40, (7, 8): 5, (8, 9): 5}
+
+
+def test_bitmaps_bound_a_difference_in_four_bits_an_element():
+    draw = np.random.default_rng(3)
+    for n in (1, 40, 700, 3000):
+        sets = draw.integers(0, 2**63, 2 * n, dtype=np.uint64)
+        for both in (0, n // 2, n):
+            x, y = sets[:n], sets[n - both : 2 * n - both]
+            assert len(_bitmap(x)) * 8 <= max(64, 4 * n)
+            assert differing(_bitmap(x), _bitmap(y)) <= 2 * (n - both)
+            assert differing(_bitmap(x), _bitmap(np.concatenate((x, y[both:])))) <= n - both
+
+
+def test_ngram_join_removes_the_tables_nothing_reads_again(docs, spark):
+    large = ("signatures", "bitmaps", "tiles", "large-arrays", "across-arrays")
+    there = lambda: {f for x in large for f in glob.glob(f"{shared_dir(spark).removeprefix('file://')}/regionlake/{x}-*")}
+    before = there()
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, *[f"x{i}y{j}" for j in range(3)]])) for i in range(12)]
+    assert {r.component_id for r in ngram_jaccard(docs(rows)).collect()} == {0}
+    assert there() == before
+
+
 def test_ngram_join_edges(edges, docs):
     rows = ngram_jaccard(edges).collect()
     got = {r.doc_id: r.component_id for r in rows}
