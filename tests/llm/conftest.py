@@ -24,3 +24,10 @@ EDGES = [
 @pytest.fixture
 def edges(docs):
     return docs(EDGES)
+
+
+@pytest.fixture(autouse=True)
+def default_batches(spark):
+    """The pipeline's stages leave the session with their own batch size; no test starts with another's."""
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
