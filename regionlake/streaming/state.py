@@ -17,7 +17,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 HOUR_US = 3_600_000_000
 AT = "micros"
-PACK = 1 << 16  # rows a task packs at a time
+PACK, PACK_BYTES = 1 << 18, 1 << 25  # rows a task packs at a time, or fewer that take so many bytes
+CODEC = pa.Codec("zstd", 1)
+WAVES = 2
 
 
 def keep_state(spark: SparkSession) -> None:
@@ -34,9 +36,10 @@ def keep_state(spark: SparkSession) -> None:
 
 
 class Pack:
-    """Rows of a task packed by key: their numbers as arrays, the other columns as a compressed Arrow stream.
+    """Rows of a task packed by key, in order of the first number: their numbers and, as an Arrow stream, the other columns, compressed.
 
-    Keyed state gets its rows one by one from Spark, which costs more than any work on them; so it gets packs.
+    Keyed state gets its rows one by one from Spark, which costs more than any work on them; so it gets packs. They are
+    shuffled twice, all rows of a micro-batch, so they are to be small: numbers in order and columns of few values are.
     """
 
     def __init__(self, *numbers: str):
@@ -47,7 +50,7 @@ class Pack:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= PACK:
+            if sum(b.num_rows for b in held) >= PACK or sum(b.nbytes for b in held) >= PACK_BYTES:
                 yield self._packs(held)
                 held = []
         if any(b.num_rows for b in held):
@@ -56,25 +59,60 @@ class Pack:
     def _packs(self, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
         place = pc.dictionary_encode(rows["key"].combine_chunks(), null_encoding="encode").indices.to_numpy()
-        order = np.argsort(place, kind="stable")
+        order = np.lexsort((rows[self.numbers[0]].to_numpy(), place))
         rows = rows.take(pa.array(order)).combine_chunks()
         cuts = np.flatnonzero(np.diff(place[order], prepend=-1, append=-1))
         rest = rows.drop_columns(["key", *self.numbers])
         numbers = {c: rows[c].to_numpy() for c in self.numbers}
         packs = {"key": rows["key"].combine_chunks().take(pa.array(cuts[:-1]))}
         for c, values in numbers.items():
-            packs[c] = pa.array([values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
+            packs[c] = pa.array([_squeezed(values[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
         packs["rest"] = pa.array([_stream(rest.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])], pa.binary())
         return pa.RecordBatch.from_pydict(packs)
 
 
 def _stream(rows: pa.Table) -> bytes:
+    rows = pa.table([_coded(c) for c in rows.columns], names=rows.column_names)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=CODEC)) as out:
         out.write_table(rows)
     return sink.getvalue().to_pybytes()
 
 
+def _coded(column: pa.ChunkedArray) -> pa.Array:
+    """A column of repeated numbers or texts as a dictionary; any other as it is."""
+    plain = column.combine_chunks()
+    kind = plain.type
+    if not (pa.types.is_float64(kind) or pa.types.is_integer(kind) or pa.types.is_string(kind)):
+        return plain
+    # Bits of a float, so that zeros keep their sign.
+    coded = (plain.view(pa.int64()) if pa.types.is_float64(kind) else plain).dictionary_encode()
+    if 2 * len(coded.dictionary) > len(plain):
+        return plain
+    return pa.DictionaryArray.from_arrays(coded.indices, coded.dictionary.view(kind)) if pa.types.is_float64(kind) else coded
+
+
+def _decoded(rows: pa.Table) -> pa.Table:
+    columns = [c.combine_chunks() for c in rows.columns]
+    return pa.table([c.dictionary_decode() if pa.types.is_dictionary(c.type) else c for c in columns], names=rows.column_names)
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers behind their count, compressed: integers as differences, all numbers' first bytes, then all second bytes and so on."""
+    steps = np.diff(values, prepend=values.dtype.type(0)) if values.dtype == np.int64 else values
+    planes = np.ascontiguousarray(np.ascontiguousarray(steps).view(np.uint8).reshape(-1, values.itemsize).T)
+    return len(values).to_bytes(8, "little") + CODEC.compress(planes, asbytes=True)
+
+
+def _numbers(packed, kind: type) -> np.ndarray:
+    """What ``_squeezed`` got."""
+    packed, size = memoryview(packed), np.dtype(kind).itemsize
+    n = int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(CODEC.decompress(packed[8:], n * size), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(size, n).T).view(kind).reshape(n)
+    return np.cumsum(values) if values.dtype == np.int64 else values
+
+
 class Unpack:
     """The rows of packs that are kept, with their times and, where the packs have them, their means."""
 
@@ -82,19 +120,15 @@ class Unpack:
         for batch in batches:
             for i in range(batch.num_rows):
                 pack = {c: batch[c][i].as_buffer() for c in batch.schema.names}
-                kept = np.frombuffer(pack["kept"], bool)
-                rows = pa.ipc.open_stream(pack["rest"]).read_all().add_column(0, AT, pa.array(np.frombuffer(pack[AT], np.int64)))
+                kept = _numbers(pack["kept"], bool)
+                rows = _decoded(pa.ipc.open_stream(pack["rest"]).read_all()).add_column(0, AT, pa.array(_numbers(pack[AT], np.int64)))
                 if "mean" in pack:
-                    rows = rows.append_column("mean", pa.array(np.frombuffer(pack["mean"], float), mask=np.frombuffer(pack["missing"], bool)))
+                    rows = rows.append_column("mean", pa.array(_numbers(pack["mean"], float), mask=_numbers(pack["missing"], bool)))
                 yield from (rows if kept.all() else rows.filter(pa.array(kept))).to_batches()
 
 
-def _joined(parts: pd.Series, kind: type) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, kind) for x in parts])
-
-
-def _cut(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    return [x.tobytes() for x in np.split(values, np.cumsum(sizes)[:-1])]
+def _cut(values: np.ndarray, sizes: list[int]) -> Iterator[bytes]:
+    return (_squeezed(x) for x in np.split(values, np.cumsum(sizes)[:-1]))
 
 
 class RollingMean(StatefulProcessor):
@@ -102,13 +136,15 @@ class RollingMean(StatefulProcessor):
 
     State per key and time slice: the slice's total, and its distinct times with their sums and counts. A batch reads totals
     of the slices its windows span, and times only of the slices that windows begin in or rows fall in; it writes the
-    slices that got rows. A timer lets a slice go when the watermark has passed the last window that can reach it.
+    slices that got rows and that windows of later rows can reach. A timer lets a slice go when the watermark has passed the
+    last window that can reach it. Of a key's newest row in a batch the next watermark is ``delay_us`` behind at most; where
+    other watermarks may hold it back, ``delay_us`` is None and all slices are written.
     """
 
     schema = f"{AT} binary, rest binary, kept binary, mean binary, missing binary"
 
-    def __init__(self, width_us: int, slice_us: int):
-        self.width, self.slice = width_us, slice_us
+    def __init__(self, width_us: int, slice_us: int, delay_us: int | None = None):
+        self.width, self.slice, self.delay = width_us, slice_us, delay_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -117,14 +153,16 @@ class RollingMean(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         packs = pd.concat(list(rows), ignore_index=True)
-        at, values = _joined(packs[AT], np.int64), _joined(packs["rolled"], float)
+        times = [_numbers(x, np.int64) for x in packs[AT]]
+        sizes = [len(x) for x in times]
+        at, values = np.concatenate(times), np.concatenate([_numbers(x, float) for x in packs["rolled"]])
+        del times
         # Slices may be gone behind the watermark.
         kept = at >= timerValues.getCurrentWatermarkInMs() * 1000
         if not kept.any():
             return
         mean, missing = np.zeros(len(at)), np.ones(len(at), bool)
         mean[kept], missing[kept] = self._means(key, at[kept], values[kept])
-        sizes = packs[AT].str.len().to_numpy() // 8
         done = zip(packs[AT], packs["rest"], _cut(kept, sizes), _cut(mean, sizes), _cut(missing, sizes))
         for pack in done:
             yield pd.DataFrame([pack], columns=[AT, "rest", "kept", "mean", "missing"])
@@ -141,9 +179,13 @@ class RollingMean(StatefulProcessor):
         for number, (total, n) in stored.items():
             # No window begins or ends in a slice that is not opened, so its total may stand at its start.
             parts.append(self._slice(number) if number in opened else (np.array([number * self.slice]), np.array([total]), np.array([n])))
+        # The watermark counts whole milliseconds.
+        passed = None if self.delay is None else int(at.max()) - 1000 - self.delay - self.width
         for number in np.unique(new_slice).tolist():
             mine = tuple(x[new_slice == number] for x in new)
             parts.append(mine)
+            if passed is not None and (number + 1) * self.slice <= passed:
+                continue
             if number in stored:
                 mine = _summed(*(np.concatenate(x) for x in zip(self._slice(number), mine)))
             else:
@@ -214,14 +256,27 @@ def rolling_stream(stream: DataFrame, key: str, ts: str, value: str, out: str, h
     timed = rows.select(F.unix_micros(F.col(ts).cast("timestamp")).alias(AT), F.col(value).cast("double").alias("rolled"),
                         *[F.col(f"`{c}`").alias(n) for c, n in payload.items()], group.alias("key"))
     shape = StructType([timed.schema[c] for c in (AT, *payload.values())]).add("mean", DoubleType())
-    means = _by_key(timed, Pack(AT, "rolled"), RollingMean(hours * HOUR_US, slice_minutes * 60_000_000), shape)
+    processor = RollingMean(hours * HOUR_US, slice_minutes * 60_000_000, _delay_us(stream, delay))
+    means = _by_key(timed, Pack(AT, "rolled"), processor, shape)
     return means.select(*_named(stream.columns, ts, payload), F.col("mean").alias(out))
 
 
+def _delay_us(stream: DataFrame, delay: str) -> int | None:
+    """What the watermark stays behind the newest row, as Spark counts it; None if the stream has watermarks of its own."""
+    if "EventTimeWatermark" in stream._jdf.queryExecution().analyzed().toString():
+        return None
+    catalyst = stream.sparkSession._jvm.org.apache.spark.sql.catalyst
+    return 1000 * catalyst.plans.logical.EventTimeWatermark.getDelayMs(catalyst.util.IntervalUtils.fromIntervalString(delay))
+
+
 def _by_key(rows: DataFrame, pack: Pack, processor: StatefulProcessor, shape: StructType) -> DataFrame:
-    """The rows through a processor of packs, by ``key``. What leaves it is dealt out again, as keys may be few."""
+    """The rows through a processor of packs, by ``key``. What leaves it is dealt out again, as keys may be few.
+
+    It is dealt out by what a pack holds, the same whenever a task runs again: to deal it out in turns, Spark sorts it first.
+    A task that writes by day sorts its rows, on disk where memory is short, so there are ``WAVES`` tasks a core.
+    """
     done = rows.mapInArrow(pack, pack.schema).groupBy("key").transformWithStateInPandas(processor, processor.schema, "append", "EventTime")
-    return done.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(Unpack(), shape)
+    return done.repartition(WAVES * rows.sparkSession.sparkContext.defaultParallelism, AT, "rest").mapInArrow(Unpack(), shape)
 
 
 def _named(columns: list[str], ts: str, payload: dict[str, str]) -> list[Column]:
@@ -239,8 +294,8 @@ class Late(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         watermark = timerValues.getCurrentWatermarkInMs()
         for packs in rows:
-            kept = [np.frombuffer(x, np.int64) < watermark * 1000 for x in packs[AT]]
-            found = packs.assign(kept=[x.tobytes() for x in kept])[[x.any() for x in kept]]
+            kept = [_numbers(x, np.int64) < watermark * 1000 for x in packs[AT]]
+            found = packs.assign(kept=[_squeezed(x) for x in kept])[[x.any() for x in kept]]
             if len(found):
                 yield found[[AT, "rest", "kept"]]
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from regionlake import config as C
 from regionlake.plans.serving import latest_readings
-from regionlake.session import scratch_path
+from regionlake.session import scratch_path, settings
 from regionlake.sources.files import counted
 from regionlake.sources.sinks import append_events
 from regionlake.streaming import air, sales
@@ -26,10 +26,12 @@ def land(parts, folder):
     """One part after the other as ``FILES`` files, so that each becomes a micro-batch.
 
     Spark writes no file for a task without rows, so a part of few rows gets files without rows for those that lack.
+    A part's shuffle files go with its write.
     """
     for part in range(BATCHES):
         rows = parts.where(F.col("_part") == part).drop("_part")
-        rows.repartition(FILES).write.mode("append").parquet(folder)
+        with settings(parts.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+            rows.repartition(FILES).write.mode("append").parquet(folder)
         for _ in range((part + 1) * FILES - counted(parts.sparkSession, f"{folder}/part-*.parquet")):
             rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
 
